@@ -17,6 +17,10 @@ from weftline.plans import TABLE_NAMES, everything  # noqa: E402
 from weftline.session import build_session  # noqa: E402
 
 
+def say(*parts):
+    print(*parts, flush=True)
+
+
 def plain(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(round(v, 9) + 0.0)
@@ -25,6 +29,8 @@ def plain(v):
     return repr(v)
 
 
+
+
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("-d", default="/root/testdata/sf0.01")
@@ -42,8 +48,9 @@ def main() -> None:
         qs, sqls = c.queries, c.sql
     if args.names:
         qs = {k: v for k, v in qs.items() if any(k.startswith(n) for n in args.names)}
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+                            "spark.ui.showConsoleProgress": "false"})
+    spark.sparkContext.setLogLevel("OFF")
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLE_NAMES:
@@ -55,12 +62,12 @@ def main() -> None:
             df = fn(spark, args.d)
             rows = df.collect()
         except Exception as e:  # report and go on with the next query
-            print(f"FAIL  {k}: {str(e)[:1500]}")
+            say(f"FAIL  {k}: {str(e)[:700]}")
             bad += 1
             continue
         t1 = time.time()
         if k not in sqls:
-            print(f"rows  {k}: {len(rows)} rows {t1 - t0:.1f}s")
+            say(f"rows  {k}: {len(rows)} rows {t1 - t0:.1f}s")
             continue
         try:
             cur = con.execute(sqls[k])
@@ -68,13 +75,13 @@ def main() -> None:
             types = {d[0]: str(d[1]) for d in cur.description}
             want = cur.fetchall()
         except Exception as e:
-            print(f"FAIL  {k} (sql): {str(e)[:1500]}")
+            say(f"FAIL  {k} (sql): {str(e)[:700]}")
             bad += 1
             continue
         t2 = time.time()
         order = sorted(df.columns)
         if sorted(names) != order:
-            print(f"FAIL  {k}: columns {order} vs {sorted(names)}")
+            say(f"FAIL  {k}: columns {order} vs {sorted(names)}")
             bad += 1
             continue
         got = sorted(str([plain(r[c]) for c in order]) for r in rows)
@@ -84,12 +91,12 @@ def main() -> None:
         if got != exp:
             bad += 1
             a, b = set(got) - set(exp), set(exp) - set(got)
-            print(f"DIFF  {k}: {len(got)} vs {len(exp)} rows; {len(a)}/{len(b)} differ {order}")
-            print("   spark:", [x[:600] for x in sorted(a)[:2]])
-            print("   sql:  ", [x[:600] for x in sorted(b)[:2]])
+            say(f"DIFF  {k}: {len(got)} vs {len(exp)} rows; {len(a)}/{len(b)} differ {order}")
+            say("   spark:", [x[:600] for x in sorted(a)[:2]])
+            say("   sql:  ", [x[:600] for x in sorted(b)[:2]])
         else:
-            print(f"ok    {k}: {len(got)} rows {t1 - t0:.1f}s (sql {t2 - t1:.1f}s)" + (f"  TYPES {odd}" if odd else ""))
-    print("bad:", bad)
+            say(f"ok    {k}: {len(got)} rows {t1 - t0:.1f}s (sql {t2 - t1:.1f}s)" + (f"  TYPES {odd}" if odd else ""))
+    say("bad:", bad)
 
 
 ALIKE = {("bigint", "BIGINT"), ("string", "VARCHAR"), ("double", "DOUBLE"), ("int", "INTEGER"),
