@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 SALTS = 16
+HOT_KEYS = 10_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -21,13 +22,21 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join to a key-unique table: copied to every task while it is small, salted beyond.
+    """Join to a key-unique table: copied to every task while it is small, shuffled beyond.
 
-    Salting spreads a key that holds a large share of ``big`` over several tasks; the
-    key-unique side is repeated once per salt, so no row is lost or doubled.
+    In the shuffled form the keys that hold very many rows of ``big`` are found first (at
+    most ``HOT_KEYS`` of them) and only those are spread over several tasks; the key-unique
+    side is repeated for them alone.  No row is lost or doubled.
     """
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    rows = big.count()
+    limit = max(1_000_000, rows // HOT_KEYS)
+    hot = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).drop("_n")
+    hot = hot.dropna().withColumn("_hot", F.lit(True))
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    left = big.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
+    right = small.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), SALTS - 1).otherwise(0)))).drop("_hot")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
