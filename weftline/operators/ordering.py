@@ -124,8 +124,9 @@ def flag_first_by_hash(df: DataFrame, seed, keys, n: int, total: int, name: str
         return marked.withColumn(name, F.lit(n > 0)).drop("_h", "_bar")
     edge = marked.filter(F.col("_bar") == cut["_cut"])
     last = edge.select(F.struct("_h", *keys).alias("_s")).orderBy("_s").limit(cut["_room"])
-    bound = last.agg(F.max("_s").alias("_s")).select("_s.*").first()
-    inside = F.struct(F.col("_h"), *keys) <= F.struct(*[F.lit(v) for v in bound])
+    bound = last.agg(F.max("_s").alias("_s")).first()["_s"]
+    edge_row = F.struct(*[F.lit(v) for v in bound]).cast(last.schema["_s"].dataType)
+    inside = F.struct("_h", *keys) <= edge_row
     return marked.withColumn(name, inside).drop("_h", "_bar")
 
 
