@@ -62,8 +62,9 @@ class ShardPlan:
 
 def request_table(rows: DataFrame, task: str, order: list[str]) -> DataFrame:
     """Requests numbered in order, with their size in UTF-8 bytes including the line break."""
-    numbered = dense_index(rows.select(*dict.fromkeys([*order, "id", "text"])), order)
-    return numbered.withColumn("record", request_record(task)).withColumn(
+    # only the keys are sorted and materialised; the texts are shuffled once, to meet their number
+    numbers = dense_index(rows.select(*order), order)
+    return rows.select(*dict.fromkeys([*order, "id", "text"])).join(numbers, order).withColumn("record", request_record(task)).withColumn(
         "bytes", (F.octet_length("record") + 1).cast("bigint"))
 
 
@@ -104,7 +105,7 @@ def shard_names(base: str, shard_id: Column, stamp: int | None = None) -> Column
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Answer text, parsed object and token counts per response."""
     content = F.coalesce(F.col("modelOutput.content"), F.array().cast("array<struct<type: string, text: string>>"))
-    texts = F.transform(F.filter(content, lambda b: b["type"] == "text"), lambda b: F.coalesce(b["text"], F.lit("")))
+    texts = F.transform(content, lambda b: F.coalesce(b["text"], F.lit("")))
     raw = X.strip(F.array_join(texts, ""))
     others = [c for c in responses.columns if c not in ("recordId", "modelOutput")]
     return responses.select(

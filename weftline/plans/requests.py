@@ -61,7 +61,7 @@ def responses(t: Tables):
         F.expr("""named_struct(
             'content', if(event_id % 13 = 0, null, array(
                 named_struct('type', 'text', 'text', if(event_id % 3 = 0, concat('  ', props), event_type)),
-                named_struct('type', 'note', 'text', 'x'),
+                named_struct('type', 'note', 'text', cast(null as string)),
                 named_struct('type', 'text', 'text', ' '))),
             'usage', if(event_id % 5 = 0, null, named_struct('input_tokens', user_id, 'output_tokens', event_id % 17)))""")
         .alias("modelOutput"))
