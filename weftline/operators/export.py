@@ -13,7 +13,7 @@ from weftline.functions import text as X
 from weftline.operators.ordering import dense_index
 
 EXPORT_SCHEMA = """
-    title string, id string, create_time string, update_time string,
+    title string, id string, create_time variant, update_time variant,
     mapping map<string, struct<
         id: string, parent: string, children: array<string>,
         message: struct<id: string, author: struct<role: string>, create_time: string,

@@ -9,6 +9,7 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 SALTS = 16
 HOT_KEYS = 10_000
+MIN_HOT_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -31,7 +32,7 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     rows = big.count()
-    limit = max(1_000_000, rows // HOT_KEYS)
+    limit = max(MIN_HOT_ROWS, rows // HOT_KEYS)
     hot = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).drop("_n")
     hot = hot.dropna().withColumn("_hot", F.lit(True))
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")

@@ -171,10 +171,14 @@ def knn_join(corpus: DataFrame, questions: DataFrame, k: int, *, metric: str = "
         n_q = int(-(-ask_bytes // block_bytes))
         n_rows = rows.count()
         n_c = max(1, int(-(-n_rows * ((size["d"] or 0) * 8 + 64) // block_bytes)))
+
+        def blocks(n: int) -> Column:
+            return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
+
         left = rows.withColumn("_c", F.pmod(F.xxhash64("key"), F.lit(n_c))).withColumn(
-            "_q", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).cast("bigint"))
+            "_q", F.explode(blocks(n_q)))
         right = asks.withColumn("_q", F.pmod(F.xxhash64("question", F.lit(7)), F.lit(n_q))).withColumn(
-            "_c", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).cast("bigint"))
+            "_c", F.explode(blocks(n_c)))
 
         def meet(c_pdf: pd.DataFrame, q_pdf: pd.DataFrame) -> pd.DataFrame:
             if c_pdf.empty or q_pdf.empty:
