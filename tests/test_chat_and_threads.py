@@ -61,7 +61,8 @@ def test_contents_become_messages(spark):
         ("a4", None, "assistant", [{"type": "tool_use", "name": "Unknown", "input": {}}]),
         ("a5", None, "assistant", [{"type": "tool_use", "name": "Bash"}]),
     ]
-    got = {r["uuid"]: r["text"] for r in threads.node_messages(threads.nodes(table(spark, rows))).collect()}
+    records = table(spark, rows)
+    got = {r["uuid"]: r["text"] for r in threads.node_messages(records, threads.nodes(records)).collect()}
     assert set(got) == {"u1", "u2", "u3", "u4", "u6", "a2", "a3", "a5"}
     assert got["u1"] == "plain" and got["u4"] == "a b" and got["a2"] == "one\ntwo"
     assert json.loads(got["u2"]) == [{"type": "tool_result", "content": "y" * 800}]

@@ -121,23 +121,21 @@ def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] |
         raise ValueError(f"at most {MAX_CALLS} searches per run; split the call table")
     outputs = [read]
 
-    def wanted(name: str, to_regex: Callable[[str], str]) -> Column:
-        found = [F.struct(F.lit(c["call_id"]).alias("call_id"), F.lit(to_regex(c["_pat"])).alias("pat"))
+    def matching(column: str, name: str, to_regex: Callable[[str], str]) -> Column:
+        """Ids of the calls whose pattern fits; literal patterns are compiled once per task."""
+        tests = [F.when(F.col(column).rlike(to_regex(c["_pat"])), F.lit(c["call_id"]))
                  for c in searches if c["name"] == name]
-        return F.array(*found)
+        return F.filter(F.array(*tests), lambda i: i.isNotNull())
 
     if any(c["name"] == "grep" for c in searches):
-        hits = lines(corpus, ["path"]).withColumn("_w", F.explode(F.filter(
-            wanted("grep", str), lambda w: F.regexp_like(F.col("line"), w["pat"]))))
+        hits = lines(corpus, ["path"]).withColumn("call_id", F.explode(matching("line", "grep", str)))
         outputs.append(hits.select(
-            F.col("_w.call_id").alias("call_id"), F.lit("grep").alias("name"),
-            (F.col("line_no") + 1).cast("bigint").alias("seq"),
+            "call_id", F.lit("grep").alias("name"), (F.col("line_no") + 1).cast("bigint").alias("seq"),
             F.concat_ws(":", "path", (F.col("line_no") + 1).cast("string"), "line").alias("output")))
     if any(c["name"] == "glob" for c in searches):
-        listed = corpus.select("path", F.explode(F.filter(
-            wanted("glob", glob_pattern), lambda w: F.regexp_like(F.col("path"), w["pat"]))).alias("_w"))
-        outputs.append(listed.select(F.col("_w.call_id").alias("call_id"), F.lit("glob").alias("name"),
-                                     F.lit(0).cast("bigint").alias("seq"), F.col("path").alias("output")))
+        listed = corpus.select("path", F.explode(matching("path", "glob", glob_pattern)).alias("call_id"))
+        outputs.append(listed.select("call_id", F.lit("glob").alias("name"), F.lit(0).cast("bigint").alias("seq"),
+                                     F.col("path").alias("output")))
     known = ["read", "grep", "glob", *(extra or {})]
     unknown = calls.filter(~F.col("name").isin(*known))
     outputs.append(unknown.select(

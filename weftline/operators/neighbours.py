@@ -69,6 +69,11 @@ def _round_half_up(s: np.ndarray, digits: int) -> np.ndarray:
     return np.where(scaled < 0, np.ceil(scaled - 0.5), np.floor(scaled + 0.5)) / 10**digits
 
 
+def _no_rows() -> pd.DataFrame:
+    """Columns of no type yet, so that they fit keys of any type."""
+    return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("question", "key", "score")})
+
+
 class _Best:
     """At most k (score, key) per question, merged batch by batch."""
 
@@ -94,7 +99,7 @@ class _Best:
             for j, kept in enumerate(self.kept) if kept is not None and len(kept[0])
         ]
         if not parts:
-            return pd.DataFrame({"question": [], "key": [], "score": []})
+            return _no_rows()
         return pd.concat(parts, ignore_index=True)
 
 
@@ -182,7 +187,7 @@ def knn_join(corpus: DataFrame, questions: DataFrame, k: int, *, metric: str = "
 
         def meet(c_pdf: pd.DataFrame, q_pdf: pd.DataFrame) -> pd.DataFrame:
             if c_pdf.empty or q_pdf.empty:
-                return pd.DataFrame({"question": [], "key": [], "score": []})
+                return _no_rows()
             return next(score_rows(q_pdf, iter([c_pdf])))
 
         candidates = left.groupBy("_c", "_q").cogroup(right.groupBy("_c", "_q")).applyInPandas(meet, out_schema)

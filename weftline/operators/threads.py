@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from weftline.functions import text as X
 from weftline.functions.vectors import let
-from weftline.operators.lookup import lookup_join
 from weftline.operators.ordering import first_per_key, smallest_by_hash
 from weftline.session import cut_lineage
 
@@ -29,11 +28,14 @@ def candidate_records(records: DataFrame) -> DataFrame:
 
 
 def nodes(records: DataFrame) -> DataFrame:
-    """One node per (file, uuid): the last record wins, the first place stays."""
-    payload = [c for c in records.columns if c not in ("file", "uuid", "line_no")]
+    """One node per (file, uuid): the last record wins, the first place stays.
+
+    The table is narrow on purpose; contents stay in the records until the end.
+    """
     grouped = candidate_records(records).groupBy("file", "uuid").agg(
-        F.max_by(F.struct(*payload), "line_no").alias("_r"), F.min("line_no").alias("first_line"))
-    return grouped.select("file", "uuid", "first_line", "_r.*")
+        F.max_by(F.struct("parent", "type"), "line_no").alias("_r"), F.min("line_no").alias("first_line"),
+        F.max("line_no").alias("last_line"))
+    return grouped.select("file", "uuid", "first_line", "last_line", "_r.parent", "_r.type")
 
 
 def leaves(records: DataFrame, node_table: DataFrame) -> DataFrame:
@@ -59,7 +61,9 @@ def walk_up(node_table: DataFrame, leaf_table: DataFrame, limit: int = MAX_NODES
     front = leaf_table.select("file", F.col("uuid").alias("leaf"), F.lit(0).alias("depth"), "uuid")
     width = 1
     while width < limit:
-        reached = lookup_join(front, jump, ["file", "uuid"], "left")
+        # a node below which many leaves meet is a hot key of ``front`` only; the jump table is
+        # unique, so adaptive execution can split that key over several tasks
+        reached = front.join(jump, ["file", "uuid"], "left")
         steps = F.array(
             F.struct(F.col("depth").alias("depth"), F.col("uuid").alias("uuid")),
             F.struct((F.col("depth") + width).alias("depth"), F.col("up").alias("uuid")))
@@ -69,7 +73,9 @@ def walk_up(node_table: DataFrame, leaf_table: DataFrame, limit: int = MAX_NODES
         width *= 2
         if width < limit:
             further = jump.select("file", F.col("uuid").alias("up"), F.col("up").alias("top"))
-            jump = cut_lineage(jump.join(further, ["file", "up"]).select("file", "uuid", F.col("top").alias("up")))
+            jump = jump.join(further, ["file", "up"]).select("file", "uuid", F.col("top").alias("up"))
+            if width in (4, 16, 64):  # every second round; the plan would double with each round otherwise
+                jump = cut_lineage(jump)
     return front
 
 
@@ -136,11 +142,18 @@ def assistant_text(content: Column) -> Column:
     return F.when(text != "", text)
 
 
-def node_messages(node_table: DataFrame) -> DataFrame:
-    """Role and text per node from the JSON of its content; nodes without text give no row."""
-    parsed = node_table.withColumn("_v", F.try_parse_json("content"))
+def node_messages(records: DataFrame, node_table: DataFrame) -> DataFrame:
+    """Role and text per node from the JSON of its content; nodes without text give no row.
+
+    Texts are made where the records lie and shuffled once, to keep the winning record of a
+    repeated uuid.
+    """
+    parsed = candidate_records(records).withColumn("_v", F.try_parse_json("content"))
     text = F.when(F.col("type") == "user", user_text(F.col("_v"))).otherwise(assistant_text(F.col("_v")))
-    return parsed.select("file", "uuid", F.col("type").alias("role"), text.alias("text")).filter("text IS NOT NULL")
+    texts = parsed.select("file", "uuid", "line_no", F.col("type").alias("role"), text.alias("text")).filter(
+        "text IS NOT NULL")
+    winners = node_table.select("file", "uuid", F.col("last_line").alias("line_no"))
+    return texts.join(winners, ["file", "uuid", "line_no"], "left_semi").drop("line_no")
 
 
 # ---------------------------------------------------------------- threads to examples
@@ -174,7 +187,7 @@ def windows(m: Column, size: int = MAX_TURNS) -> Column:
 
 def thread_messages(walks: DataFrame, messages: DataFrame) -> DataFrame:
     """Message list per thread in order; nodes without a message leave no gap."""
-    placed = lookup_join(walks, messages, ["file", "uuid"])
+    placed = walks.join(messages, ["file", "uuid"])  # messages are unique per node, see walk_up
     ordered = F.sort_array(F.collect_list(F.struct(
         (-F.col("depth")).alias("p"), F.col("role").alias("role"), F.col("text").alias("content"))))
     return placed.groupBy("file", "leaf").agg(
@@ -203,10 +216,10 @@ def sample_examples(example_table: DataFrame, keys: list[str], seed: int = 42, n
 
 def build_examples(records: DataFrame, seed: int = 42, n: int = MAX_EXAMPLES) -> DataFrame:
     """Records (file, line_no, uuid, parent, type, content JSON) to at most ``n`` examples."""
-    table = nodes(records)
+    table = cut_lineage(nodes(records))
     ends = leaves(records, table)
     walks = walk_up(table, ends)
-    threaded = thread_messages(walks, node_messages(table))
+    threaded = thread_messages(walks, node_messages(records, table))
     ordered = threaded.join(ends.withColumnRenamed("uuid", "leaf"), ["file", "leaf"])
     found = examples(ordered)
     kept = distinct_openings(found, ["file", "first_line", "window"])

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weftline.sources.readers import parquet_table
+
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
 
+HEAVY = ("documents", "conversations", "pages", "embeddings", "part")  # work per row is large
+
+
 class Tables:
     """Attribute access to the parquet tables of one data directory."""
 
@@ -21,7 +26,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        where = f"{self.path}/{name}.parquet"
+        return parquet_table(self.spark, where) if name in HEAVY else self.spark.read.parquet(where)
 
 
 class Catalog:

@@ -12,6 +12,7 @@ from weftline.operators import answers, chunking, neighbours
 from weftline.operators.lookup import lookup_join
 from weftline.operators.ordering import first_per_key
 from weftline.plans import Catalog, Tables
+from weftline.session import cut_lineage
 
 catalog = Catalog()
 
@@ -371,18 +372,21 @@ SQL_HITS = f"""
 """
 
 
+def chunk_key():
+    return F.concat(F.col("doc_id").cast("string"), F.lit("#"), F.col("chunk_index").cast("string"))
+
+
 def question_contexts(t: Tables) -> DataFrame:
     """Top-3 chunks per question of ``benchmark``, joined into contexts."""
-    chunks = chunking.chunk_table(t.documents.select("doc_id", "text")).withColumn(
-        "key", F.concat(F.col("doc_id").cast("string"), F.lit("#"), F.col("chunk_index").cast("string")))
+    chunks = chunking.chunk_table(t.documents.select("doc_id", "text")).withColumn("key", chunk_key())
     asked = t.benchmark.select(F.col("item_id").alias("question"), F.col("text").alias("question_text"))
-    hits = neighbours.knn_join(chunks.withColumn("embedding", plugs.embed("chunk_text")),
-                               asked.withColumn("embedding", plugs.embed("question_text")),
-                               3, round_first=4)
-    # texts are fetched for the few hits only; the search itself moved keys and vectors
-    # (at most k per question, but the question table is the caller's, so its size is checked)
-    named = lookup_join(chunks, hits.select("key").distinct(), ["key"], "left_semi")
-    full = hits.join(named, "key")
+    hits = cut_lineage(neighbours.knn_join(
+        chunks.select("key", plugs.embed("chunk_text").alias("embedding")),
+        asked.withColumn("embedding", plugs.embed("question_text")), 3, round_first=4))
+    # the search moved keys and vectors; texts are cut again for the few documents that were hit
+    hit_docs = hits.select(F.substring_index("key", "#", 1).cast("bigint").alias("doc_id")).distinct()
+    found = chunking.chunk_table(lookup_join(t.documents.select("doc_id", "text"), hit_docs, ["doc_id"], "left_semi"))
+    full = hits.join(found.withColumn("key", chunk_key()), "key")
     contexts = answers.assemble_context(
         full, answers.context_block(F.col("doc_id"), F.col("chunk_index"), F.col("chunk_text")))
     plain = answers.assemble_context(full, F.col("chunk_text")).select(

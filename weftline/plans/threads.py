@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import threads as T
 from weftline.plans import Catalog, Tables
+from weftline.session import cut_lineage
 
 catalog = Catalog()
 
@@ -102,7 +103,7 @@ def show(m: str = "messages"):
 
 def walked(t: Tables):
     r = records(t)
-    table = T.nodes(r)
+    table = cut_lineage(T.nodes(r))
     ends = T.leaves(r, table)
     return r, table, ends, T.walk_up(table, ends)
 
@@ -132,14 +133,15 @@ def _(t):
 
 @catalog.add("th_05_08_node_messages", f"{SQL_MESSAGES} select file, uuid, role, text from msg")
 def _(t):
-    return T.node_messages(T.nodes(records(t)))
+    r = records(t)
+    return T.node_messages(r, T.nodes(r))
 
 
 @catalog.add("th_09_thread_validity", f"""
 {SQL_MESSAGES} select file, leaf, len(m)::BIGINT as n, {SQL_VALID.format(m='m')} as valid from tl""")
 def _(t):
-    _, table, _, walks = walked(t)
-    threaded = T.thread_messages(walks, T.node_messages(table))
+    r, table, _, walks = walked(t)
+    threaded = T.thread_messages(walks, T.node_messages(r, table))
     return threaded.select("file", "leaf", F.size("messages").cast("bigint").alias("n"),
                            T.is_valid(F.col("messages")).alias("valid"))
 
@@ -147,16 +149,16 @@ def _(t):
 @catalog.add("th_10_11_examples", f"""
 {SQL_EXAMPLES} select file, leaf, win::BIGINT as win, {SQL_SHOW.format(m='m')} as shown from exo""")
 def _(t):
-    _, table, _, walks = walked(t)
-    found = T.examples(T.thread_messages(walks, T.node_messages(table)))
+    r, table, _, walks = walked(t)
+    found = T.examples(T.thread_messages(walks, T.node_messages(r, table)))
     return found.select("file", "leaf", F.col("window").cast("bigint").alias("win"), show().alias("shown"))
 
 
 @catalog.add("th_12_distinct_openings", f"""
 {SQL_EXAMPLES} select file, first_line, win::BIGINT as win, {SQL_SHOW.format(m='m')} as shown from dd""")
 def _(t):
-    _, table, ends, walks = walked(t)
-    threaded = T.thread_messages(walks, T.node_messages(table)).join(
+    r, table, ends, walks = walked(t)
+    threaded = T.thread_messages(walks, T.node_messages(r, table)).join(
         ends.withColumnRenamed("uuid", "leaf"), ["file", "leaf"])
     kept = T.distinct_openings(T.examples(threaded), ["file", "first_line", "window"])
     return kept.select("file", "first_line", F.col("window").cast("bigint").alias("win"), show().alias("shown"))

@@ -130,7 +130,17 @@ def csv_table(spark: SparkSession, path, schema: str | T.StructType, required: S
 
 def parquet_table(spark: SparkSession, path, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work when the input has fewer splits than there are cores.
+
+    A table of one file with one row group is read by one task, and all expressions behind
+    the scan would run there.  Large tables have more splits than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def batch_outputs(spark: SparkSession, prefix: str) -> DataFrame:
