@@ -51,13 +51,13 @@ def walk_up(node_table: DataFrame, leaf_table: DataFrame, limit: int = MAX_NODES
     """(file, leaf, depth, uuid) for every node on the way up, leaf at depth 0.
 
     Jump tables double each round (1, 2, 4, ... steps up), so a walk of 60 takes six joins.
-    A parent that is not a node ends the walk.  Only ids move, never contents.
+    A parent that is not a node ends the walk.  Only ids move, never contents.  Pass a
+    materialised ``node_table``: it is read several times.
     """
     ids = node_table.select("file", "uuid")
     links = node_table.filter(F.col("parent") != "").select("file", "uuid", F.col("parent").alias("up"))
     # a node without parents below it in the table keeps no link
-    jump = cut_lineage(
-        links.join(ids.withColumnRenamed("uuid", "up"), ["file", "up"], "left_semi").select("file", "uuid", "up"))
+    jump = links.join(ids.withColumnRenamed("uuid", "up"), ["file", "up"], "left_semi").select("file", "uuid", "up")
     front = leaf_table.select("file", F.col("uuid").alias("leaf"), F.lit(0).alias("depth"), "uuid")
     width = 1
     while width < limit:

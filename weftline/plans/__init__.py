@@ -14,7 +14,7 @@ TABLE_NAMES = (
 ).split()
 
 
-HEAVY = ("documents", "conversations", "pages", "embeddings", "part")  # work per row is large
+HEAVY = ("documents", "conversations", "pages")  # work per row is large
 
 
 class Tables:
