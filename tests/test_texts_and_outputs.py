@@ -166,7 +166,8 @@ def test_reading_and_editing(spark):
                                        ("a.ba.b", "error: old_string appears 2 times (use all=true)")]
 
 
-def test_unknown_tool_and_glob(spark):
+def test_unknown_tool_and_glob(spark, monkeypatch):
+    monkeypatch.setattr(corpus_search, "CALL_BLOCK", 1)  # more searches than one block holds
     corpus = spark.createDataFrame([("a/x.py", "one\ntwo"), ("a/b/y.py", "three"), ("node_modules/z.py", "")], "path string, text string")
     calls = spark.createDataFrame([(1, "read", '{"path": "a/x.py", "offset": 1}'), (2, "glob", '{"pat": "a/**/*.py"}'),
                                    (3, "grep", '{"pat": "t[wh]"}'), (4, "fly", "{}"), (5, "read", '{"path": "no"}')],

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
@@ -18,7 +18,7 @@ MAX_HITS = 80
 MAX_OUTPUT = 48_000
 SKIPPED_FOLDERS = (".git", "node_modules", "__pycache__", ".venv", "venv", "dist", "build", ".mypy_cache",
                    ".pytest_cache", "target")
-MAX_CALLS = 1_000
+CALL_BLOCK = 500  # searches answered in one pass over the corpus
 
 
 def line_array(text: Column) -> Column:
@@ -99,6 +99,35 @@ def capped(output: Column, limit: int = MAX_OUTPUT) -> Column:
                  F.lit(" chars]"))).otherwise(output)
 
 
+def _search_blocks(searches: DataFrame) -> Iterator[list[Row]]:
+    """The searches in blocks of bounded size, by call id."""
+    rest = searches
+    while rows := rest.orderBy("call_id").limit(CALL_BLOCK).collect():
+        yield rows
+        rest = searches.filter(F.col("call_id") > rows[-1]["call_id"])
+
+
+def _search_outputs(searches: list[Row], corpus: DataFrame) -> list[DataFrame]:
+    """One pass over the corpus per kind of search answers a whole block."""
+    def matching(column: str, name: str, to_regex: Callable[[str], str]) -> Column:
+        # ids of the calls whose pattern fits; literal patterns are compiled once per task
+        tests = [F.when(F.col(column).rlike(to_regex(c["_pat"])), F.lit(c["call_id"]))
+                 for c in searches if c["name"] == name]
+        return F.filter(F.array(*tests), lambda i: i.isNotNull())
+
+    outputs = []
+    if any(c["name"] == "grep" for c in searches):
+        hits = lines(corpus, ["path"]).withColumn("call_id", F.explode(matching("line", "grep", str)))
+        outputs.append(hits.select(
+            "call_id", F.lit("grep").alias("name"), (F.col("line_no") + 1).cast("bigint").alias("seq"),
+            F.concat_ws(":", "path", (F.col("line_no") + 1).cast("string"), "line").alias("output")))
+    if any(c["name"] == "glob" for c in searches):
+        listed = corpus.select("path", F.explode(matching("path", "glob", glob_pattern)).alias("call_id"))
+        outputs.append(listed.select("call_id", F.lit("glob").alias("name"), F.lit(0).cast("bigint").alias("seq"),
+                                     F.col("path").alias("output")))
+    return outputs
+
+
 def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] | None = None) -> DataFrame:
     """Answer a table of tool calls (call_id, name, args JSON) over a corpus (path, text).
 
@@ -115,27 +144,9 @@ def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] |
         "call_id", "name", F.lit(0).cast("bigint").alias("seq"),
         capped(F.coalesce(read_slice(F.col("text"), F.col("_offset"), F.col("_limit")),
                           F.concat(F.lit("error: not a file: "), F.col("_path")))).alias("output"))
-    searches = calls.filter(F.col("name").isin("grep", "glob")).select("call_id", "name", "_pat").limit(
-        MAX_CALLS + 1).collect()
-    if len(searches) > MAX_CALLS:
-        raise ValueError(f"at most {MAX_CALLS} searches per run; split the call table")
     outputs = [read]
-
-    def matching(column: str, name: str, to_regex: Callable[[str], str]) -> Column:
-        """Ids of the calls whose pattern fits; literal patterns are compiled once per task."""
-        tests = [F.when(F.col(column).rlike(to_regex(c["_pat"])), F.lit(c["call_id"]))
-                 for c in searches if c["name"] == name]
-        return F.filter(F.array(*tests), lambda i: i.isNotNull())
-
-    if any(c["name"] == "grep" for c in searches):
-        hits = lines(corpus, ["path"]).withColumn("call_id", F.explode(matching("line", "grep", str)))
-        outputs.append(hits.select(
-            "call_id", F.lit("grep").alias("name"), (F.col("line_no") + 1).cast("bigint").alias("seq"),
-            F.concat_ws(":", "path", (F.col("line_no") + 1).cast("string"), "line").alias("output")))
-    if any(c["name"] == "glob" for c in searches):
-        listed = corpus.select("path", F.explode(matching("path", "glob", glob_pattern)).alias("call_id"))
-        outputs.append(listed.select("call_id", F.lit("glob").alias("name"), F.lit(0).cast("bigint").alias("seq"),
-                                     F.col("path").alias("output")))
+    for searches in _search_blocks(calls.filter(F.col("name").isin("grep", "glob")).select("call_id", "name", "_pat")):
+        outputs += _search_outputs(searches, corpus)
     known = ["read", "grep", "glob", *(extra or {})]
     unknown = calls.filter(~F.col("name").isin(*known))
     outputs.append(unknown.select(

@@ -46,24 +46,22 @@ def sentence_rows(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
     return docs.select(key, F.posexplode(sentences(text_col)).alias("sent", "sentence"))
 
 
-def word_occurrences(docs: DataFrame, key: str, text_col: str = "text",
-                     stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:
-    """One row per content word occurrence with the count of the word in its text and its first place.
+def content_words(docs: DataFrame, key: str, text_col: str = "text",
+                  stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:
+    """One row per content word occurrence with its sentence and place.
 
-    Places are one number, sentence before position, so that counting stays with plain longs.
+    The place is one number, sentence before position, so that counting stays with plain longs.
     """
     rows = sentence_rows(docs.select(key, text_col).repartition(key), key, text_col)
     tokens = rows.select(key, "sent", F.posexplode(X.word_tokens("sentence")).alias("pos", "word"))
-    content = tokens.filter(is_content_word(F.col("word"), stop_words)).select(
+    return tokens.filter(is_content_word(F.col("word"), stop_words)).select(
         key, "sent", "word", F.expr("cast(sent as bigint) * 4294967296 + pos").alias("place"))
-    same_word = Window.partitionBy(key, "word")
-    return content.withColumns({"n": F.count(F.lit(1)).over(same_word), "first_at": F.min("place").over(same_word)})
 
 
-def keyword_frequencies(occurrences: DataFrame, key: str) -> DataFrame:
+def keyword_frequencies(words: DataFrame, key: str) -> DataFrame:
     """Count, share of the text's largest count and first place per word."""
-    words = occurrences.groupBy(key, "word").agg(F.max("n").alias("n"), F.min("place").alias("first_at"))
-    return words.withColumn("share", F.col("n") / F.max("n").over(Window.partitionBy(key)))
+    counts = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first_at"))
+    return counts.withColumn("share", F.col("n") / F.max("n").over(Window.partitionBy(key)))
 
 
 def top_keywords(frequencies: DataFrame, key: str, n: int = 5) -> DataFrame:
@@ -72,9 +70,10 @@ def top_keywords(frequencies: DataFrame, key: str, n: int = 5) -> DataFrame:
     return frequencies.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
-def sentence_scores(occurrences: DataFrame, key: str) -> DataFrame:
+def sentence_scores(words: DataFrame, key: str) -> DataFrame:
     """Sum of the shares of all word occurrences; the largest count is found among sentences, not words."""
-    sums = occurrences.groupBy(key, "sent").agg(F.sum("n").alias("_s"), F.max("n").alias("_m"))
+    counted = words.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(key, "word")))
+    sums = counted.groupBy(key, "sent").agg(F.sum("n").alias("_s"), F.max("n").alias("_m"))
     score = F.col("_s") / F.max("_m").over(Window.partitionBy(key))
     return sums.select(key, "sent", score.alias("score"))
 
@@ -92,10 +91,10 @@ def summarize(docs: DataFrame, key: str, text_col: str = "text", n_sentences: in
               stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:
     """Summary, sentence count, top keywords and error per document; no document is lost."""
     base = docs.select(key, text_col).repartition(key)
-    scored = word_occurrences(docs, key, text_col, stop_words)
-    best = ranked_sentences(sentence_scores(scored, key), key).filter(F.col("rank") <= n_sentences)
+    content = content_words(docs, key, text_col, stop_words)
+    best = ranked_sentences(sentence_scores(content, key), key).filter(F.col("rank") <= n_sentences)
     picked = best.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "sent"))).alias("_picked"))
-    words = top_keywords(keyword_frequencies(scored, key), key, n_keywords).groupBy(key).agg(
+    words = top_keywords(keyword_frequencies(content, key), key, n_keywords).groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("_words"))
     parts = sentences(text_col)
     full = base.withColumn("_s", parts).join(picked, key, "left").join(words, key, "left")

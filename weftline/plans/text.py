@@ -176,7 +176,7 @@ def _(t):
 @catalog.add("sm_02_03_keyword_frequencies", f"""
 with {SQL_WORDS} select doc_id, word, n, round(share, 6) as share from fs""")
 def _(t):
-    freq = S.keyword_frequencies(S.word_occurrences(t.documents, "doc_id"), "doc_id")
+    freq = S.keyword_frequencies(S.content_words(t.documents, "doc_id"), "doc_id")
     return freq.select("doc_id", "word", "n", F.round("share", 6).alias("share"))
 
 
@@ -184,14 +184,14 @@ def _(t):
 with {SQL_WORDS} select doc_id, rank::BIGINT as rank, word, n from (
   select *, row_number() over (partition by doc_id order by n desc, first_at) as rank from fs) where rank <= 5""")
 def _(t):
-    freq = S.keyword_frequencies(S.word_occurrences(t.documents, "doc_id"), "doc_id")
+    freq = S.keyword_frequencies(S.content_words(t.documents, "doc_id"), "doc_id")
     return S.top_keywords(freq, "doc_id").select("doc_id", F.col("rank").cast("bigint").alias("rank"), "word", "n")
 
 
 @catalog.add("sm_05_07_sentence_scores", f"""
 with {SQL_WORDS} select doc_id, sent::BIGINT as sent, rank::BIGINT as rank, round(score, 6) as score from rk""")
 def _(t):
-    ranked = S.ranked_sentences(S.sentence_scores(S.word_occurrences(t.documents, "doc_id"), "doc_id"), "doc_id")
+    ranked = S.ranked_sentences(S.sentence_scores(S.content_words(t.documents, "doc_id"), "doc_id"), "doc_id")
     return ranked.select("doc_id", F.col("sent").cast("bigint").alias("sent"), F.col("rank").cast("bigint").alias("rank"),
                          F.round("score", 6).alias("score"))
 
