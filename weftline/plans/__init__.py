@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weftline.session import ship_package
 from weftline.sources.readers import parquet_table
 
 TABLE_NAMES = (
@@ -39,7 +40,11 @@ class Catalog:
 
     def add(self, key: str, sql: str | None = None):
         def keep(fn: Callable[[Tables], DataFrame]):
-            self.queries[key] = lambda spark, path: fn(Tables(spark, path))
+            def query(spark: SparkSession, path: str) -> DataFrame:
+                ship_package(spark)
+                return fn(Tables(spark, path))
+
+            self.queries[key] = query
             if sql is not None:
                 self.sql[key] = sql
             return fn

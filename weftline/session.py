@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +51,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise reliably, so that a lost executor does not replay the whole history."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context, so that they need no installation of it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_weftline_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    if not root.is_dir():  # already runs from an archive that was sent
+        return
+    archive = Path(tempfile.mkdtemp(prefix="weftline-package-")) / "weftline_package.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._weftline_shipped = True
