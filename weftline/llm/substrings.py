@@ -27,7 +27,6 @@ from pyspark.sql.types import StructType
 from weftline.llm import words as W
 from weftline.llm.fm_index import FMIndex, repeated_starts
 from weftline.llm.groups import stage
-from weftline.operators.lookup import lookup_join
 
 GRAM = 6
 SHARD_WORDS = 400_000
@@ -162,9 +161,11 @@ def search_shard(texts: list[bytes], weights: np.ndarray, width: int) -> tuple[n
 def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     """(key, spans): covered word ranges (stop exclusive) of documents ``docs(key, text)`` with repeated windows."""
     anchors = _anchors(docs, width)
-    often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # stored apart from the join, so that adaptive execution can split a hot hash there
+    often = stage(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "often")
     wanted = anchors.join(often, "anchor", "left_semi").groupBy("key").agg(F.collect_set("idx").alias("wanted"))
-    pieces = stage(_pieces(lookup_join(docs, stage(wanted, "wanted"), ["key"]), width), "pieces")
+    # texts are shuffled at every size: a copy of the other side would only fit small inputs
+    pieces = stage(_pieces(docs.join(wanted, "key"), width), "pieces")
 
     # a document row that came several times counts as often
     stretch = pieces.groupBy("s1", "s2").agg(
@@ -213,7 +214,7 @@ def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     # equal rows share a key; their spans are equal too
     packed = packed.withColumn("key", F.xxhash64(F.to_json("row"), "text"))
     spans = repeated_windows(packed.filter("text is not null").select("key", "text"), width)
-    joined = lookup_join(packed, spans, ["key"], "left").select("row", "text", "spans")
+    joined = packed.join(spans, "key", "left").select("row", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
