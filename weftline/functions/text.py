@@ -52,10 +52,6 @@ def title_case(c: Column | str) -> Column:
     return F.array_join(let(F.split(F.lower(col(c)), ""), shape), "")
 
 
-def starts_with(c: Column, prefix: str) -> Column:
-    return c.startswith(F.lit(prefix))
-
-
 def before(c: Column, mark: str) -> Column:
     """Text up to the first ``mark``, or all of it."""
     return F.substring_index(c, mark, 1)
@@ -76,6 +72,6 @@ def cut(c: Column, n: int) -> Column:
     return F.substring(c, 1, n)
 
 
-def count_of(c: Column, needle: str) -> Column:
-    """Non-overlapping occurrences of a literal."""
-    return ((F.length(c) - F.length(F.replace(c, F.lit(needle), F.lit("")))) / len(needle)).cast("bigint")
+def named(name: str) -> Column:
+    """A column by its literal name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")

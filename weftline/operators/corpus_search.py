@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Row
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
 from weftline.functions.vectors import let
 from weftline.operators.chunking import lines
+from weftline.session import cut_lineage
 
 # Limits and folders that listings leave out.
 MAX_LINES = 800
@@ -18,7 +21,7 @@ MAX_HITS = 80
 MAX_OUTPUT = 48_000
 SKIPPED_FOLDERS = (".git", "node_modules", "__pycache__", ".venv", "venv", "dist", "build", ".mypy_cache",
                    ".pytest_cache", "target")
-CALL_BLOCK = 500  # searches answered in one pass over the corpus
+PATTERN_BLOCK = 5_000  # distinct patterns searched in one pass over the corpus
 
 
 def line_array(text: Column) -> Column:
@@ -26,15 +29,16 @@ def line_array(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
 
 
-def read_slice(text: Column, offset: Column | int = 0, limit: Column | int | None = None) -> Column:
-    """Numbered lines from ``offset``, at most 800, with a note on what is left."""
+def read_slice(text: Column, offset: Column | int = 0, limit: Column | int | None = None,
+               max_lines: int | None = MAX_LINES) -> Column:
+    """Numbered lines from ``offset``, at most ``max_lines`` (None: all), with a note on what is left."""
     at = offset if isinstance(offset, Column) else F.lit(offset)
 
     def show(ls: Column) -> Column:
         n = F.size(ls)
         asked = n - at if limit is None else F.coalesce(
             limit if isinstance(limit, Column) else F.lit(limit), n - at)
-        cap = F.least(asked, F.lit(MAX_LINES))
+        cap = asked if max_lines is None else F.least(asked, F.lit(max_lines))
         numbered = F.transform(F.slice(ls, at + 1, F.greatest(cap, F.lit(0))),
                                lambda line, i: F.concat(F.format_string("%4d| ", at + i + 1), line))
         left = n - at - cap
@@ -48,12 +52,12 @@ def read_slice(text: Column, offset: Column | int = 0, limit: Column | int | Non
 
 def grep(corpus: DataFrame, pattern: str, limit: int = MAX_HITS) -> DataFrame:
     """First matching lines by path and line number, and the number of further hits."""
-    hits = lines(corpus, ["path"]).filter(F.col("line").rlike(pattern)).select(
-        "path", (F.col("line_no") + 1).alias("line_no"), F.rtrim("line").alias("line"))
-    more = max(0, hits.count() - limit)
-    return hits.orderBy("path", "line_no").limit(limit).select(
-        "path", "line_no", F.concat_ws(":", "path", F.col("line_no").cast("string"), "line").alias("hit"),
-        F.lit(more).cast("bigint").alias("more"))
+    # hits are found once and kept, because they are both counted and ranked
+    hits = cut_lineage(lines(corpus, ["path"]).filter(F.col("line").rlike(pattern)).select(
+        "path", (F.col("line_no") + 1).alias("line_no"), F.rtrim("line").alias("line")))
+    more = hits.agg(F.greatest(F.count(F.lit(1)) - limit, F.lit(0)).cast("bigint").alias("more"))  # one row
+    return hits.orderBy("path", "line_no").limit(limit).crossJoin(F.broadcast(more)).select(
+        "path", "line_no", F.concat_ws(":", "path", F.col("line_no").cast("string"), "line").alias("hit"), "more")
 
 
 def glob_pattern(pattern: str) -> str:
@@ -99,59 +103,90 @@ def capped(output: Column, limit: int = MAX_OUTPUT) -> Column:
                  F.lit(" chars]"))).otherwise(output)
 
 
-def _search_blocks(searches: DataFrame) -> Iterator[list[Row]]:
-    """The searches in blocks of bounded size, by call id."""
-    rest = searches
-    while rows := rest.orderBy("call_id").limit(CALL_BLOCK).collect():
-        yield rows
-        rest = searches.filter(F.col("call_id") > rows[-1]["call_id"])
-
-
-def _search_outputs(searches: list[Row], corpus: DataFrame) -> list[DataFrame]:
-    """One pass over the corpus per kind of search answers a whole block."""
-    def matching(column: str, name: str, to_regex: Callable[[str], str]) -> Column:
-        # ids of the calls whose pattern fits; literal patterns are compiled once per task
-        tests = [F.when(F.col(column).rlike(to_regex(c["_pat"])), F.lit(c["call_id"]))
-                 for c in searches if c["name"] == name]
-        return F.filter(F.array(*tests), lambda i: i.isNotNull())
-
-    outputs = []
-    if any(c["name"] == "grep" for c in searches):
-        hits = lines(corpus, ["path"]).withColumn("call_id", F.explode(matching("line", "grep", str)))
-        outputs.append(hits.select(
-            "call_id", F.lit("grep").alias("name"), (F.col("line_no") + 1).cast("bigint").alias("seq"),
-            F.concat_ws(":", "path", (F.col("line_no") + 1).cast("string"), "line").alias("output")))
-    if any(c["name"] == "glob" for c in searches):
-        listed = corpus.select("path", F.explode(matching("path", "glob", glob_pattern)).alias("call_id"))
-        outputs.append(listed.select("call_id", F.lit("glob").alias("name"), F.lit(0).cast("bigint").alias("seq"),
-                                     F.col("path").alias("output")))
-    return outputs
-
-
-def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] | None = None) -> DataFrame:
+def _pattern_blocks(patterns: DataFrame, size: int) -> Iterator[list[tuple[str, str]]]:
+    """Distinct (name, pattern) pairs in blocks of at most ``size``."""
+    rows = patterns.toLocalIterator()
+    while block := [(r["name"], r["_pat"]) for r in islice(rows, size)]:
+        yield block
+
+
+def _compile(name: str, pattern: str) -> re.Pattern:
+    return re.compile(glob_pattern(pattern) if name == "glob" else pattern)
+
+
+def _searcher(block: list[tuple[str, str]]):
+    """Hits of every pattern of a block in one pass over (path, text)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        greps = [(p, _compile(n, p)) for n, p in block if n == "grep"]
+        globs = [(p, _compile(n, p)) for n, p in block if n == "glob"]
+        for batch in batches:
+            out = []
+            for path, text in zip(batch["path"], batch["text"]):
+                out += [("glob", p, 0, path) for p, rx in globs if path is not None and rx.search(path)]
+                if text and greps:
+                    for n, line in enumerate(text.removesuffix("\n").split("\n"), 1):
+                        shown = f"{n}:{line}" if path is None else f"{path}:{n}:{line}"
+                        out += [("grep", p, n, shown) for p, rx in greps if rx.search(line)]
+            yield pd.DataFrame(out, columns=["name", "_pat", "seq", "output"])
+
+    return run
+
+
+def _pattern_errors(names: pd.Series, patterns: pd.Series) -> pd.Series:
+    """The message for each pattern that does not compile, else null."""
+    def one(name, pattern):
+        try:
+            _compile(name, pattern)
+        except re.error as e:
+            return f"error: {e}"
+        return None
+
+    return pd.Series([one(n, p) for n, p in zip(names, patterns)], dtype=object)
+
+
+def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] | None = None,
+              pattern_block: int = PATTERN_BLOCK) -> DataFrame:
     """Answer a table of tool calls (call_id, name, args JSON) over a corpus (path, text).
 
-    ``read`` gives one row per call, ``grep`` and ``glob`` one row per hit; an unknown name
-    gives an error row.  ``extra`` adds tools: name -> function(calls, corpus) -> rows.
+    ``read`` gives one row per call, ``grep`` and ``glob`` one row per hit.  An unknown or missing name, a
+    missing argument and a pattern that does not compile each give an error row for their call.  Ids may
+    repeat or be null: every call is answered for itself.  ``extra`` adds tools: name ->
+    function(calls, corpus) -> rows.
+
+    Equal patterns are searched once.  Each pass over the corpus takes ``pattern_block`` distinct patterns, and
+    the hits meet their calls in a join, so the number of calls does not matter to the driver.
     """
     arg = F.try_parse_json("args")
     calls = calls.withColumns({
         "_path": F.try_variant_get(arg, "$.path", "string"), "_pat": F.try_variant_get(arg, "$.pat", "string"),
         "_offset": F.coalesce(F.try_variant_get(arg, "$.offset", "int"), F.lit(0)),
         "_limit": F.try_variant_get(arg, "$.limit", "int")})
+    zero = F.lit(0).cast("bigint").alias("seq")
+
+    def failed(rows: DataFrame, message: Column) -> DataFrame:
+        return rows.select("call_id", "name", zero, message.alias("output"))
+
     asked = calls.filter(F.col("name") == "read")
-    read = asked.join(corpus.withColumnRenamed("path", "_path"), "_path", "left").select(
-        "call_id", "name", F.lit(0).cast("bigint").alias("seq"),
-        capped(F.coalesce(read_slice(F.col("text"), F.col("_offset"), F.col("_limit")),
-                          F.concat(F.lit("error: not a file: "), F.col("_path")))).alias("output"))
-    outputs = [read]
-    for searches in _search_blocks(calls.filter(F.col("name").isin("grep", "glob")).select("call_id", "name", "_pat")):
-        outputs += _search_outputs(searches, corpus)
+    named = asked.filter(F.col("_path").isNotNull())
+    outputs = [
+        named.join(corpus.withColumnRenamed("path", "_path"), "_path", "left").select(
+            "call_id", "name", zero,
+            capped(F.coalesce(read_slice(F.col("text"), F.col("_offset"), F.col("_limit")),
+                              F.concat(F.lit("error: not a file: "), F.col("_path")))).alias("output")),
+        failed(asked.filter(F.col("_path").isNull()), F.lit("error: 'path'"))]
+    searches = calls.filter(F.col("name").isin("grep", "glob"))
+    outputs.append(failed(searches.filter(F.col("_pat").isNull()), F.lit("error: 'pat'")))
+    searches = searches.filter(F.col("_pat").isNotNull()).select("call_id", "name", "_pat")
+    patterns = cut_lineage(searches.select("name", "_pat").distinct().withColumn(
+        "_error", F.pandas_udf(_pattern_errors, "string")("name", "_pat")))
+    bad = patterns.filter(F.col("_error").isNotNull())
+    outputs.append(failed(searches.join(bad, ["name", "_pat"]), F.col("_error")))
+    for block in _pattern_blocks(patterns.filter(F.col("_error").isNull()).select("name", "_pat"), pattern_block):
+        hits = corpus.select("path", "text").mapInPandas(_searcher(block), "name string, _pat string, seq bigint, output string")
+        outputs.append(searches.join(hits, ["name", "_pat"]).select("call_id", "name", "seq", "output"))
     known = ["read", "grep", "glob", *(extra or {})]
-    unknown = calls.filter(~F.col("name").isin(*known))
-    outputs.append(unknown.select(
-        "call_id", "name", F.lit(0).cast("bigint").alias("seq"),
-        F.concat(F.lit("error: unknown tool '"), F.col("name"), F.lit("'")).alias("output")))
+    unknown = calls.filter(F.col("name").isNull() | ~F.col("name").isin(*known))
+    outputs.append(failed(unknown, F.concat(F.lit("error: unknown tool '"), F.coalesce("name", F.lit("null")), F.lit("'"))))
     for name, fn in (extra or {}).items():
         outputs.append(fn(calls.filter(F.col("name") == name), corpus).select("call_id", "name", "seq", "output"))
     result = outputs[0]

@@ -75,7 +75,7 @@ def confusion_shares(df: DataFrame, label: str, predicted: str, classes: list) -
     """Share of all rows per (label, predicted) cell, predicted classes as columns."""
     n = df.count()
     counts = df.groupBy(label).pivot(predicted, classes).count().na.fill(0)
-    return counts.select(label, *[(F.col(str(c)) / n).alias(f"predicted_{c}") for c in classes])
+    return counts.select(label, *[(F.col(f"`{c}`") / n).alias(f"predicted_{c}") for c in classes])
 
 
 def approval_rates(df: DataFrame, label: str, predicted: str) -> DataFrame:

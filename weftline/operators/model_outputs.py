@@ -225,16 +225,17 @@ def convert_response(body: Column) -> Column:
 
 # ---------------------------------------------------------------- evaluation reports
 
-def evaluation_results(log: DataFrame) -> DataFrame:
-    """Per model and prompt: last answer, total latency, steps, tool output cut to its limit.
+def evaluation_results(log: DataFrame, result_chars: int | None = RESULT_CHARS) -> DataFrame:
+    """Per model and prompt: last answer, total latency, steps, tool output cut to ``result_chars`` (None: whole).
 
     The log has model, prompt, step, answer, latency and tool_result.
     """
+    last_result = F.max_by("tool_result", "step")
     return log.groupBy("model", "prompt").agg(
         F.max_by("answer", "step").alias("answer"),
         F.sum("latency").alias("latency"),
         F.count(F.lit(1)).alias("steps"),
-        X.cut(F.max_by("tool_result", "step"), RESULT_CHARS).alias("tool_result"))
+        (last_result if result_chars is None else X.cut(last_result, result_chars)).alias("tool_result"))
 
 
 def seconds(latency: Column) -> Column:
@@ -256,15 +257,15 @@ def pivot_results(results: DataFrame, models: list[str]) -> DataFrame:
         F.first("answer").alias("answer"), F.first("latency").alias("latency"))
     columns = []
     for m in models:
-        columns.append(cell(F.coalesce(f"{m}_answer", F.lit(NO_RESULT))).alias(f"{m}_answer"))
-        columns.append(F.coalesce(seconds(F.col(f"{m}_latency")), F.lit(DASH)).alias(f"{m}_latency"))
+        columns.append(cell(F.coalesce(X.named(f"{m}_answer"), F.lit(NO_RESULT))).alias(f"{m}_answer"))
+        columns.append(F.coalesce(seconds(X.named(f"{m}_latency")), F.lit(DASH)).alias(f"{m}_latency"))
     return wide.select("prompt", *columns)
 
 
 def report_lines(wide: DataFrame, models: list[str]) -> DataFrame:
     """The pivot as ordered Markdown lines: (prompt, line_no, line)."""
     def row(label: str, kind: str) -> Column:
-        cells = [x for m in models for x in (F.col(f"{m}_{kind}"), F.lit(" | "))][:-1]
+        cells = [x for m in models for x in (X.named(f"{m}_{kind}"), F.lit(" | "))][:-1]
         return F.concat(F.lit(f"| {label} | "), *cells, F.lit(" |"))
 
     lines = F.array(
@@ -286,6 +287,20 @@ def tool_log_blocks(log: DataFrame, keys: list[str]) -> DataFrame:
     return log.select(*keys, "step", F.array_join(F.concat(response, call), "\n").alias("block"))
 
 
+def tool_logs(log: DataFrame, keys: list[str], per: int = 256) -> DataFrame:
+    """One text per task: the blocks of :func:`tool_log_blocks` in step order, between blank lines.
+
+    Runs of ``per`` steps are joined first, so a long log is put together from few long pieces.
+    """
+    def joined(order: str) -> Column:
+        rows = F.sort_array(F.collect_list(F.struct(order, "block")))
+        return F.array_join(F.transform(rows, lambda b: b["block"]), "\n\n")
+
+    blocks = tool_log_blocks(log, keys).withColumn("_run", F.floor(F.col("step") / per))
+    runs = blocks.groupBy(*keys, "_run").agg(joined("step").alias("block"))
+    return runs.groupBy(*keys).agg(joined("_run").alias("tool_log"))
+
+
 def scenario_order(names: DataFrame, column: str, prefix: str) -> DataFrame:
     """Names ``<prefix><number>`` with their place in numeric order; others are left out."""
     fitting = names.filter(F.col(column).rlike(f"^{prefix}\\d+$")).select(column).distinct()

@@ -163,19 +163,19 @@ def _(t):
                        F.col("r.output_tokens").cast("bigint").alias("output_tokens"))
 
 
-MODELS = ["m0", "m1", "m2", "m3"]
+MODELS = ["m0", "m1", "Qwen2.5-3B", "m3"]
 
 
 def evaluation_log(t: Tables):
     return t.conversations.select(
-        F.expr("concat('m', conv_id % 3)").alias("model"), F.expr("concat('prompt | ', conv_id div 4)").alias("prompt"),
+        F.expr("if(conv_id % 3 = 2, 'Qwen2.5-3B', concat('m', conv_id % 3))").alias("model"), F.expr("concat('prompt | ', conv_id div 4)").alias("prompt"),
         (F.col("conv_id") * 100 + F.col("turn")).alias("step"), F.col("text").alias("answer"),
         F.expr("cast(length(text) div 10 as double) / 100").alias("latency"),
         F.concat("text", "text").alias("tool_result"))
 
 
 SQL_RESULTS = """
- lg as (select 'm' || (conv_id % 3) as model, 'prompt | ' || (conv_id // 4) as prompt, conv_id * 100 + turn as step,
+ lg as (select case when conv_id % 3 = 2 then 'Qwen2.5-3B' else 'm' || (conv_id % 3) end as model, 'prompt | ' || (conv_id // 4) as prompt, conv_id * 100 + turn as step,
    text as answer, (length(text) // 10) / 100.0::DOUBLE as latency, text || text as tool_result from conversations),
  rs as (select model, prompt, arg_max(answer, step) as answer, sum(latency) as latency, count(*) as steps,
    arg_max(tool_result, step)[1:800] as tool_result from lg group by model, prompt)
@@ -190,8 +190,8 @@ def _(t):
 
 def _sql_cell(m: str) -> str:
     return (f"replace(replace(coalesce(max(case when model = '{m}' then answer end), '*(no result)*'), chr(10), '<br>'), "
-            f"'|', '\\|') as {m}_answer, coalesce(printf('%.2f', max(case when model = '{m}' then latency end)) || 's', '—') "
-            f"as {m}_latency")
+            f"'|', '\\|') as \"{m}_answer\", coalesce(printf('%.2f', max(case when model = '{m}' then latency end)) || 's', '—') "
+            f"as \"{m}_latency\"")
 
 
 SQL_PIVOT = f"""
@@ -204,9 +204,9 @@ def _(t):
 
 
 @catalog.add("ev_14_report_lines", f"""{SQL_PIVOT},
-l as (select prompt, ['### Q: ' || prompt, '', '| | m0 | m1 | m2 | m3 |', '|---|---|---|---|---|',
-  '| **Answer** | ' || m0_answer || ' | ' || m1_answer || ' | ' || m2_answer || ' | ' || m3_answer || ' |',
-  '| **Latency** | ' || m0_latency || ' | ' || m1_latency || ' | ' || m2_latency || ' | ' || m3_latency || ' |', ''] as ls from wide)
+l as (select prompt, ['### Q: ' || prompt, '', '| | m0 | m1 | Qwen2.5-3B | m3 |', '|---|---|---|---|---|',
+  '| **Answer** | ' || m0_answer || ' | ' || m1_answer || ' | ' || "Qwen2.5-3B_answer" || ' | ' || m3_answer || ' |',
+  '| **Latency** | ' || m0_latency || ' | ' || m1_latency || ' | ' || "Qwen2.5-3B_latency" || ' | ' || m3_latency || ' |', ''] as ls from wide)
 select prompt, unnest(range(7))::BIGINT as line_no, unnest(ls) as line from l""")
 def _(t):
     lines = M.report_lines(M.pivot_results(M.evaluation_results(evaluation_log(t)), MODELS), MODELS)
@@ -221,15 +221,26 @@ def _(t):
                               M.short_title(F.col("text")).alias("title"))
 
 
+def tool_log(t: Tables):
+    return t.conversations.select(
+        "conv_id", F.col("turn").cast("bigint").alias("step"), F.expr("if(turn % 3 = 0, '', text)").alias("response"),
+        F.array(F.struct(F.lit("read").alias("tool"), F.concat(F.lit('{"n":'), F.col("turn"), F.lit("}")).alias("args"),
+                         F.col("role").alias("result"))).alias("tool_calls"))
+
+
 @catalog.add("ev_16_tool_log", """
 select conv_id, turn::BIGINT as step, case when turn % 3 = 0 then '' else text || chr(10) end || chr(10) || '**→ read({"n":' || turn ||
   '})**' || chr(10) || '```' || chr(10) || role || chr(10) || '```' as block from conversations""")
 def _(t):
-    log = t.conversations.select(
-        "conv_id", F.col("turn").cast("bigint").alias("step"), F.expr("if(turn % 3 = 0, '', text)").alias("response"),
-        F.array(F.struct(F.lit("read").alias("tool"), F.concat(F.lit('{"n":'), F.col("turn"), F.lit("}")).alias("args"),
-                         F.col("role").alias("result"))).alias("tool_calls"))
-    return M.tool_log_blocks(log, ["conv_id"])
+    return M.tool_log_blocks(tool_log(t), ["conv_id"])
+
+
+@catalog.add("ev_16_tool_log_texts", """
+with b as (select conv_id, turn, case when turn % 3 = 0 then '' else text || chr(10) end || chr(10) || '**→ read({"n":' || turn ||
+  '})**' || chr(10) || '```' || chr(10) || role || chr(10) || '```' as block from conversations)
+select conv_id, string_agg(block, chr(10) || chr(10) order by turn) as tool_log from b group by conv_id""")
+def _(t):
+    return M.tool_logs(tool_log(t), ["conv_id"], per=3)
 
 
 @catalog.add("ev_17_scenarios", """
@@ -255,14 +266,14 @@ SQL_PATH_LINES = f"""{SQL_CORPUS},
 
 
 @catalog.add("gr_01_line_slices", f"""
-with {SQL_PATH_LINES}, n as (select path, count(*) as n from ln group by path),
+with {SQL_PATH_LINES}, n as (select cp.path, count(ln.line_no) as n from cp left join ln using (path) group by cp.path),
 s as (select path, string_agg(lpad(line_no::VARCHAR, greatest(4, length(line_no::VARCHAR))::INT, ' ') || '| ' || line, chr(10) order by line_no) as body
   from ln where line_no between 3 and 7 group by path)
 select path, case when n < 2 then 'error: offset 2 out of range (file has ' || n || ' lines)'
   else coalesce(body, '') || case when n > 7 then chr(10) || '... (' || (n - 7) || ' more lines)' else '' end end as shown
 from n left join s using (path)""")
 def _(t):
-    return corpus(t).filter("text <> ''").select("path", G.read_slice(F.col("text"), 2, 5).alias("shown"))
+    return corpus(t).select("path", G.read_slice(F.col("text"), 2, 5).alias("shown"))
 
 
 @catalog.add("gr_02_regex_search", f"""
@@ -303,25 +314,37 @@ def _(t):
 
 @catalog.add("ud_06_tool_dispatch", f"""
 with {SQL_PATH_LINES},
-calls as (select item_id as call_id, case when item_id % 4 = 0 then 'read' when item_id % 4 = 1 then 'grep'
-  when item_id % 4 = 2 then 'glob' else 'draw' end as name from benchmark)
+kinds as (select item_id as i, case when item_id % 6 = 5 then null else item_id // 2 end as call_id,
+    case item_id % 6 when 0 then 'read' when 1 then 'grep' when 2 then 'glob' when 3 then 'draw' when 4 then 'grep' else 'grep' end as name
+  from benchmark),
+many as (select o_orderkey % 7 as call_id, 'glob' as name, 'src' || (o_orderkey % 9) || '/*/' || o_orderkey || '.txt' as pat from orders where o_orderkey <= 2400)
 select call_id, name, line_no::BIGINT as seq, path || ':' || line_no || ':' || line as output
-  from calls, ln where name = 'grep' and contains(line, 'tion' || chr((97 + call_id % 26)::INT))
-union all select call_id, name, 0, path from calls, cp where name = 'glob' and regexp_matches(path, '^src[^/]*/[^/]*/' || call_id || '[^/]*\\.txt$')
-union all select call_id, name, 0, 'error: unknown tool ''draw''' from calls where name = 'draw'
+  from kinds, ln where i % 6 in (1, 5) and contains(line, 'tion' || chr((97 + i % 26)::INT))
+union all select call_id, name, 0, path from kinds, cp where i % 6 = 2 and regexp_matches(path, '^src[^/]*/[^/]*/' || i || '[^/]*\\.txt$')
+union all select call_id, name, 0, 'error: unknown tool ''draw''' from kinds where i % 6 = 3
+union all select call_id, name, 0, 'error: missing ), unterminated subpattern at position 0' from kinds where i % 6 = 4
 union all select call_id, name, 0, coalesce((select string_agg(lpad(line_no::VARCHAR, 4, ' ') || '| ' || line, chr(10) order by line_no) ||
     case when max(line_no) > 3 then chr(10) || '... (' || (max(line_no) - 3) || ' more lines)' else '' end
-    from (select path, case when line_no <= 3 then line end as line, line_no from ln) z where z.path = 'src2/en/' || call_id || '.txt'),
-  'error: not a file: src2/en/' || call_id || '.txt') from calls where name = 'read'""")
+    from (select path, case when line_no <= 3 then line end as line, line_no from ln) z where z.path = 'src2/en/' || i || '.txt'),
+  'error: not a file: src2/en/' || i || '.txt') from kinds where i % 6 = 0
+union all select many.call_id, many.name, 0, cp.path from many join cp
+  on string_split(cp.path, '/')[1] = string_split(pat, '/')[1] and string_split(cp.path, '/')[3] = string_split(pat, '/')[3]""")
 def _(t):
-    calls = t.benchmark.select(
-        F.col("item_id").alias("call_id"),
-        F.expr("element_at(array('read', 'grep', 'glob', 'draw'), cast(item_id % 4 as int) + 1)").alias("name"),
-        F.expr("""case item_id % 4
+    """Ids repeat or are null, one call in six has a broken pattern, and there are over 500 searches."""
+    i = F.col("item_id")
+    few = t.benchmark.select(
+        F.when(i % 6 != 5, F.floor(i / 2)).cast("bigint").alias("call_id"),
+        F.expr("element_at(array('read', 'grep', 'glob', 'draw', 'grep', 'grep'), cast(item_id % 6 as int) + 1)").alias("name"),
+        F.expr("""case item_id % 6
             when 0 then concat('{"path": "src2/en/', item_id, '.txt", "limit": 3}')
-            when 1 then concat('{"pat": "tion', char(97 + item_id % 26), '"}')
-            else concat('{"pat": "src*/*/', item_id, '*.txt"}') end""").alias("args"))
-    return G.run_calls(calls, corpus(t))
+            when 2 then concat('{"pat": "src*/*/', item_id, '*.txt"}')
+            when 4 then '{"pat": "("}'
+            else concat('{"pat": "tion', char(97 + item_id % 26), '"}') end""").alias("args"))
+    key = F.col("o_orderkey")
+    many = t.orders.filter(key <= 2400).select(
+        (key % 7).alias("call_id"), F.lit("glob").alias("name"),
+        F.concat(F.lit('{"pat": "src'), (key % 9).cast("string"), F.lit("/*/"), key.cast("string"), F.lit('.txt"}')).alias("args"))
+    return G.run_calls(few.unionByName(many), corpus(t))
 
 
 @catalog.add("sq_01_largest_order", """
