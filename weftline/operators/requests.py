@@ -48,7 +48,7 @@ def request_record(task: str, record_id: Column | str = "id", text: Column | str
 
 @dataclass(frozen=True)
 class ShardPlan:
-    """How many rows go in a file and how many the job may hold."""
+    """How many rows go in a file and how many a job may hold."""
 
     mean_bytes: int
     rows_per_file: int
@@ -56,8 +56,12 @@ class ShardPlan:
     rows: int
 
     @property
-    def truncated(self) -> bool:
-        return self.rows > self.max_rows
+    def jobs(self) -> int:
+        return -(-self.rows // self.max_rows)
+
+    @property
+    def files_per_job(self) -> int:
+        return -(-self.max_rows // self.rows_per_file)
 
 
 def request_table(rows: DataFrame, task: str, order: list[str]) -> DataFrame:
@@ -68,22 +72,29 @@ def request_table(rows: DataFrame, task: str, order: list[str]) -> DataFrame:
         "bytes", (F.octet_length("record") + 1).cast("bigint"))
 
 
-def shard_plan(requests: DataFrame, target_mb: int = TARGET_FILE_MB) -> ShardPlan:
-    """Mean record size over the first rows decides the file size; empty input is an error."""
+def shard_plan(requests: DataFrame, target_mb: int = TARGET_FILE_MB, job_bytes: int = JOB_MAX_BYTES - JOB_PAD_BYTES) -> ShardPlan:
+    """Mean record size over the first rows decides the file size; empty input is an error.
+
+    Only ``idx`` and ``bytes`` are read; pass them stored, so that the records are not built again.
+    """
     head = requests.filter(F.col("idx") < SAMPLE_ROWS).agg(
         F.sum("bytes").alias("s"), F.count(F.lit(1)).alias("n")).first()
     if not head["n"]:
         raise ValueError("no rows to write")
     mean = max(1, head["s"] // head["n"])
     target = min(MAX_FILE_BYTES - FILE_PAD_BYTES, target_mb * MIB)
-    return ShardPlan(mean, max(MIN_ROWS_PER_FILE, target // mean), (JOB_MAX_BYTES - JOB_PAD_BYTES) // mean,
+    return ShardPlan(mean, max(MIN_ROWS_PER_FILE, target // mean), max(1, job_bytes // mean),
                      requests.count())
 
 
-def assign_shards(requests: DataFrame, plan: ShardPlan) -> DataFrame:
-    """Rows of the job with their shard number."""
-    return requests.filter(F.col("idx") < plan.max_rows).withColumn(
-        "shard_id", F.expr(f"idx div {plan.rows_per_file}"))
+def assign_shards(requests: DataFrame, plan: ShardPlan, first_job_only: bool = False) -> DataFrame:
+    """Rows with ``job_id`` and ``shard_id``; a job holds ``max_rows`` rows, and no file spans two jobs.
+
+    ``first_job_only`` keeps one job; ``plan.rows - plan.max_rows`` rows are then left for later.
+    """
+    rows = requests.filter(F.col("idx") < plan.max_rows) if first_job_only else requests
+    return rows.withColumn("job_id", F.expr(f"idx div {plan.max_rows}")).withColumn(
+        "shard_id", F.expr(f"job_id * {plan.files_per_job} + (idx % {plan.max_rows}) div {plan.rows_per_file}"))
 
 
 def shard_sizes(sharded: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import requests as R
 from weftline.plans import Catalog, Tables
+from weftline.session import cut_lineage
 
 catalog = Catalog()
 TASK = "Label the text."
@@ -39,7 +40,7 @@ def _(t):
 with {SQL_REQUESTS}
 select mean_bytes, rows_per_file, max_rows::BIGINT as max_rows, (select count(*) from rs) as rows from pl""")
 def _(t):
-    p = R.shard_plan(requests(t))
+    p = R.shard_plan(cut_lineage(requests(t).select("idx", "bytes")))
     return t.spark.createDataFrame([(p.mean_bytes, p.rows_per_file, p.max_rows, p.rows)],
                                    "mean_bytes bigint, rows_per_file bigint, max_rows bigint, rows bigint")
 
@@ -49,12 +50,24 @@ with {SQL_REQUESTS}
 select 'label-0-part-' || lpad((idx // rows_per_file)::VARCHAR, 5, '0') || '.jsonl' as file_name,
   sum(bytes)::BIGINT as bytes, count(*) as rows from rs, small group by 1""")
 def _(t):
-    req = requests(t)
+    req = cut_lineage(requests(t).select("idx", "bytes"))
     sizes = R.shard_sizes(R.assign_shards(req, R.shard_plan(req, target_mb=1)))
     R.check_shards(sizes)
     return sizes.select(R.shard_names("label", F.col("shard_id"), 0).alias("file_name"), "bytes", "rows")
 
 
+@catalog.add("br_05_job_plan", f"""
+with {SQL_REQUESTS}, cap as (select greatest(1, 100000 // mean_bytes)::BIGINT as job_rows, rows_per_file from small)
+select (idx // job_rows)::BIGINT as job_id, count(*) as rows, sum(bytes)::BIGINT as bytes,
+  count(distinct (idx % job_rows) // rows_per_file) as files from rs, cap group by 1""")
+def _(t):
+    """Every request lands in some job, however many jobs that takes."""
+    req = cut_lineage(requests(t).select("idx", "bytes"))
+    plan = R.shard_plan(req, target_mb=1, job_bytes=100_000)
+    return R.assign_shards(req, plan).groupBy("job_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"), F.countDistinct("shard_id").alias("files"))
+
+
 def responses(t: Tables):
     return t.events.select(
         "event_id", F.concat(F.lit("r"), F.col("event_id") % 4000).alias("recordId"),

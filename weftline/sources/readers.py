@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from weftline.operators.export import EXPORT_SCHEMA
 from weftline.operators.lookup import lookup_join
 from weftline.operators.requests import RESPONSE_SCHEMA
+from weftline.session import cut_lineage
 
 # File types of a document tree.
 DOCUMENT_TYPES = ("md", "py", "js", "ts", "java", "c", "cpp", "h", "html", "css", "txt")
@@ -26,13 +27,20 @@ def _whole_files(spark: SparkSession, paths, pattern: str | None = None, recursi
         F.col("value").alias("text"))
 
 
+def _damaged(what: str, *where: Column) -> Column:
+    return F.raise_error(F.concat_ws(" ", F.lit(f"damaged {what}:"), *[w.cast("string") for w in where]))
+
+
 def exports(spark: SparkSession, path) -> DataFrame:
     """Conversations of export files (one JSON array each) with file and place ``ord``.
 
     The map of messages is declared, never inferred: inference would turn keys into columns.
+    A file that is no JSON array is an error.
     """
     files = _whole_files(spark, path)
-    rows = files.select("file", F.posexplode(F.from_json("text", f"array<struct<{EXPORT_SCHEMA}>>")).alias("ord", "c"))
+    parsed = F.from_json("text", f"array<struct<{EXPORT_SCHEMA}>>")
+    whole = F.when(parsed.isNotNull(), parsed).otherwise(_damaged("export", F.col("file")))
+    rows = files.select("file", F.posexplode(whole).alias("ord", "c"))
     # times go through a variant: it keeps the digits of a number as they were written
     return rows.select(
         "file", F.col("ord").cast("bigint").alias("ord"), "c.title", "c.id",
@@ -46,15 +54,27 @@ def numbered_lines(spark: SparkSession, paths, pattern: str | None = None, recur
     Rows of one file block are consecutive, so a line number is the number of lines in the
     blocks before plus the place inside its own block.
     """
+    return _numbered(spark, paths, pattern, recursive, None)
+
+
+def _numbered(spark: SparkSession, paths, pattern: str | None, recursive: bool, intact: Column | None) -> DataFrame:
+    """Numbered lines; with ``intact`` only of files of which every line fulfils it.
+
+    One pass counts (and tests) the lines of each block and keeps one row per block; a second one reads them.
+    """
     reader = spark.read.option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     rows = reader.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
         F.col("value").alias("line"), F.monotonically_increasing_id().alias("_at"))
-    blocks = rows.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    blocks = rows.groupBy("file", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"),
+        F.min(F.lit(True) if intact is None else intact).alias("_ok"))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    starts = cut_lineage(blocks.select(
+        "file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
+        F.min("_ok").over(Window.partitionBy("file")).alias("_ok")).filter("_ok").drop("_ok"))
     placed = lookup_join(rows, starts, ["file", "_block"])
     return placed.select("file", (F.col("_base") + F.col("_at") - F.col("_first")).alias("line_no"), "line")
 
@@ -66,9 +86,8 @@ def json_lines(spark: SparkSession, paths, pattern: str = "*.jsonl") -> DataFram
 
 def intact_json_lines(spark: SparkSession, paths, pattern: str = "*.jsonl") -> DataFrame:
     """Only files of which every line parses; one bad or blank line drops its whole file."""
-    rows = json_lines(spark, paths, pattern)
-    broken = rows.filter(F.col("record").isNull()).select("file").distinct()
-    return lookup_join(rows, broken, ["file"], "left_anti")
+    rows = _numbered(spark, paths, pattern, True, F.try_parse_json("line").isNotNull())
+    return rows.withColumn("record", F.try_parse_json("line"))
 
 
 def transcripts(spark: SparkSession, roots) -> DataFrame:
@@ -84,8 +103,10 @@ def transcripts(spark: SparkSession, roots) -> DataFrame:
 
 
 def training_rows(spark: SparkSession, paths) -> DataFrame:
-    """Training files: file_name, line_no, and either ``text`` or ``messages``."""
+    """Training files: file_name, line_no, and either ``text`` or ``messages``.  A line that is no JSON is an error."""
     rows = json_lines(spark, paths)
+    rows = rows.withColumn("record", F.when(F.col("record").isNotNull(), F.col("record")).otherwise(
+        _damaged("training line", F.col("file"), F.col("line_no"))))
     kind = "array<struct<role: string, content: string>>"
     return rows.select(
         F.element_at(F.split("file", "/"), -1).alias("file"), "line_no",
@@ -109,23 +130,27 @@ def text_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def seed_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """``*.txt`` of a folder; the file stem is the document id.  No file is an error."""
+    """``*.txt`` of a folder in no particular order; the file stem is the document id.  No file is an error."""
     rows = _whole_files(spark, folder, "*.txt").select(
         F.regexp_extract("file_name", r"(.*)\.txt$", 1).alias("document_id"), "text")
     if rows.isEmpty():
         raise FileNotFoundError(f"no .txt files in {folder}")
-    return rows.orderBy("document_id")
+    return rows
+
 
+def csv_table(spark: SparkSession, path, schema: str | T.StructType, required: Sequence[str] = (),
+              multi_line: bool = False) -> DataFrame:
+    """CSV with header; columns are matched by name, missing required ones are an error.
 
-def csv_table(spark: SparkSession, path, schema: str | T.StructType, required: Sequence[str] = ()) -> DataFrame:
-    """CSV with header; columns are matched by name, missing required ones are an error."""
+    ``multi_line`` allows line breaks in quoted fields; each file is then read by one task.
+    """
     header = spark.read.option("header", True).csv(path).columns
     missing = [c for c in required if c not in header]
     if missing:
         raise ValueError(f"missing columns {missing}; available: {header}")
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     by_name = T.StructType([wanted[c] if c in wanted.names else T.StructField(c, T.StringType()) for c in header])
-    return spark.read.schema(by_name).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return spark.read.schema(by_name).option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
 
 
 def parquet_table(spark: SparkSession, path, columns: Sequence[str] | None = None) -> DataFrame:
@@ -154,7 +179,9 @@ def batch_outputs(spark: SparkSession, prefix: str) -> DataFrame:
         return spark.createDataFrame([], T.StructType(
             [T.StructField("file", T.StringType()), T.StructField("line_no", T.LongType()), *schema.fields]))
     filled = rows.filter(F.trim("line") != "")
-    return filled.withColumn("r", F.from_json("line", schema)).select("file", "line_no", "r.*")
+    whole = F.when(F.try_parse_json("line").isNotNull(), F.from_json("line", schema)).otherwise(
+        _damaged("batch output", F.col("file"), F.col("line_no")))
+    return filled.withColumn("r", whole).select("file", "line_no", "r.*")
 
 
 def vector_table(spark: SparkSession, path: str, tenant=None, tenant_col: str = "user_id") -> DataFrame:
@@ -164,9 +191,9 @@ def vector_table(spark: SparkSession, path: str, tenant=None, tenant_col: str =
 
 
 def image_folder(spark: SparkSession, root: str) -> DataFrame:
-    """JPG and PNG files below a folder in path order, any case of the suffix."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.filter(F.lower("path").rlike(r"\.(jpg|png)$")).orderBy("path")
+    """JPG and PNG files below a folder, any case of the suffix; other files are not opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", "*.{[jJ][pP][gG],[pP][nN][gG]}").load(root)
 
 
 def file_listing(spark: SparkSession, root: str) -> DataFrame:

@@ -10,22 +10,24 @@ from pyspark.sql import functions as F
 from weftline.operators.ordering import last_per_key
 from weftline.session import shared_dir
 
+LISTED_TENANTS = 1_000  # beyond, tenants are matched by a join
+
 
 def merge_latest(existing: DataFrame, incoming: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Newest row per key of both tables; ``version`` orders the writes."""
-    both = existing.unionByName(incoming.select(*existing.columns))
-    return last_per_key(both, keys, [version])
+    return last_per_key(existing.unionByName(incoming, allowMissingColumns=True), keys, [version])
 
 
 def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str], version: str,
            partition: str = "user_id") -> None:
     """Rewrite only the tenants that occur in ``incoming``.
 
-    The merged rows are staged in the shared folder first, because a job must not overwrite
-    what it is still reading; the swap then replaces whole partitions.
+    Columns that only the stored table or only the batch has are kept and null elsewhere.  The
+    merged rows are staged in the shared folder first, because a job must not overwrite
+    what it is still reading; the swap then replaces whole partitions and the staged copy goes.
     """
     try:
-        existing = spark.read.schema(incoming.schema).parquet(path)
+        existing = spark.read.option("mergeSchema", True).parquet(path)
     except Exception as e:  # first write: no table yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -33,14 +35,26 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
     if existing is None:
         merged = last_per_key(incoming, keys, [version])
     else:
-        touched = incoming.select(partition).distinct()
-        old = existing.join(touched, partition, "left_semi")
-        merged = merge_latest(old, incoming, keys, version)
+        # a folder value is read back as a guessed type, so it gets the batch's type again
+        existing = existing.withColumn(partition, F.col(partition).cast(incoming.schema[partition].dataType))
+        merged = merge_latest(_of_tenants(existing, incoming, partition), incoming, keys, version)
     staged_at = f"{shared_dir(spark)}/weftline-staged/{uuid.uuid4().hex}"
     merged.write.parquet(staged_at)
-    # a big tenant is spread over several files by its keys
-    spread = F.pmod(F.xxhash64(*keys), F.lit(8))
-    (
-        spark.read.parquet(staged_at).repartition(partition, spread)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    )
+    try:
+        (
+            # partitions of a tenant are cut by size, so a big tenant becomes several files
+            spark.read.parquet(staged_at).hint("rebalance", partition)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        )
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(staged_at)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _of_tenants(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
+    """Stored rows of the tenants in ``incoming``: other folders are not read while the list is short."""
+    touched = incoming.select(partition).distinct()
+    some = [r[0] for r in touched.limit(LISTED_TENANTS + 1).collect()]
+    if len(some) <= LISTED_TENANTS and None not in some:
+        return stored.filter(F.col(partition).isin(some))
+    return stored.join(touched, stored[partition].eqNullSafe(touched[partition]), "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import export, requests
 from weftline.operators.ordering import dense_index, last_per_key
+from weftline.session import cut_lineage
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -34,11 +36,15 @@ def _put_files(folder: str, rows: Iterator[Row]) -> None:
     """Write rows sorted by ``file_name``; lines of one file follow each other.
 
     A file gets its name only when it is complete, so a lost task leaves no half file and
-    its repetition writes the same name again.
+    its repetition writes the same name again.  Attempts of one task write under names of their own.
     """
     import posixpath
 
     from pyarrow import fs
+    from pyspark import TaskContext
+
+    context = TaskContext.get()
+    attempt = context.taskAttemptId() if context else 0
 
     system, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
     system.create_dir(base, recursive=True)
@@ -46,14 +52,14 @@ def _put_files(folder: str, rows: Iterator[Row]) -> None:
 
     def finish() -> None:
         stream.close()
-        system.move(posixpath.join(base, f".{name}.part"), posixpath.join(base, name))
+        system.move(posixpath.join(base, f".{name}.{attempt}.part"), posixpath.join(base, name))
 
     for row in rows:
         if row["file_name"] != name:
             if stream is not None:
                 finish()
             name = row["file_name"]
-            stream = system.open_output_stream(posixpath.join(base, f".{name}.part"))
+            stream = system.open_output_stream(posixpath.join(base, f".{name}.{attempt}.part"))
         stream.write(row["content"].encode())
     if stream is not None:
         finish()
@@ -72,12 +78,19 @@ def write_markdown(exports: DataFrame, folder: str, order: str = "ord", sanitize
 
 
 def write_request_shards(rows: DataFrame, task: str, order: list[str], folder: str, base: str,
-                         target_mb: int = requests.TARGET_FILE_MB, stamp: int | None = None) -> requests.ShardPlan:
-    """Request files of bounded size; refuses a shard over the hard limit before writing."""
+                         target_mb: int = requests.TARGET_FILE_MB, stamp: int | None = None,
+                         job_bytes: int = requests.JOB_MAX_BYTES - requests.JOB_PAD_BYTES) -> requests.ShardPlan:
+    """Request files of bounded size, all jobs; refuses a shard over the hard limit before writing.
+
+    The plan that is returned tells the number of jobs; more than one is logged as a warning.
+    """
     table = requests.request_table(rows, task, order)
-    plan = requests.shard_plan(table, target_mb)
+    sizes = cut_lineage(table.select("idx", "bytes"))
+    plan = requests.shard_plan(sizes, target_mb, job_bytes)
+    requests.check_shards(requests.shard_sizes(requests.assign_shards(sizes, plan)))
+    if plan.jobs > 1:
+        logging.getLogger(__name__).warning("%d rows need %d jobs of at most %d rows", plan.rows, plan.jobs, plan.max_rows)
     sharded = requests.assign_shards(table, plan)
-    requests.check_shards(requests.shard_sizes(sharded))
     lines = sharded.select(requests.shard_names(base, F.col("shard_id"), stamp).alias("file_name"), "idx",
                            F.concat("record", F.lit("\n")).alias("content"))
     write_files(lines, folder, ["idx"])
