@@ -36,7 +36,7 @@ def test_running_total(spark, partitions):
 @pytest.mark.parametrize("n", [0, 1, 37, 299, 300, 400])
 def test_flag_first_by_hash_is_exact(spark, n):
     df = spark.range(300).withColumnRenamed("id", "k")
-    got = {r["k"] for r in ordering.flag_first_by_hash(df, 7, ["k"], n, 300).filter("taken").collect()}
+    got = {r["k"] for r in ordering.flag_first_by_hash(df, 7, ["k"], n).filter("taken").collect()}
     order = sorted(range(300), key=lambda k: (hashlib.md5(f"7:{k}".encode()).hexdigest(), k))
     assert got == set(order[:n])
 
@@ -54,13 +54,11 @@ def test_first_and_last_per_key(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join_is_the_same_shuffled_and_copied(spark, how, monkeypatch):
+def test_lookup_join_is_the_same_shuffled_and_copied(spark, how):
     big = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id")
     small = spark.range(0, 60, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     copied = sorted(map(tuple, lookup.lookup_join(big, small, ["k"], how).collect()), key=str)
-    monkeypatch.setattr(lookup, "HOT_KEYS", 10**9)
-    monkeypatch.setattr(lookup, "MIN_HOT_ROWS", 500)
-    shuffled = lookup.lookup_join(big, small, ["k"], how, max_rows=1)
+    shuffled = lookup.lookup_join(big, small, ["k"], how, max_rows=1, hot_rows=500)
     assert sorted(map(tuple, shuffled.select(*big.columns, *(["v"] if how in ("inner", "left") else [])).collect()), key=str) == copied
 
 

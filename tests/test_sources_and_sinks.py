@@ -103,7 +103,7 @@ def test_documents_seeds_and_lines(spark, tmp_path):
     assert readers.document_tree(spark, str(tmp_path / "tree")).count() == 2
     seed = put(tmp_path / "seeds" / "doc-b.txt", "b\ntext")
     put(tmp_path / "seeds" / "doc-a.txt", "a")
-    assert [r["document_id"] for r in readers.seed_documents(spark, str(tmp_path / "seeds")).collect()] == ["doc-a", "doc-b"]
+    assert sorted(r["document_id"] for r in readers.seed_documents(spark, str(tmp_path / "seeds")).collect()) == ["doc-a", "doc-b"]
     put(tmp_path / "none" / "x.md", "")
     with pytest.raises(FileNotFoundError):
         readers.seed_documents(spark, str(tmp_path / "none"))
@@ -115,7 +115,7 @@ def test_documents_seeds_and_lines(spark, tmp_path):
 def test_csv(spark, tmp_path):
     df = spark.createDataFrame([(1, 'say "hi",\nyou', None), (2, "x", 2.5)], "id int, name string, price double")
     writers.write_csv(df.coalesce(1), str(tmp_path / "csv"))
-    back = readers.csv_table(spark, str(tmp_path / "csv"), "id int, name string, price double", ["name"])
+    back = readers.csv_table(spark, str(tmp_path / "csv"), "id int, name string, price double", ["name"], multi_line=True)
     assert sorted(map(tuple, back.collect())) == [(1, 'say "hi",\nyou', None), (2, "x", 2.5)]
     with pytest.raises(ValueError, match="available"):
         readers.csv_table(spark, str(tmp_path / "csv"), "id int", ["brand"])
@@ -211,7 +211,7 @@ def test_append_rebuild_and_two_stores(spark, tmp_path):
 def test_images_and_listing(spark, tmp_path):
     for name in ("b.PNG", "a.jpg", "c.txt"):
         put(tmp_path / "im" / name, "x")
-    assert [os.path.basename(r["path"]) for r in readers.image_folder(spark, str(tmp_path / "im")).collect()] == ["a.jpg", "b.PNG"]
+    assert sorted(os.path.basename(r["path"]) for r in readers.image_folder(spark, str(tmp_path / "im")).collect()) == ["a.jpg", "b.PNG"]
     from weftline.operators import corpus_search
 
     os.utime(tmp_path / "im" / "a.jpg", (1, 1))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 from weftline.streaming import deltas, ingest
 
@@ -69,6 +70,7 @@ def test_stream_reassembly_over_batches(spark, tmp_path):
     for part, keep in enumerate((lambda i: i < 2, lambda i: i >= 2)):
         text = "\n".join(json.dumps({"msg_id": m, "seq": i, "line": x}) for m, i, x in rows if keep(i))
         (source / f"{part}.json").write_text(text)
+        os.utime(source / f"{part}.json", (1_700_000_000 + part,) * 2)  # the order of arrival
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(source))
     q = (deltas.reassemble_stream(stream).writeStream.format("memory").queryName("answers").outputMode("append")
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())

@@ -166,13 +166,12 @@ def test_reading_and_editing(spark):
                                        ("a.ba.b", "error: old_string appears 2 times (use all=true)")]
 
 
-def test_unknown_tool_and_glob(spark, monkeypatch):
-    monkeypatch.setattr(corpus_search, "CALL_BLOCK", 1)  # more searches than one block holds
+def test_unknown_tool_and_glob(spark):
     corpus = spark.createDataFrame([("a/x.py", "one\ntwo"), ("a/b/y.py", "three"), ("node_modules/z.py", "")], "path string, text string")
     calls = spark.createDataFrame([(1, "read", '{"path": "a/x.py", "offset": 1}'), (2, "glob", '{"pat": "a/**/*.py"}'),
                                    (3, "grep", '{"pat": "t[wh]"}'), (4, "fly", "{}"), (5, "read", '{"path": "no"}')],
                                   "call_id int, name string, args string")
-    got = sorted((r["call_id"], r["output"]) for r in corpus_search.run_calls(calls, corpus).collect())
+    got = sorted((r["call_id"], r["output"]) for r in corpus_search.run_calls(calls, corpus, pattern_block=1).collect())
     assert got == [(1, "   2| two"), (2, "a/b/y.py"), (2, "a/x.py"), (3, "a/b/y.py:1:three"), (3, "a/x.py:2:two"),
                    (4, "error: unknown tool 'fly'"), (5, "error: not a file: no")]
     assert [r["path"] for r in corpus_search.list_paths(corpus, "**/*.py").collect()] == ["a/b/y.py", "a/x.py"]
@@ -182,10 +181,10 @@ def test_plugs(spark):
     df = spark.createDataFrame([("ab",), ("fail",)], "prompt string")
 
     def factory():
-        def answer(p):
-            if p == "fail":
+        def answer(prompts):
+            if "fail" in prompts:
                 raise RuntimeError("no")
-            return p.upper()
+            return [p.upper() for p in prompts]
         return answer
 
     got = {r["prompt"]: (r["answer"], r["answer_error"]) for r in plugs.generate(df, "prompt", factory).collect()}
@@ -204,7 +203,7 @@ def test_steps_compose(spark):
         hits.transform(lambda d: answers.assemble_context(d, block))
         .withColumn("prompt", answers.fill_prompt(answers.USER_PROMPT, F.col("context"), F.col("question")))
         .withColumn("top_text", F.lit("best"))
-        .transform(lambda d: answers.answer_records(d, lambda: lambda p: p[:7]))
+        .transform(lambda d: answers.answer_records(d, lambda: lambda ps: [p[:7] for p in ps]))
     )
     row = chained.first()
     assert row["answer"] == "Context" and row["chunks_used"] == 2

@@ -7,6 +7,8 @@ that needs no model.
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -18,17 +20,37 @@ from weftline.functions import text as X
 from weftline.functions import vectors as V
 
 HASH_DIMS = 16
+KEPT_TOKENS = 200_000  # distinct tokens whose bucket a worker remembers
 
 
 def hash_embedding(text: Column | str, dims: int = HASH_DIMS) -> Column:
-    """Default embedder: token counts in ``dims`` md5 buckets, scaled to length one."""
+    """Default embedder: token counts in ``dims`` md5 buckets, scaled to length one.
+
+    Each distinct token of a batch is hashed once, and one pass counts all buckets.
+    """
     words = X.word_tokens(F.lower(F.col(text) if isinstance(text, str) else text))
-    slots = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % dims)
-    counts = V.let(slots, lambda found: F.transform(
-        F.sequence(F.lit(0), F.lit(dims - 1)),
-        lambda i: F.size(F.filter(found, lambda s: s == i)).cast("double"),
-    ))
-    return V.unit(counts)
+
+    @F.pandas_udf("array<double>")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        kept: dict[str, int] = {}
+        for batch in batches:
+            out = []
+            for tokens in batch:
+                if tokens is None:
+                    out.append(None)
+                    continue
+                row = [0.0] * dims
+                for t in tokens:
+                    slot = kept.get(t)
+                    if slot is None:
+                        slot = kept[t] = int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % dims
+                    row[slot] += 1.0
+                out.append(row)
+            if len(kept) > KEPT_TOKENS:
+                kept.clear()
+            yield pd.Series(out, index=batch.index, dtype=object)
+
+    return V.unit(count(words))
 
 
 def _batched(factory: Callable[[], Callable], kind: T.DataType | str):
@@ -72,40 +94,69 @@ def score(text: Column | str, factory: Callable) -> Column:
 def lexicon_score(text: Column | str, lexicon: dict[str, float]) -> Column:
     """Default scorer: mean weight of the words found in a small lexicon, 0 when none is."""
     words = X.split_words(F.lower(F.col(text) if isinstance(text, str) else text))
-    table = F.create_map(*[F.lit(x) for kv in lexicon.items() for x in kv])
-    found = F.filter(F.transform(words, lambda w: F.try_element_at(table, w)), lambda s: s.isNotNull())
-    return V.let(found, lambda hits: F.when(F.size(hits) == 0, 0.0).otherwise(V.total(hits) / F.size(hits)))
+    shared = _shared(lexicon)
+
+    @F.pandas_udf("double")
+    def mean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = shared.value
+        for batch in batches:
+            hits = [None if ws is None else [table[w] for w in ws if w in table] for ws in batch]
+            yield pd.Series([None if h is None else sum(h) / len(h) if h else 0.0 for h in hits], index=batch.index, dtype=float)
+
+    return mean(words)
+
+
+def _shared(table: dict):
+    """A dictionary sent to every worker once, looked up by hash; it is the caller's own object, so its size is known."""
+    from pyspark import SparkContext
+
+    return SparkContext.getOrCreate().broadcast(table)
 
 
 def generate(df: DataFrame, prompt_col: str, factory: Callable, out: str = "answer") -> DataFrame:
-    """Prompt to text; a failing prompt fills ``<out>_error`` and leaves the job running."""
+    """Prompts to texts: ``factory() -> (list[str] -> list[str])``.
+
+    Only a failed batch is repeated prompt by prompt; a failing prompt fills ``<out>_error`` and leaves
+    the job running.  ``<out>_ms`` is the time per prompt in milliseconds.
+    """
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType()),
-                           T.StructField(f"{out}_error", T.StringType())])
+                           T.StructField(f"{out}_error", T.StringType()), T.StructField(f"{out}_ms", T.DoubleType())])
 
     def run(batches):
         fn = factory()
+
+        def singly(prompt):
+            begin = time.perf_counter()
+            try:
+                return fn([prompt])[0], None, 1000 * (time.perf_counter() - begin)
+            except Exception as e:  # the error is data here
+                return None, f"Error: {e}", 1000 * (time.perf_counter() - begin)
+
         for pdf in batches:
-            answers, errors = [], []
-            for prompt in pdf[prompt_col]:
-                try:
-                    answers.append(fn(prompt))
-                    errors.append(None)
-                except Exception as e:  # the error is data here
-                    answers.append(None)
-                    errors.append(f"Error: {e}")
-            yield pdf.assign(**{out: answers, f"{out}_error": errors})
+            prompts = pdf[prompt_col].tolist()
+            begin = time.perf_counter()
+            try:
+                texts = list(fn(prompts))
+                if len(texts) != len(prompts):
+                    raise ValueError("the generator must answer every prompt")
+                each = 1000 * (time.perf_counter() - begin) / max(1, len(prompts))
+                answers = [(t, None, each) for t in texts]
+            except Exception:
+                answers = [singly(p) for p in prompts]
+            yield pdf.assign(**{k: [a[i] for a in answers] for i, k in enumerate((out, f"{out}_error", f"{out}_ms"))})
 
     return df.mapInPandas(run, schema)
 
 
 def annotate(df: DataFrame, text_col: str, factory: Callable, out: str = "entities") -> DataFrame:
-    """Entity spans from a caller's annotator: ``factory() -> (str -> list[(text, label)])``."""
+    """Entity spans from a caller's annotator: ``factory() -> (list[str] -> list[list[(text, label)]])``."""
     kind = T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.StringType())]))
 
     def run(batches):
         fn = factory()
         for pdf in batches:
-            spans = [[{"text": t, "label": g} for t, g in fn(v)] if v else [] for v in pdf[text_col]]
+            found = fn([v or "" for v in pdf[text_col]])
+            spans = [[{"text": t, "label": g} for t, g in row] for row in found]
             yield pdf.assign(**{out: spans})
 
     return df.mapInPandas(run, T.StructType([*df.schema.fields, T.StructField(out, kind)]))

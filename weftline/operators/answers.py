@@ -15,6 +15,7 @@ CHAT_PROMPT = (
     "Context:\n{context}\n\nQuestion: {question}<|im_end|>\n"
     "<|im_start|>assistant\n"
 )
+# System texts of the two chat templates.
 EXPERT_SYSTEM = "You are an expert in credit risk, finance, and AI. Answer concisely using the given context."
 STRICT_SYSTEM = "You are a credit risk expert AI. Always base your answer strictly on the provided context."
 USER_PROMPT = "Context:\n{context}\n\nQuestion: {question}\n\nAnswer in simple terms:"
@@ -47,18 +48,29 @@ def fill_prompt(template: str, context: Column, question: Column) -> Column:
     return F.concat(F.lit(head), context, F.lit(middle), question, F.lit(tail))
 
 
+def chat_messages(context: Column, question: Column, system: str = EXPERT_SYSTEM) -> Column:
+    """System and user message of a chat model, as (role, content) entries."""
+    def message(role: str, content: Column) -> Column:
+        return F.struct(F.lit(role).alias("role"), content.alias("content"))
+
+    return F.array(message("system", F.lit(system)), message("user", fill_prompt(USER_PROMPT, context, question)))
+
+
 def answer_records(prompts: DataFrame, generator=None, backend: str = ANSWER_BACKEND) -> DataFrame:
     """Answer record per question; without a generator the best chunk is the answer.
 
-    Expects question, prompt, context, chunks_used and top_text.
+    Expects question, prompt, context, chunks_used, top_text, and optionally ``retrieval_ms``.  The
+    latencies are in milliseconds; nothing is generated without a generator, which takes no time.
     """
     if generator is None:
-        answered = prompts.withColumn("answer", F.col("top_text")).withColumn(
-            "answer_error", F.lit(None).cast("string"))
+        answered = prompts.withColumn("answer", F.col("top_text")).withColumns({
+            "answer_error": F.lit(None).cast("string"), "answer_ms": F.lit(0.0)})
     else:
         answered = plugs.generate(prompts, "prompt", generator)
+    retrieval = F.coalesce("retrieval_ms", F.lit(0.0)) if "retrieval_ms" in prompts.columns else F.lit(0.0)
     return answered.select("question", "answer", "answer_error", F.col("context").alias("context_used"),
-                           "chunks_used", F.lit(backend).alias("backend"))
+                           "chunks_used", F.lit(backend).alias("backend"), retrieval.alias("retrieval_ms"),
+                           F.col("answer_ms").alias("generation_ms"), (retrieval + F.col("answer_ms")).alias("total_ms"))
 
 
 def check_requests(requests: DataFrame, default_backend: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,13 +51,32 @@ COMMON_WORDS = (
 
 def known_brand(title: Column, brands: list[str]) -> Column:
     """Longest known brand contained in the title, as written there, in title case."""
-    ordered = F.array(*[F.lit(b) for b in sorted(brands, key=len, reverse=True)])
+    found = _longest_contained(F.lower(title), brands)
+    return let(found, lambda b: X.title_case(F.substr(title, F.position(b, F.lower(title)), F.length(b))))
+
+
+def _longest_contained(text: Column, names: list[str]) -> Column:
+    """Longest of ``names`` inside the text, the first listed of equally long ones; looked up by length, not scanned."""
+    ranked = sorted(dict.fromkeys(n for n in names if n), key=len, reverse=True)
+
+    @F.pandas_udf("string")
+    def longest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # names by length: a text is cut into pieces of each length that occurs, and pieces are looked up
+        by_length: dict[int, dict[str, int]] = {}
+        for place, name in enumerate(ranked):
+            by_length.setdefault(len(name), {})[name] = place
+
+        def one(t: str | None) -> str | None:
+            for n, table in by_length.items():
+                hits = [table[p] for i in range(len(t or "") - n + 1) if (p := t[i:i + n]) in table]
+                if hits:
+                    return ranked[min(hits)]
+            return None
 
-    def cut(low: Column) -> Column:
-        found = F.get(F.filter(ordered, lambda b: F.contains(low, b)), F.lit(0))
-        return let(found, lambda b: X.title_case(F.substr(title, F.position(b, low), F.length(b))))
+        for batch in batches:
+            yield pd.Series([one(t) for t in batch], index=batch.index, dtype=object)
 
-    return let(F.lower(title), cut)
+    return longest(text)
 
 
 def best_candidate(title: Column, candidates: Column) -> Column:

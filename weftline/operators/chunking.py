@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import text as X
 from weftline.functions import plugs
-from weftline.operators.ordering import dense_index
+from weftline.operators.ordering import dense_index, running_total
 
 
 def fixed_chunks(text: Column | str, size: int = 256, overlap: int = 32) -> Column:
@@ -27,35 +28,40 @@ def chunk_table(docs: DataFrame, text_col: str = "text", size: int = 256, overla
 
 
 def separator_chunks(text: Column | str, separator: str = "\n\n", size: int = 1000) -> Column:
-    """Pieces between separators packed up to ``size``; a longer piece stays whole."""
-    pieces = F.filter(F.split(X.col(text), separator), lambda p: p != "")
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
-
-    def pack(state: Column, piece: Column) -> Column:
-        fits = F.length(state["open"]) + len(separator) + F.length(piece) <= size
-        return (
-            F.when(state["open"].isNull(), F.struct(state["done"].alias("done"), piece.alias("open")))
-            .when(fits, F.struct(state["done"].alias("done"),
-                                 F.concat(state["open"], F.lit(separator), piece).alias("open")))
-            .otherwise(F.struct(F.concat(state["done"], F.array(state["open"])).alias("done"), piece.alias("open")))
-        )
-
-    def close(state: Column) -> Column:
-        tail = F.when(state["open"].isNull(), F.array().cast("array<string>")).otherwise(F.array(state["open"]))
-        return F.concat(state["done"], tail)
-
-    packed = F.aggregate(pieces, start, pack, close)
-    return F.filter(F.transform(packed, X.strip), lambda c: c != "")
+    """Pieces between (literal) separators packed up to ``size``; a longer piece stays whole."""
+    @F.pandas_udf("array<string>")
+    def pack(texts: pd.Series) -> pd.Series:
+        # a fold over array expressions would copy its result for every piece
+        return pd.Series([None if t is None else _packed(t, separator, size) for t in texts], dtype=object)
+
+    return F.filter(F.transform(pack(X.col(text)), X.strip), lambda c: c != "")
+
+
+def _packed(text: str, separator: str, size: int) -> list[str]:
+    done: list[str] = []
+    parts: list[str] = []
+    length = 0
+    for piece in filter(None, text.split(separator)):
+        if parts and length + len(separator) + len(piece) <= size:
+            length += len(separator) + len(piece)
+        else:
+            if parts:
+                done.append(separator.join(parts))
+            parts, length = [], len(piece)
+        parts.append(piece)
+    return [*done, separator.join(parts)] if parts else done
 
 
 def indexed_chunks(docs: DataFrame, key_col: str, text_col: str = "text", source_col: str | None = None,
                    size: int = 256, overlap: int = 32, embedder=None) -> DataFrame:
     """Chunks with embedding, ``metadata`` (file, chunk number) and global ids ``doc-0, doc-1, ...``."""
-    chunks = chunk_table(docs, text_col, size, overlap)
-    ids = dense_index(chunks.select(key_col, "chunk_index"), [key_col, "chunk_index"])
-    joined = chunks.join(ids, [key_col, "chunk_index"])
+    # the number of chunks follows from the length, so documents are numbered and no chunk text moves for it
+    n = F.when(F.length(text_col) > 0, F.ceil(F.length(text_col) / (size - overlap))).otherwise(0).cast("bigint")
+    upto = running_total(docs.select(key_col, n.alias("_n")), key_col, "_n", "_upto")
+    bases = upto.select(key_col, (F.col("_upto") - F.col("_n")).alias("_base"))
+    joined = chunk_table(docs.join(bases, key_col), text_col, size, overlap)
     return joined.select(
-        F.concat(F.lit("doc-"), F.col("idx")).alias("id"),
+        F.concat(F.lit("doc-"), F.col("_base") + F.col("chunk_index")).alias("id"),
         F.col("chunk_text").alias("document"),
         F.struct(F.col(source_col or key_col).cast("string").alias("file_path"),
                  F.col("chunk_index").cast("bigint").alias("chunk")).alias("metadata"),

@@ -26,10 +26,14 @@ def titles(exports: DataFrame, order: str = "ord") -> DataFrame:
     return exports.select(
         order,
         F.coalesce("id", F.lit("")).alias("id"),
-        F.coalesce("title", F.concat(F.lit("Untitled Conversation "), F.col(order).cast("string"))).alias("title"),
+        _title(order).alias("title"),
     )
 
 
+def _title(order: str) -> Column:
+    return F.coalesce("title", F.concat(F.lit("Untitled Conversation "), F.col(order).cast("string")))
+
+
 def sorted_titles(exports: DataFrame, order: str = "ord") -> DataFrame:
     """Titles with their place ``idx`` in the case-insensitive, stable title order."""
     listed = titles(exports, order).withColumn("_low", F.lower("title"))
@@ -55,9 +59,8 @@ def by_position(exports: DataFrame, index: int, order: str = "ord") -> DataFrame
 
 
 def extract_by_title_search(exports: DataFrame, needle: str, order: str = "ord") -> DataFrame:
-    """Search the title list, then fetch each hit; keyed by position, as exports may lack ids."""
-    hits = titles(exports, order).filter(F.lower("title").contains(needle.lower()))
-    return exports.join(hits.select(order), order, "left_semi")
+    """The conversations that a search of the title list (with its default titles) hits."""
+    return exports.filter(F.lower(_title(order)).contains(needle.lower()))
 
 
 def message_array(mapping: Column | str = "mapping") -> Column:

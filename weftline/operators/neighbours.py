@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from weftline.functions import vectors as V
+from weftline.session import cut_lineage
 
 QUESTION_BYTES = 32 << 20  # largest question block copied to every task
 SCORE_CELLS = 2_000_000  # rows x questions scored at once inside a task
@@ -123,8 +124,15 @@ def _offer_rows(best: _Best, keys, scopes, x: np.ndarray, q: np.ndarray, q_scope
             s = _score_block(x[part], q[asks], metric)
             if round_first is not None:
                 s = _round_half_up(s, round_first)
-            for col, j in enumerate(asks):
-                best.offer(q_slot[j], s[:, col], keys[part])
+            if len(part) > best.k:  # of each question only what may be among its k best, for the whole slice at once
+                cost = best.sign * s
+                edge = np.partition(cost, best.k - 1, axis=0)[best.k - 1]
+                for col, j in enumerate(asks):
+                    stay = np.flatnonzero(cost[:, col] <= edge[col])
+                    best.offer(q_slot[j], s[stay, col], keys[part[stay]])
+            else:
+                for col, j in enumerate(asks):
+                    best.offer(q_slot[j], s[:, col], keys[part])
 
 
 def knn_join(corpus: DataFrame, questions: DataFrame, k: int, *, metric: str = "cosine",
@@ -135,7 +143,8 @@ def knn_join(corpus: DataFrame, questions: DataFrame, k: int, *, metric: str = "
 
     ``scope`` names a column both sides must agree on (a tenant, or a list of an inverted
     file); a question may appear under several scopes.  Question tables beyond
-    ``block_bytes`` are answered by hashed blocks of both sides instead of one copy.
+    ``block_bytes`` are sent to the corpus in hashed blocks, one after another; the corpus never
+    moves, each block keeps at most k rows per question and task, and the bests are merged.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -164,33 +173,26 @@ def knn_join(corpus: DataFrame, questions: DataFrame, k: int, *, metric: str = "
                 _offer_rows(best, _sortable(pdf["key"]), scopes, x, q, q_scope, slot, metric, round_first)
         yield best.frame(original)
 
-    if ask_bytes <= block_bytes:
-        block = asks.toPandas()  # measured above: at most block_bytes
+    n_blocks = max(1, int(-(-ask_bytes // block_bytes)))
+    spark = corpus.sparkSession
+    if n_blocks > 1:
+        asks = cut_lineage(asks)
+    parts = []
+    for b in range(n_blocks):
+        block = asks.filter(F.pmod(F.xxhash64("question", F.lit(7)), F.lit(n_blocks)) == b).toPandas()  # about block_bytes
         if block.empty:
-            candidates = corpus.sparkSession.createDataFrame([], out_schema)
-        else:
-            shipped = corpus.sparkSession.sparkContext.broadcast(block)
-            candidates = rows.mapInPandas(lambda it: score_rows(shipped.value, it), out_schema)
-    else:
-        # every pair of blocks meets once; each block is bounded on both sides
-        n_q = int(-(-ask_bytes // block_bytes))
-        n_rows = rows.count()
-        n_c = max(1, int(-(-n_rows * ((size["d"] or 0) * 8 + 64) // block_bytes)))
-
-        def blocks(n: int) -> Column:
-            return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
-
-        left = rows.withColumn("_c", F.pmod(F.xxhash64("key"), F.lit(n_c))).withColumn(
-            "_q", F.explode(blocks(n_q)))
-        right = asks.withColumn("_q", F.pmod(F.xxhash64("question", F.lit(7)), F.lit(n_q))).withColumn(
-            "_c", F.explode(blocks(n_c)))
-
-        def meet(c_pdf: pd.DataFrame, q_pdf: pd.DataFrame) -> pd.DataFrame:
-            if c_pdf.empty or q_pdf.empty:
-                return _no_rows()
-            return next(score_rows(q_pdf, iter([c_pdf])))
-
-        candidates = left.groupBy("_c", "_q").cogroup(right.groupBy("_c", "_q")).applyInPandas(meet, out_schema)
+            continue
+        shipped = spark.sparkContext.broadcast(block)
+        # a block only meets rows of its own scopes
+        near = rows.join(F.broadcast(spark.createDataFrame([(s,) for s in block[scope].unique().tolist()], T.StructType([asks.schema[scope]]))),
+                         scope, "left_semi") if scope and n_blocks > 1 else rows
+        parts.append(near.mapInPandas(lambda it, q=shipped: score_rows(q.value, it), out_schema))
+    candidates = parts[0] if parts else spark.createDataFrame([], out_schema)
+    if n_blocks > 1:
+        # merged block by block and kept, so that the plan does not grow with the questions
+        candidates = cut_lineage(candidates)
+        for part in parts[1:]:
+            candidates = candidates.union(cut_lineage(part))
 
     best_first = F.desc("score") if larger_first else F.asc("score")
     ranked = Window.partitionBy("question").orderBy(best_first, F.asc("key"))
@@ -227,18 +229,19 @@ def nearest_centroids(rows: DataFrame, centroids: DataFrame, n: int = 1, *, metr
     ids = local[id_col].to_numpy()
     shipped = rows.sparkSession.sparkContext.broadcast((ids, np.vstack(local["c"].to_numpy()).astype(float)))
     id_type = table.schema[id_col].dataType
-    kind = T.ArrayType(T.StructType([T.StructField(id_col, id_type), T.StructField("score", T.DoubleType())]))
+    kind = T.StructType([T.StructField(id_col, id_type), T.StructField("score", T.DoubleType())])
 
-    @F.pandas_udf(kind)
-    def near(v: pd.Series) -> pd.Series:
+    @F.pandas_udf(T.StructType([T.StructField("ids", T.ArrayType(id_type)), T.StructField("scores", T.ArrayType(T.DoubleType()))]))
+    def near(v: pd.Series) -> pd.DataFrame:
         names, c = shipped.value
         s = _score_block(np.vstack(v.to_numpy()).astype(float), c, metric)
         order = np.argsort(-s if metric == "cosine" else s, axis=1, kind="stable")[:, :n]
-        return pd.Series([
-            [{id_col: names[j], "score": float(s[i, j])} for j in order[i]] for i in range(len(s))
-        ])
+        scores = np.take_along_axis(s, order, 1)
+        return pd.DataFrame({"ids": list(names[order]), "scores": list(scores)})
 
-    return rows.withColumn("near", near(V.as_double(vector_col)))
+    found = near(V.as_double(vector_col))
+    pairs = F.arrays_zip(found["ids"].alias(id_col), found["scores"].alias("score"))
+    return rows.withColumn("near", pairs.cast(T.ArrayType(kind)))
 
 
 def build_inverted_file(corpus: DataFrame, centroids: DataFrame, *, vector_col: str = "embedding") -> DataFrame:
@@ -288,6 +291,12 @@ def compare_results(exact: DataFrame, approximate: DataFrame) -> DataFrame:
     )
 
 
+def comparison_report(exact: DataFrame, approximate: DataFrame, exact_ms: float, approx_ms: float) -> DataFrame:
+    """:func:`compare_results` with both latencies, their difference and the faster back end on every row."""
+    verdict = pick_winner(exact_ms, approx_ms)
+    return compare_results(exact, approximate).withColumns({k: F.lit(v) for k, v in verdict.items()})
+
+
 def pick_winner(exact_ms: float, approx_ms: float) -> dict[str, object]:
     """Latency comparison of two back ends; a tie goes to the exact scan."""
     winner = "exact" if exact_ms <= approx_ms else "approximate"

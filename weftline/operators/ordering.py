@@ -8,7 +8,7 @@ adds the offset of the partition, which is a table of one row per partition.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,16 +103,21 @@ def smallest_by_hash(df: DataFrame, seed, keys, n: int) -> DataFrame:
     return df.orderBy(seeded_hash(seed, *keys), *keys).limit(n)
 
 
-def flag_first_by_hash(df: DataFrame, seed, keys, n: int, total: int, name: str = "taken") -> DataFrame:
-    """Flag exactly the first ``n`` of ``total`` rows in seeded order, without sorting the table.
+def flag_first_by_hash(df: DataFrame, seed, keys, n: int | Callable[[int], int], name: str = "taken") -> DataFrame:
+    """Flag exactly the first ``n`` rows in seeded order, without sorting the table; ``n`` may depend on the row count.
 
-    The leading hash digits form a histogram; whole bars below the cut are in, and only the
-    bar holding the cut is ranked.  The bar count follows ``total``, so that bar stays small.
+    Only keys and hashes are stored and looked at: the leading hash digits form a histogram, whole bars
+    below the cut are in, and only the bar holding the cut is ranked.  The bar count follows the row
+    count, so that bar stays small.  The result is a comparison with the cut, so ``df`` itself
+    runs once for the keys and once for the rows.
     """
     keys = _cols(keys)
     h = seeded_hash(seed, *keys)
+    narrow = cut_lineage(df.select(F.struct(h.alias("_h"), *[k.alias(f"_k{i}") for i, k in enumerate(keys)]).alias("_s")))
+    total = narrow.count()
+    n = n(total) if callable(n) else n
     digits = max(1, min(8, math.ceil(math.log(max(total, 2) / 50_000, 16)) if total > 50_000 else 1))
-    marked = df.withColumn("_h", h).withColumn("_bar", F.substring("_h", 1, digits))
+    marked = narrow.withColumn("_bar", F.substring("_s._h", 1, digits))
     bars = marked.groupBy("_bar").agg(F.count(F.lit(1)).alias("_n"))
     totals = running_total(bars, "_bar", "_n", "_upto")
     cut = (
@@ -121,13 +126,11 @@ def flag_first_by_hash(df: DataFrame, seed, keys, n: int, total: int, name: str
         .first()
     )
     if cut is None:  # n is 0, or not smaller than the table
-        return marked.withColumn(name, F.lit(n > 0)).drop("_h", "_bar")
-    edge = marked.filter(F.col("_bar") == cut["_cut"])
-    last = edge.select(F.struct("_h", *keys).alias("_s")).orderBy("_s").limit(cut["_room"])
+        return df.withColumn(name, F.lit(n > 0))
+    last = marked.filter(F.col("_bar") == cut["_cut"]).select("_s").orderBy("_s").limit(cut["_room"])
     bound = last.agg(F.max("_s").alias("_s")).first()["_s"]
-    edge_row = F.struct(*[F.lit(v) for v in bound]).cast(last.schema["_s"].dataType)
-    inside = F.struct("_h", *keys) <= edge_row
-    return marked.withColumn(name, inside).drop("_h", "_bar")
+    kind = narrow.schema["_s"].dataType
+    return df.withColumn(name, F.struct(h, *keys).cast(kind) <= F.struct(*[F.lit(v) for v in bound]).cast(kind))
 
 
 def order_statistics(df: DataFrame, column: str, ranks: dict[str, int]) -> dict[str, object]:

@@ -1,11 +1,17 @@
 """Extractive summaries: sentences ranked by the frequency of their words.
 
-The documents are shuffled once, by key.  Everything after that (word counts, maxima,
-sentence sums, ranks) groups by the key and more, so it runs inside those partitions.
+``summarize`` works inside the row.  The tables behind it (words, frequencies, scores) are there for
+their own sake: the documents are shuffled once, by key, and everything after that groups by the
+key and more, so it runs inside those partitions.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import chain
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -72,8 +78,10 @@ def top_keywords(frequencies: DataFrame, key: str, n: int = 5) -> DataFrame:
 
 def sentence_scores(words: DataFrame, key: str) -> DataFrame:
     """Sum of the shares of all word occurrences; the largest count is found among sentences, not words."""
-    counted = words.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(key, "word")))
-    sums = counted.groupBy(key, "sent").agg(F.sum("n").alias("_s"), F.max("n").alias("_m"))
+    # occurrences are counted per sentence first; only those counts meet the total of their word
+    local = words.groupBy(key, "word", "sent").agg(F.count(F.lit(1)).alias("_c"))
+    counted = local.withColumn("n", F.sum("_c").over(Window.partitionBy(key, "word")))
+    sums = counted.groupBy(key, "sent").agg(F.sum(F.col("n") * F.col("_c")).alias("_s"), F.max("n").alias("_m"))
     score = F.col("_s") / F.max("_m").over(Window.partitionBy(key))
     return sums.select(key, "sent", score.alias("score"))
 
@@ -87,25 +95,56 @@ def ranked_sentences(scores: DataFrame, key: str) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order))
 
 
+_RANKED = "struct<sentences: array<string>, picked: array<int>, words: array<struct<word: string, n: bigint>>>"
+
+
+def _ranked(parts: list[str], tokens: list[list[str]], n_sentences: int, n_keywords: int) -> dict:
+    """Places of the best sentences and the most frequent words, from the content words of each sentence."""
+    counts = Counter(chain.from_iterable(tokens))  # keeps the order of first occurrence
+    most = max(counts.values(), default=1)
+    scores = [(-round(sum(counts[t] for t in words) / most, 9), i) for i, words in enumerate(tokens) if words]
+    return {"sentences": parts, "picked": [i for _, i in sorted(scores)[:n_sentences]],
+            "words": [{"word": w, "n": n} for w, n in sorted(counts.items(), key=lambda c: -c[1])[:n_keywords]]}
+
+
 def summarize(docs: DataFrame, key: str, text_col: str = "text", n_sentences: int = 3, n_keywords: int = 5,
-              stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:
-    """Summary, sentence count, top keywords and error per document; no document is lost."""
-    base = docs.select(key, text_col).repartition(key)
-    content = content_words(docs, key, text_col, stop_words)
-    best = ranked_sentences(sentence_scores(content, key), key).filter(F.col("rank") <= n_sentences)
-    picked = best.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "sent"))).alias("_picked"))
-    words = top_keywords(keyword_frequencies(content, key), key, n_keywords).groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("_words"))
-    parts = sentences(text_col)
-    full = base.withColumn("_s", parts).join(picked, key, "left").join(words, key, "left")
-    chosen = F.when(F.col("_picked").isNotNull(), F.transform("_picked", lambda p: F.get(F.col("_s"), p["sent"]))) \
-        .otherwise(F.slice("_s", 1, n_sentences))
+              stop_words: tuple[str, ...] = STOP_WORDS, annotator: Callable | None = None) -> DataFrame:
+    """Summary, sentence count, top keywords and error per document; no document is lost.
+
+    A document is one row, so it is counted where it lies and nothing is shuffled.  ``annotator() ->
+    (list[str] -> list of [(sentence, [(token, part of speech)])])`` replaces the rules for sentences and
+    words; of its tokens only those of :data:`CONTENT_POS` count.
+    """
+    stops = frozenset(stop_words)
+
+    def counts_as(token: str) -> bool:
+        return token not in stops and token not in PUNCTUATION
+
+    if annotator is None:
+        @F.pandas_udf(_RANKED)
+        def rank(parts: pd.Series, tokens: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([_ranked(list(p), [[t for t in ts if counts_as(t)] for ts in rows], n_sentences, n_keywords)
+                                 for p, rows in zip(parts, tokens)], columns=["sentences", "picked", "words"])
+
+        parts = sentences(text_col)
+        ranked = rank(parts, F.transform(parts, lambda s: X.word_tokens(s)))
+    else:
+        @F.pandas_udf(_RANKED)
+        def rank(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            annotate = annotator()
+            for texts in batches:
+                rows = annotate([(t or "").strip() for t in texts])
+                yield pd.DataFrame([_ranked([s for s, _ in row], [[t for t, pos in ts if pos in CONTENT_POS and counts_as(t)] for _, ts in row],
+                                            n_sentences, n_keywords) for row in rows], columns=["sentences", "picked", "words"])
+
+        ranked = rank(X.col(text_col))
+    full = docs.select(key, text_col, ranked.alias("_r")).select(key, text_col, "_r.*")
+    chosen = F.when(F.size("picked") > 0, F.transform("picked", lambda i: F.get(F.col("sentences"), i))) \
+        .otherwise(F.slice("sentences", 1, n_sentences))
     empty = X.strip(F.coalesce(F.col(text_col), F.lit(""))) == ""
     return full.select(
         key,
-        F.when(empty, "").when(F.size("_s") == 0, F.col(text_col))
+        F.when(empty, "").when(F.size("sentences") == 0, F.col(text_col))
         .otherwise(F.array_join(F.transform(chosen, clean_sentence), " ")).alias("summary"),
-        F.size("_s").alias("num_sentences"),
-        F.coalesce(F.transform("_words", lambda w: F.struct(w["word"].alias("word"), w["n"].alias("n"))),
-                   F.array().cast("array<struct<word: string, n: bigint>>")).alias("top_keywords"),
-        F.when(empty, EMPTY_TEXT).when(F.size("_s") == 0, NO_SENTENCES).alias("error"))
+        F.size("sentences").alias("num_sentences"), F.col("words").alias("top_keywords"),
+        F.when(empty, EMPTY_TEXT).when(F.size("sentences") == 0, NO_SENTENCES).alias("error"))

@@ -31,8 +31,7 @@ def exact_sample(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> Data
 
 def exact_split(df: DataFrame, keys: list[str], test_size: float, seed: int = 42, name: str = "is_test") -> DataFrame:
     """Flag exactly ceil(n * test_size) rows."""
-    n = df.count()
-    return flag_first_by_hash(df, seed, keys, math.ceil(n * test_size), n, name)
+    return flag_first_by_hash(df, seed, keys, lambda n: math.ceil(n * test_size), name)
 
 
 def low_score_label(score: Column) -> Column:
@@ -130,13 +129,14 @@ def locate(points: DataFrame, point: str, spans: DataFrame, bucket: int = 4096)
 
 
 def prefix_scores(docs: DataFrame, keys: list[str], text_col: str, lexicon: dict[str, float]) -> DataFrame:
-    """Score of every word prefix: mean weight of the lexicon words so far, 0 before the first.
+    """Score of every word prefix (the result has a row per word): mean weight of the lexicon words so far, 0 before the first.
 
     Running sums over the words of one text replace the prefixes themselves.
     """
-    table = F.create_map(*[F.lit(v) for kv in lexicon.items() for v in kv])
+    spark = docs.sparkSession
+    table = spark.createDataFrame([(k, float(v)) for k, v in lexicon.items()], "_w string, _x double")
     words = docs.select(*keys, F.posexplode(X.split_words(F.lower(text_col))).alias("_p", "_w"))
-    weighed = words.withColumn("_x", F.try_element_at(table, F.col("_w")))
+    weighed = lookup_join(words, table, ["_w"], "left")
     so_far = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
     return weighed.select(*keys, (F.col("_p") + 1).alias("n_words"),
                           F.coalesce(F.avg("_x").over(so_far), F.lit(0.0)).alias("score"))

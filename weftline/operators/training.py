@@ -117,8 +117,7 @@ def reason_counts(prepared: DataFrame) -> DataFrame:
 
 def split(kept: DataFrame, order: list[str], seed: int = 42, share: float = VALID_SHARE) -> DataFrame:
     """Add ``is_valid`` for exactly max(1, floor(n * share)) rows of the seeded order."""
-    n = kept.count()
-    return flag_first_by_hash(kept, seed, order, max(1, int(n * share)), n, "is_valid")
+    return flag_first_by_hash(kept, seed, order, lambda n: max(1, int(n * share)), "is_valid")
 
 
 def token_statistics(kept: DataFrame) -> DataFrame:

@@ -48,8 +48,11 @@ def _(t):
 
 
 @catalog.add("src_16_checkerboards", """
-select b as img, 0::BIGINT as c, y, x, ((x + y) % 2)::DOUBLE as value
-from (select unnest(range((select count(*) from embeddings))) as b), range(8) r1(y), range(8) r2(x)""")
+select vec_id as img, 0::BIGINT as c, y, x, ((x + y) % 2)::DOUBLE * embedding[y * 8 + x + 1]::DOUBLE as value
+from embeddings, range(8) r1(y), range(8) r2(x)""")
 def _(t):
-    """One board per vector of the table."""
-    return I.checkerboard(t.spark, t.embeddings.count(), 8)
+    """Every vector of the table as an image of 8 by 8, seen through a checkerboard."""
+    pixels = t.embeddings.select(F.col("vec_id").alias("img"), F.posexplode("embedding").alias("_i", "_v"))
+    pixels = pixels.select("img", F.expr("cast(_i div 8 as bigint)").alias("y"), F.expr("cast(_i % 8 as bigint)").alias("x"), "_v")
+    board = I.checkerboard(t.spark, 1, 8).drop("img")
+    return pixels.join(F.broadcast(board), ["y", "x"]).select("img", "c", "y", "x", (F.col("value") * F.col("_v").cast("double")).alias("value"))

@@ -174,7 +174,9 @@ def _(t):
         "doc_id", "chunk_index", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
 
 
-@catalog.add("ud_01_plugged_embedder")
+@catalog.add("ud_01_plugged_embedder", r"""
+select doc_id, [length(text)::DOUBLE, len(regexp_extract_all(text, '[\x09-\x0D\x1C-\x20\x{85}\x{A0}]'))::DOUBLE,
+  len(regexp_extract_all(text, '\p{Lu}'))::DOUBLE] as embedding from documents""")
 def _(t):
     """An embedder loaded once per worker; here a stand-in that counts character classes."""
     def factory():
@@ -408,19 +410,23 @@ select item_id as question, '<|im_start|>system' || chr(10) ||
   'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: ' || question_text || '<|im_end|>' || chr(10) ||
   '<|im_start|>assistant' || chr(10) as chat_prompt,
   'Context:' || chr(10) || plain_context || chr(10) || chr(10) || 'Question: ' || question_text || chr(10) || chr(10) ||
-  'Answer in simple terms:' as user_prompt from ctx""")
+  'Answer in simple terms:' as user_prompt,
+  'You are a credit risk expert AI. Always base your answer strictly on the provided context.' || chr(10) || 'Context:' || chr(10) ||
+  plain_context || chr(10) || chr(10) || 'Question: ' || question_text || chr(10) || chr(10) || 'Answer in simple terms:' as messages from ctx""")
 def _(t):
     c = question_contexts(t)
     return c.select(
         "question",
         answers.fill_prompt(answers.CHAT_PROMPT, F.col("context"), F.col("question_text")).alias("chat_prompt"),
-        answers.fill_prompt(answers.USER_PROMPT, F.col("plain_context"), F.col("question_text")).alias("user_prompt"))
+        answers.fill_prompt(answers.USER_PROMPT, F.col("plain_context"), F.col("question_text")).alias("user_prompt"),
+        F.array_join(F.transform(answers.chat_messages(F.col("plain_context"), F.col("question_text"), answers.STRICT_SYSTEM),
+                                 lambda m: m["content"]), "\n").alias("messages"))
 
 
 @catalog.add("vr_20_answer_records", f"""
 with {SQL_HITS}
 select item_id as question, top_text as answer, null::VARCHAR as answer_error, context as context_used, chunks_used,
-  'aurora' as backend from ctx""")
+  'aurora' as backend, 0.0::DOUBLE as retrieval_ms, 0.0::DOUBLE as generation_ms, 0.0::DOUBLE as total_ms from ctx""")
 def _(t):
     prompts = question_contexts(t).withColumn(
         "prompt", answers.fill_prompt(answers.CHAT_PROMPT, F.col("context"), F.col("question_text")))

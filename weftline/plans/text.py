@@ -325,7 +325,7 @@ def _(t):
     def factory():
         import re
 
-        return lambda text: [(m, "NUMBER") for m in re.findall("[0-9]+", text)]
+        return lambda texts: [[(m, "NUMBER") for m in re.findall("[0-9]+", text)] for text in texts]
 
     return plugs.annotate(t.documents.select("doc_id", "text"), "text", factory).select(
         "doc_id", F.size("entities").cast("bigint").alias("n_numbers"))
