@@ -55,7 +55,7 @@ def _feature_rows(df: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def select_features(positive: list[np.ndarray], other: list[np.ndarray], most: int, least: int) -> np.ndarray:
-    """Features clearly commoner in positives: by the lower end of their log ratio, at most ``most``."""
+    """Features clearly commoner in positives: by the lower end (three deviations) of their log ratio, at most ``most``."""
     hp, cp = np.unique(np.concatenate(positive), return_counts=True)
     keep = cp >= least
     hp, cp = hp[keep], cp[keep]
@@ -63,20 +63,20 @@ def select_features(positive: list[np.ndarray], other: list[np.ndarray], most: i
     spot = np.minimum(np.searchsorted(ho, hp), max(0, len(ho) - 1))
     found = np.where(ho[spot] == hp, co[spot], 0) if len(ho) else np.zeros(len(hp), int)
     a, b = (cp + 0.1) / (len(positive) + 0.2), (found + 0.1) / (len(other) + 0.2)
-    bound = np.log(a / b) - 2.0 * np.sqrt(1 / (cp + 0.1) + 1 / (found + 1.0))
+    bound = np.log(a / b) - 3.0 * np.sqrt(1 / (cp + 0.1) + 1 / (found + 1.0))
     order = np.lexsort((hp, -bound))
     order = order[bound[order] > 0.0][:most]
     return hp[order]
 
 
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, most: int = 1500,
-             steps: int = 400, rate: float = 0.05, decay: float = 0.002) -> ToxicityModel:
+             steps: int = 800, rate: float = 0.05, decay: float = 0.01) -> ToxicityModel:
     """Fit the linear classifier on sorted distinct feature hashes of each text."""
     prior = float(min(0.9, max(0.005, prior)))
     start = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return ToxicityModel(Vocabulary(np.zeros(0, np.uint64)), np.zeros(0), start, prior)
-    vocabulary = Vocabulary(select_features(positive, unlabelled, most, 2 if len(positive) < 200 else 4))
+    vocabulary = Vocabulary(select_features(positive, unlabelled, most, max(2, len(positive) // 100)))
 
     def matrix(texts):
         at, col = vocabulary.places(np.concatenate(texts))
