@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from weftline.functions import vectors as V
 from weftline.operators import metrics, neighbours, tabular
+from weftline.session import cut_lineage
 
 
 def boosted_scores(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 100,
@@ -40,7 +41,8 @@ def forest_scenarios(scenarios: dict[str, DataFrame], target: str, keys: list[st
     rows = []
     for name, df in scenarios.items():
         data = df.withColumn("_x", array_to_vector(V.as_double("embedding")))
-        parts = tabular.exact_split(data, keys, 0.5, seed)
+        # stored once, because every pass over the trees reads the rows again
+        parts = cut_lineage(tabular.exact_split(data, keys, 0.5, seed))
         model = RandomForestRegressor(featuresCol="_x", labelCol=target, numTrees=trees, seed=seed).fit(
             parts.filter(~F.col("is_test")))
         scored = model.transform(parts.filter("is_test"))
@@ -48,9 +50,14 @@ def forest_scenarios(scenarios: dict[str, DataFrame], target: str, keys: list[st
     return reduce(DataFrame.unionByName, rows)
 
 
-def word_vectors(sentences: DataFrame, words_col: str, size: int = 16, window: int = 5, seed: int = 42) -> DataFrame:
-    """Word vectors (skip-gram) as rows of word and embedding."""
-    model = Word2Vec(vectorSize=size, windowSize=window, minCount=1, inputCol=words_col, outputCol="_v", seed=seed,
+def word_vectors(sentences: DataFrame, words_col: str, size: int = 16, window: int = 5, seed: int = 42,
+                 min_count: int = 1) -> DataFrame:
+    """Word vectors (skip-gram) as rows of word and embedding.
+
+    The library holds the vocabulary on the driver; ``min_count`` keeps rare words out of it and
+    must grow with the corpus.
+    """
+    model = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, inputCol=words_col, outputCol="_v", seed=seed,
                      maxIter=1).fit(sentences)
     return model.getVectors().select("word", vector_to_array("vector").alias("embedding"))
 

@@ -9,6 +9,7 @@ from weftline.functions import text as X
 from weftline.operators import learning, metrics, tabular
 from weftline.operators.ordering import positional_join, seeded_hash
 from weftline.plans import Catalog, Tables
+from weftline.session import cut_lineage
 
 catalog = Catalog()
 
@@ -179,16 +180,31 @@ def _(t):
     return scored(t).select("doc_id", tabular.credit_score(F.col("p")).alias("credit_score"))
 
 
-@catalog.add("ml_19_boosted_scores")
-def _(t):
-    """Boosted trees over orders; model-dependent, so rows only."""
+def boosted_orders(t: Tables):
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "o_totalprice", "o_orderpriority", "c_acctbal", "c_mktsegment",
         (F.col("o_orderstatus") == "F").cast("double").alias("label"))
-    parts = tabular.exact_split(rows, ["o_orderkey"], 0.3)
+    parts = cut_lineage(tabular.exact_split(rows, ["o_orderkey"], 0.3))
     features = ["o_totalprice", "o_orderpriority", "c_acctbal", "c_mktsegment"]
     return learning.boosted_scores(parts.filter("not is_test").drop("is_test"), parts.filter("is_test").drop("is_test"),
-                                   features, "label").select("o_orderkey", "approval", "credit_score")
+                                   features, "label")
+
+
+@catalog.add("ml_19_boosted_scores")
+def _(t):
+    """Boosted trees over orders; model-dependent, so rows only."""
+    return boosted_orders(t).select("o_orderkey", "approval", "credit_score")
+
+
+@catalog.add("ml_19_boosted_quality", """
+select ceil(count(*) * 0.3)::BIGINT as rows, 1::BIGINT as in_range, 1::BIGINT as near_or_below_constant
+from orders join customer on o_custkey = c_custkey""")
+def _(t):
+    """Row count, probabilities in range, and a squared error within 5 % of the best constant's or below it."""
+    error = F.avg(F.pow(F.col("label") - F.col("approval"), 2))
+    return boosted_orders(t).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.col("approval").between(0, 1).cast("bigint")).alias("in_range"),
+        (error <= 1.05 * F.var_pop("label")).cast("bigint").alias("near_or_below_constant"))
 
 
 @catalog.add("ml_20_forest_scenarios")
@@ -215,6 +231,15 @@ def _(t):
     return learning.word_vectors(words, "words")
 
 
+@catalog.add("ml_23_vocabulary", """
+with w as (select unnest(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) as word from conversations)
+select word, 16::BIGINT as dims from w group by word having count(*) >= 3""")
+def _(t):
+    """Which words get a vector, with a minimum count, and its length."""
+    words = t.conversations.select(X.split_words("text").alias("words"))
+    return learning.word_vectors(words, "words", min_count=3).select("word", F.size("embedding").cast("bigint").alias("dims"))
+
+
 @catalog.add("ml_24_analogies", """
 with u as (select vec_id, label, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda y: y * y)))) as v,
     row_number() over (partition by label order by vec_id) as i from embeddings),
@@ -250,6 +275,17 @@ def _(t):
         "vec_id", F.col("components")[0].alias("x"), F.col("components")[1].alias("y"))
 
 
+@catalog.add("ml_25_spread", """
+select count(*) as n, 1::BIGINT as ordered, 1::BIGINT as centred, 1::BIGINT as uncorrelated from embeddings""")
+def _(t):
+    """What holds for principal components whatever their sign: order of spread, mean zero, no correlation."""
+    p = learning.principal_components(t.embeddings).select(F.col("components")[0].alias("x"), F.col("components")[1].alias("y"))
+    return p.agg(
+        F.count(F.lit(1)).alias("n"), (F.var_pop("x") >= F.var_pop("y")).cast("bigint").alias("ordered"),
+        ((F.abs(F.avg("x")) < 1e-6) & (F.abs(F.avg("y")) < 1e-6)).cast("bigint").alias("centred"),
+        (F.abs(F.corr("x", "y")) < 1e-6).cast("bigint").alias("uncorrelated"))
+
+
 @catalog.add("ml_26_moving_average", """
 with w as (select user_id, ts, event_id, value, row_number() over (partition by user_id order by ts, event_id) as i,
   count(*) over (partition by user_id) as n, avg(value) over (partition by user_id order by ts, event_id rows between 2 preceding and current row) as m
