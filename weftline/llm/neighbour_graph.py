@@ -1,6 +1,6 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
-1. A bounded sample of vectors gives cluster centres per label.  Every vector joins its
+1. A bounded sample of vectors gives cluster centres per label, none of them close to another.  Every vector joins its
    ``overlap`` nearest clusters, so clusters (shards) overlap.  A shard beyond ``cap`` rows is
    dealt into blocks, and every two blocks meet in one cell, so a hot cluster is many tasks.
 2. Each cell builds a flat graph: the nearest candidates of a vector are pruned robustly (a
@@ -33,6 +33,20 @@ def unit_rows(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+def spread_out(x: np.ndarray, nearest: float) -> np.ndarray:
+    """Rows in order, without those whose cosine to an earlier kept one is above ``nearest``.
+
+    A dense group then has one centre, which is the nearest of all its members, so they share a shard.
+    """
+    kept = np.empty_like(x)
+    n = 0
+    for row in x:
+        if not n or (kept[:n] @ row).max() <= nearest:
+            kept[n] = row
+            n += 1
+    return kept[:n]
+
+
 def robust_prune(x: np.ndarray, p: int, candidates: np.ndarray, alpha: float, degree: int) -> list[int]:
     """At most ``degree`` neighbours of ``p`` among ``candidates`` (nearest first)."""
     kept: list[int] = []
@@ -114,7 +128,7 @@ def _usable(embeddings: DataFrame, id_col: str, vector: str, label: str) -> Data
 
 
 def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label",
-                    link: float = 0.93, overlap: int = 3, per_shard: int = 500, cap: int = 800, alpha: float = 1.2,
+                    link: float = 0.93, overlap: int = 2, per_shard: int = 500, cap: int = 2000, alpha: float = 1.2,
                     degree: int = 24, pool: int = 64, audit: int = 500, min_recall: float = 1.0) -> DataFrame:
     """Links and components of vectors with equal labels and a cosine of at least ``link``.
 
@@ -132,7 +146,7 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector: str =
     centres: dict[str, np.ndarray] = {}
     picked = rows.filter(hashed < share).select("label", "id", "v").toPandas() if n else pd.DataFrame()
     for name, part in picked.groupby("label") if len(picked) else ():
-        centres[name] = unit_rows(part.sort_values("id")["v"])
+        centres[name] = spread_out(unit_rows(part.sort_values("id")["v"]), link - 0.1)
     most = max([1, *[len(c) for c in centres.values()]])
     while True:
         result = stage(_links(rows, spark.sparkContext.broadcast(centres), link, overlap, cap, alpha, degree, pool), "links")
@@ -167,8 +181,8 @@ def _links(rows: DataFrame, centres, link: float, overlap: int, cap: int, alpha:
     sizes = members.groupBy("label", "shard").agg(F.count(F.lit(1)).alias("size"))
     # one row per cluster centre (or label without one): at most MAX_CENTRES plus the labels
     cells = members.join(sizes, ["label", "shard"])
-    cells = with_cells(cells, F.col("size"), F.col("id"), cap).select("id", "label", "shard", "shards", "block", "cell", "v")
-    keys = ["label", "shard", "cell"]
+    cells = with_cells(cells, F.col("size"), F.col("id"), cap).select("id", "label", "shard", "shards", "block", "cell_a", "cell_b", "v")
+    keys = ["label", "shard", "cell_a", "cell_b"]
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
@@ -192,7 +206,7 @@ def _links(rows: DataFrame, centres, link: float, overlap: int, cap: int, alpha:
         homes = np.full((len(ids), width), -1)
         for i, s in enumerate(pdf["shards"]):
             homes[i, :len(s)] = s
-        a, b = pdf["cell"].iloc[0]
+        a, b = pdf["cell_a"].iloc[0], pdf["cell_b"].iloc[0]
         medoid = int((x @ x.mean(0)).argmax())
         forest = Forest(len(ids))
         counts = np.zeros(len(ids), np.int64)
