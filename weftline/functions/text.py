@@ -68,8 +68,9 @@ def after_first(c: Column, mark: str) -> Column:
     return F.when(at > 0, F.substr(c, at + len(mark)))
 
 
-def cut(c: Column, n: int) -> Column:
-    return F.substring(c, 1, n)
+def cut(c: Column, n: int | None) -> Column:
+    """The first ``n`` characters; None: all."""
+    return c if n is None else F.substring(c, 1, n)
 
 
 def named(name: str) -> Column:

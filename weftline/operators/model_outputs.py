@@ -146,10 +146,10 @@ def flatten_content(content_json: Column) -> Column:
     return F.when(F.schema_of_variant(parsed) == "STRING", F.try_variant_get(parsed, "$", "string")).otherwise(joined)
 
 
-def convert_request(body: Column, suffix: str) -> Column:
+def convert_request(body: Column, suffix: str, max_history: int | None = MAX_HISTORY) -> Column:
     """Chat request in the other format: (system, messages, stream, max_tokens, temperature, stop).
 
-    The system text is extended by ``suffix``; only the last four messages stay.
+    The system text is extended by ``suffix``; only the last ``max_history`` messages stay (None: all).
     """
     v = F.try_parse_json(body)
 
@@ -178,8 +178,8 @@ def convert_request(body: Column, suffix: str) -> Column:
         return F.struct(F.try_variant_get(m, "$.role", "string").alias("role"), clean.alias("content"))
 
     history = F.coalesce(F.try_variant_get(v, "$.messages", "array<variant>"), F.array().cast("array<variant>"))
-    last = let(history, lambda h: F.slice(
-        h, F.greatest(F.size(h) - MAX_HISTORY, F.lit(0)) + 1, F.lit(MAX_HISTORY)))
+    last = history if max_history is None else let(history, lambda h: F.slice(
+        h, F.greatest(F.size(h) - max_history, F.lit(0)) + 1, F.lit(max_history)))
     head = F.struct(F.lit("system").alias("role"), system.alias("content"))
     return F.struct(
         F.concat(F.array(head), F.transform(last, message)).alias("messages"),
@@ -235,7 +235,7 @@ def evaluation_results(log: DataFrame, result_chars: int | None = RESULT_CHARS)
         F.max_by("answer", "step").alias("answer"),
         F.sum("latency").alias("latency"),
         F.count(F.lit(1)).alias("steps"),
-        (last_result if result_chars is None else X.cut(last_result, result_chars)).alias("tool_result"))
+        X.cut(last_result, result_chars).alias("tool_result"))
 
 
 def seconds(latency: Column) -> Column:

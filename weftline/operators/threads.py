@@ -19,6 +19,7 @@ MAX_NODES = 60
 MAX_TURNS = 12
 MAX_RESULT_CHARS = 800
 MAX_EXAMPLES = 500
+OPENING_CHARS = 100
 TARGET_TOOLS = ("Bash", "Read", "Write", "Edit", "Glob", "Grep")
 
 
@@ -96,26 +97,26 @@ def _field(block: Column, name: str, kind: str = "string") -> Column:
     return F.try_variant_get(block, f"$.{name}", kind)
 
 
-def tool_result_text(inner: Column) -> Column:
-    """Text of a tool result: a string, or the text blocks of a list; cut to the limit."""
+def tool_result_text(inner: Column, limit: int | None = MAX_RESULT_CHARS) -> Column:
+    """Text of a tool result: a string, or the text blocks of a list; cut to ``limit`` (None: whole)."""
     parts = F.try_variant_get(inner, "$", "array<variant>")
     joined = F.array_join(F.transform(F.filter(parts, lambda b: _field(b, "type") == "text"),
                                       lambda b: F.coalesce(_field(b, "text"), F.lit(""))), "\n")
     is_text = F.schema_of_variant(inner) == "STRING"
     text = F.when(is_text, F.try_variant_get(inner, "$", "string")).when(parts.isNotNull(), joined)
-    return X.cut(F.coalesce(text, F.lit("")), MAX_RESULT_CHARS)
+    return X.cut(F.coalesce(text, F.lit("")), limit)
 
 
 def _is_list(content: Column) -> Column:
     return F.schema_of_variant(content).startswith("ARRAY")
 
 
-def user_text(content: Column) -> Column:
+def user_text(content: Column, result_chars: int | None = MAX_RESULT_CHARS) -> Column:
     """User message text; tool results win over text blocks; null when nothing is left."""
     def from_list(blocks: Column) -> Column:
         results = F.filter(
             F.transform(F.filter(blocks, lambda b: _field(b, "type") == "tool_result"),
-                        lambda b: tool_result_text(_field(b, "content", "variant"))),
+                        lambda b: tool_result_text(_field(b, "content", "variant"), result_chars)),
             lambda s: s != "")
         texts = F.transform(F.filter(blocks, lambda b: _field(b, "type") == "text"),
                             lambda b: F.coalesce(_field(b, "text"), F.lit("")))
@@ -142,14 +143,14 @@ def assistant_text(content: Column) -> Column:
     return F.when(text != "", text)
 
 
-def node_messages(records: DataFrame, node_table: DataFrame) -> DataFrame:
+def node_messages(records: DataFrame, node_table: DataFrame, result_chars: int | None = MAX_RESULT_CHARS) -> DataFrame:
     """Role and text per node from the JSON of its content; nodes without text give no row.
 
     Texts are made where the records lie and shuffled once, to keep the winning record of a
     repeated uuid.
     """
     parsed = candidate_records(records).withColumn("_v", F.try_parse_json("content"))
-    text = F.when(F.col("type") == "user", user_text(F.col("_v"))).otherwise(assistant_text(F.col("_v")))
+    text = F.when(F.col("type") == "user", user_text(F.col("_v"), result_chars)).otherwise(assistant_text(F.col("_v")))
     texts = parsed.select("file", "uuid", "line_no", F.col("type").alias("role"), text.alias("text")).filter(
         "text IS NOT NULL")
     winners = node_table.select("file", "uuid", F.col("last_line").alias("line_no"))
@@ -195,26 +196,27 @@ def thread_messages(walks: DataFrame, messages: DataFrame) -> DataFrame:
         .alias("messages"))
 
 
-def examples(threaded: DataFrame) -> DataFrame:
-    """Whole short valid threads, windows of all others: adds ``window`` and ``messages``."""
+def examples(threaded: DataFrame, max_turns: int | None = MAX_TURNS) -> DataFrame:
+    """Whole valid threads of at most ``max_turns`` (None: any length), windows of all others: adds ``window`` and ``messages``."""
     m = F.col("messages")
-    whole = is_valid(m) & (F.size(m) <= MAX_TURNS)
+    whole = is_valid(m) if max_turns is None else is_valid(m) & (F.size(m) <= max_turns)
     others = [c for c in threaded.columns if c != "messages"]
     return threaded.select(
-        *others, F.posexplode(F.when(whole, F.array(m)).otherwise(windows(m))).alias("window", "messages"))
+        *others, F.posexplode(F.when(whole, F.array(m)).otherwise(windows(m, max_turns or MAX_TURNS))).alias("window", "messages"))
 
 
-def distinct_openings(example_table: DataFrame, order: list[str]) -> DataFrame:
-    """First example per opening (100 characters of the first message)."""
-    opening = F.substring(F.col("messages")[0]["content"], 1, 100)
+def distinct_openings(example_table: DataFrame, order: list[str], opening_chars: int | None = OPENING_CHARS) -> DataFrame:
+    """First example per opening: ``opening_chars`` characters of the first message (None: all of it)."""
+    opening = X.cut(F.col("messages")[0]["content"], opening_chars)
     return first_per_key(example_table, opening, order)
 
 
-def sample_examples(example_table: DataFrame, keys: list[str], seed: int = 42, n: int = MAX_EXAMPLES) -> DataFrame:
-    return smallest_by_hash(example_table, seed, keys, n)
+def sample_examples(example_table: DataFrame, keys: list[str], seed: int = 42, n: int | None = MAX_EXAMPLES) -> DataFrame:
+    """``n`` examples by seeded order (None: all)."""
+    return example_table if n is None else smallest_by_hash(example_table, seed, keys, n)
 
 
-def build_examples(records: DataFrame, seed: int = 42, n: int = MAX_EXAMPLES) -> DataFrame:
+def build_examples(records: DataFrame, seed: int = 42, n: int | None = MAX_EXAMPLES) -> DataFrame:
     """Records (file, line_no, uuid, parent, type, content JSON) to at most ``n`` examples."""
     table = cut_lineage(nodes(records))
     ends = leaves(records, table)

@@ -79,9 +79,13 @@ def render_chat(messages: Column) -> Column:
     return F.array_join(F.transform(messages, turn), "")
 
 
-def prepare(rows: DataFrame, order: list[str], tokenizer=None) -> DataFrame:
+def prepare(rows: DataFrame, order: list[str], tokenizer=None, max_tool_calls: int | None = MAX_TOOL_CALLS,
+            max_messages: int | None = MAX_MESSAGES, max_tokens: int | None = MAX_TOKENS,
+            opening_chars: int | None = OPENING_CHARS) -> DataFrame:
     """Judge every row: adds text, n_tokens and ``reason`` (null for rows that are kept).
 
+    A limit of None is no limit; :func:`reason_counts` tells how many rows each one took.
+
     Rows carry ``messages`` or a ready ``text``.  An opening is used up by its first row,
     even when that row is dropped by a cap afterwards.
     """
@@ -92,7 +96,7 @@ def prepare(rows: DataFrame, order: list[str], tokenizer=None) -> DataFrame:
     # opening shared by very many rows is never gathered
     winners = (
         judged.filter(~F.col("_ready") & ~F.col("_follow"))
-        .groupBy(F.substring("_first", 1, OPENING_CHARS).alias("_key"))
+        .groupBy(X.cut(F.col("_first"), opening_chars).alias("_key"))
         .agg(F.min(F.struct(*order)).alias("_w")).select("_w.*").withColumn("_winner", F.lit(True))
     )
     m = F.col("messages")
@@ -100,13 +104,17 @@ def prepare(rows: DataFrame, order: list[str], tokenizer=None) -> DataFrame:
         "text", F.when(F.col("_ready"), F.col("text")).otherwise(render_chat(m)))
     full = full.withColumn("n_tokens", plugs.token_count("text", tokenizer))
     capped = ~F.col("_ready")
+
+    def over(value: Column, limit: int | None) -> Column:
+        return F.lit(False) if limit is None else value > limit
+
     reason = (
         F.when(F.col("_follow"), "follow-up")
         .when(capped & F.col("_winner").isNull(), "repeated opening")
         .when(capped & ~F.coalesce(F.get(m, F.size(m) - 1)["role"] == "assistant", F.lit(False)), "no final answer")
-        .when(capped & (tool_calls(m) > MAX_TOOL_CALLS), "too many tool calls")
-        .when(capped & (F.size(m) > MAX_MESSAGES), "too many messages")
-        .when(F.col("n_tokens") > MAX_TOKENS, "too many tokens")
+        .when(capped & over(tool_calls(m), max_tool_calls), "too many tool calls")
+        .when(capped & over(F.size(m), max_messages), "too many messages")
+        .when(over(F.col("n_tokens"), max_tokens), "too many tokens")
     )
     return full.withColumn("reason", reason).drop("_first", "_ready", "_follow", "_winner")
 
@@ -187,8 +195,9 @@ def masked_tokens(tokens: DataFrame, keys: list[str], vocabulary_size: int, mask
     }).drop("_h")
 
 
-def user_questions(rows: DataFrame, text_col: str = "text", row_col: str = "row_no") -> DataFrame:
-    """First user turn of rendered texts; empty ones are dropped, the row number stays the id."""
+def user_questions(rows: DataFrame, text_col: str = "text", row_col: str = "row_no",
+                   chars: int | None = QUESTION_CHARS) -> DataFrame:
+    """First user turn of rendered texts, cut to ``chars`` (None: whole); empty ones are dropped, the row number stays the id."""
     q = X.strip(F.regexp_extract(text_col, QUESTION, 1))
     return rows.select(F.col(row_col).cast("string").alias("id"), q.alias("q")).filter("q <> ''").select(
-        "id", X.cut(F.col("q"), QUESTION_CHARS).alias("text"))
+        "id", X.cut(F.col("q"), chars).alias("text"))
