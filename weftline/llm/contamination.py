@@ -13,7 +13,6 @@ searched in the same pass; a benchmark of any size is searched completely.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable
 
 import numpy as np
@@ -158,7 +157,3 @@ def is_contaminated(n_words, n_hit):
 def items_digest(items):
     """SHA-256 of the sorted item ids, joined by commas."""
     return F.sha2(F.array_join(F.array_sort(items), ","), 256)
-
-
-def digest_of(ids: Iterable[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
