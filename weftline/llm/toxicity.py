@@ -121,11 +121,14 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unla
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~is_held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = marks.agg(F.avg(F.col("toxic").cast("double")).alias("q")).first()["q"]
-    order = F.xxhash64(F.lit(7), "text"), F.col("doc_id")
-    confirmed = docs.join(marks.filter("toxic = 1").select("doc_id"), "doc_id").orderBy(*order).limit(max_positive)
-    # ids are chosen first, so that only the chosen texts move
-    anyone = docs.select("doc_id", order[0].alias("h")).orderBy("h", "doc_id").limit(max_unlabelled).select("doc_id")
-    unlabelled = docs.join(F.broadcast(anyone), "doc_id", "left_semi")
+    # ids are chosen first, so that only the chosen texts move; both choices are bounded, hence the copies
+    ids = docs.select("doc_id", F.xxhash64(F.lit(7), "text").alias("h"))
+
+    def chosen(rows: DataFrame, most: int) -> DataFrame:
+        return docs.join(F.broadcast(rows.orderBy("h", "doc_id").limit(most).select("doc_id")), "doc_id", "left_semi")
+
+    confirmed = chosen(ids.join(marks.filter("toxic = 1").select("doc_id"), "doc_id"), max_positive)
+    unlabelled = chosen(ids, max_unlabelled)
 
     def collect(df):
         rows = _feature_rows(df, ["doc_id"]).toArrow()
