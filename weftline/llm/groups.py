@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def with_cells(df: DataFrame, size: Column, key: Column, cap: int) -> DataFrame:
-    """Add ``cell``, ``block`` and ``blocks`` so that every two rows of a group meet in exactly one cell.
+    """Add the cell (``cell_a``, ``cell_b``), ``block`` and ``blocks`` so that every two rows of a group meet in exactly one cell.
 
     A group of ``size`` rows is dealt by a hash of ``key`` into blocks of about ``cap`` rows.
     A cell holds two blocks (or one, for pairs inside a block), hence at most about twice
@@ -34,8 +36,40 @@ def with_cells(df: DataFrame, size: Column, key: Column, cap: int) -> DataFrame:
     blocks = F.greatest(F.lit(1), F.ceil(size / F.lit(cap))).cast("int")
     df = df.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return df.withColumn("other", other).withColumn("cell", F.array(
-        F.least("block", "other"), F.greatest("block", "other"))).drop("other")
+    return df.withColumn("other", other).withColumns({
+        "cell_a": F.least("block", "other"), "cell_b": F.greatest("block", "other")}).drop("other")
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str], decode: Callable[[pa.RecordBatch], list[np.ndarray]]
+                  ) -> Iterator[tuple[tuple, list[np.ndarray]]]:
+    """(key, columns) of each group of a stream that is sorted by ``keys``.
+
+    ``decode`` makes arrays of a whole batch at once, and groups are slices of them, so that many small
+    groups cost little; only a group across batches is put together.
+    """
+    key, parts = None, []
+
+    def joined() -> list[np.ndarray]:
+        return parts[0] if len(parts) == 1 else [np.concatenate(c) for c in zip(*parts)]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = decode(batch)
+        values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows - 1, bool)
+        for v in values:
+            new |= v[1:] != v[:-1]
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(edges, edges[1:]):
+            here = tuple(v[begin] for v in values)
+            if parts and here != key:
+                yield key, joined()
+                parts = []
+            key = here
+            parts.append([c[begin:end] for c in columns])
+    if parts:
+        yield key, joined()
 
 
 class Forest:

@@ -17,14 +17,16 @@ less for closer ones; links below the threshold never pass the full comparison.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from weftline.llm import words as W
-from weftline.llm.groups import Forest, components, stage, with_cells
+from weftline.llm.groups import Forest, components, sorted_groups, stage, with_cells
 from weftline.operators.lookup import lookup_join
 
 SHINGLE = 5
@@ -194,18 +196,45 @@ def _candidates(reps: DataFrame, id_type: str, tables: int, rows: int, cap: int,
     W.small_batches(reps, 5000)
     keyed = stage(reps.select("id", "sketch").mapInArrow(left_keys, f"id {id_type}, keys array<bigint>").select("id", F.explode("keys").alias("key")), "left-keys")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    in_cells = with_cells(keyed.join(shared, "key"), F.col("size"), F.col("id"), cap).select("key", "cell", "block", "id")
+    in_cells = with_cells(keyed.join(shared, "key"), F.col("size"), F.col("id"), cap).select("key", "cell_a", "cell_b", "block", "id")
     in_cells = in_cells.join(reps.select("id", "sketch"), "id")
 
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", ignore_index=True)
-        a, b = pdf["cell"].iloc[0]
-        m = np.frombuffer(b"".join(pdf["sketch"]), np.uint32).reshape(len(pdf), -1)
-        found = _sketch_edges(m, tables, rows, least, None if a == b else pdf["block"].to_numpy())
-        ids = pdf["id"].to_numpy()
-        return pd.DataFrame({"src": ids[[i for i, _ in found]], "dst": ids[[j for _, j in found]]})
+    def decode(batch: pa.RecordBatch) -> list[np.ndarray]:
+        m = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+        return [*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "block")), m]
+
+    def pairs(key: tuple, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        ids, block, m = columns
+        found = np.array(_sketch_edges(m, tables, rows, least, None if key[1] == key[2] else block), np.int64).reshape(-1, 2)
+        return ids[found[:, 0]], ids[found[:, 1]]
+
+    return _edges_of_groups(in_cells, ["key", "cell_a", "cell_b"], decode, pairs, id_type).distinct()
+
+
+def _edges_of_groups(cells: DataFrame, keys: list[str], decode, pairs, id_type: str) -> DataFrame:
+    """Edges (src, dst) that ``pairs`` finds in each cell; rows of a cell come in the order of their ids."""
+    placed = cells.repartition(*keys).sortWithinPartitions(*keys, "id")
+    kind = placed.schema["id"].dataType
+    arrow = to_arrow_type(kind)
 
-    return in_cells.groupBy("key", "cell").applyInPandas(pairs, f"src {id_type}, dst {id_type}").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def batch_of() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), arrow) for c in zip(*held)], ["src", "dst"])
+
+        for key, columns in sorted_groups(batches, keys, decode):
+            found = pairs(key, columns)
+            if len(found[0]):
+                held.append(found)
+                n += len(found[0])
+            if n >= 10_000:
+                yield batch_of()
+                held, n = [], 0
+        if held:
+            yield batch_of()
+
+    return placed.mapInArrow(run, f"src {id_type}, dst {id_type}")
 
 
 def _verified(source: DataFrame, groups: DataFrame, id_type: str, percent: int, cap: int) -> DataFrame:
@@ -217,12 +246,16 @@ def _verified(source: DataFrame, groups: DataFrame, id_type: str, percent: int,
     sets = W.text_map(texts, "text", ["id", "grp", "size"], _sets, "members binary").select("row.*", "members")
     cells = with_cells(sets, F.col("size"), F.col("id"), cap // 2)
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", ignore_index=True)
-        a, b = pdf["cell"].iloc[0]
-        forest = _linked([np.frombuffer(x, np.uint64) for x in pdf["members"]], percent, None if a == b else pdf["block"].to_numpy())
-        ids, roots = pdf["id"].to_numpy(), forest.roots()
+    def decode(batch: pa.RecordBatch) -> list[np.ndarray]:
+        members = np.empty(batch.num_rows, object)
+        members[:] = batch.column("members").to_pylist()
+        return [*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "block")), members]
+
+    def compare(key: tuple, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        ids, block, members = columns
+        roots = _linked([np.frombuffer(x, np.uint64) for x in members], percent, None if key[1] == key[2] else block).roots()
         linked = roots != np.arange(len(roots))
-        return pd.DataFrame({"src": ids[linked], "dst": ids[roots[linked]]})
+        return ids[linked], ids[roots[linked]]
 
-    return cells.groupBy("grp", "cell").applyInPandas(compare, f"src {id_type}, dst {id_type}")
+    W.small_batches(cells)
+    return _edges_of_groups(cells.select("grp", "cell_a", "cell_b", "block", "id", "members"), ["grp", "cell_a", "cell_b"], decode, compare, id_type)
