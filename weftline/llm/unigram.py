@@ -200,6 +200,8 @@ class UnigramModel:
 
     def _solve(self, segment: str) -> tuple[int, ...]:
         """Best path of a segment, cut once more between characters that no piece has side by side."""
+        if segment.lstrip(MARK).isalpha():
+            return self.viterbi(segment)  # letters are nearly always found side by side
         pairs, done = self._pairs, self._parts
         cuts = [0, *[i for i in range(1, len(segment)) if segment[i - 1:i + 1] not in pairs], len(segment)]
         out: list[int] = []
