@@ -26,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id; null ids stay."""
     found = minhash.near_duplicates(docs)
-    gone = stage(found.filter(~F.col("kept")).select(F.col("id").alias("doc_id"), F.lit(True).alias("_gone")), "gone")
-    return lookup_join(docs, gone, ["doc_id"], "left").filter("_gone is null").select(*docs.columns)
+    gone = stage(found.filter(~F.col("kept")).select(F.col("id").alias("doc_id")), "gone")
+    return lookup_join(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
