@@ -192,7 +192,8 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
         return pd.DataFrame({"s1": pdf["s1"].to_numpy()[text], "s2": pdf["s2"].to_numpy()[text], "first": shift + first, "last": shift + last})
 
     found = rows.groupBy("anchor", "shard").applyInPandas(search, "s1 bigint, s2 bigint, first int, last int")
-    spans = found.groupBy("s1", "s2").agg(F.collect_list(F.struct("first", "last")).alias("found"))
+    # stored apart from the join for the same reason as the counts: one stretch may lie in very many documents
+    spans = stage(found.groupBy("s1", "s2").agg(F.collect_list(F.struct("first", "last")).alias("found")), "found")
     home = pieces.select("key", "at", "s1", "s2").join(spans, ["s1", "s2"])
     covered = F.transform("found", lambda s: F.struct((F.col("at") + s["first"]).alias("start"), (F.col("at") + s["last"] + width).alias("stop")))
     return stage(home.select("key", F.explode(covered).alias("s")).groupBy("key").agg(F.collect_set("s").alias("spans")), "spans")
