@@ -15,6 +15,8 @@ from weftline.operators.lookup import lookup_join
 from weftline.session import ship_package
 
 ORACLE_SQL = None
+#: word-shingle similarity in percent at which the stage links; op6 has its own contract (85)
+NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id; null ids stay."""
-    found = minhash.near_duplicates(docs)
+    found = minhash.near_duplicates(docs, percent=NEAR_PERCENT)
     gone = stage(found.filter(~F.col("kept")).select(F.col("id").alias("doc_id")), "gone")
     return lookup_join(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
 

@@ -263,7 +263,7 @@ def test_benchmark_hits(spark, max_words):
 
 # ------------------------------------------------------------------ 6 MinHash
 
-def brute_near(rows):
+def brute_near(rows, percent=85):
     sets, up = {}, {}
     for i, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
@@ -278,7 +278,7 @@ def brute_near(rows):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 s, t = sorted((root(a), root(b)))
                 up[t] = s
     return {i: (len(sets[i]), root(i)) for i in ids}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from weftline.llm import pii, unigram
+from weftline.llm import minhash, pii, unigram
 from weftline.session import ship_package
 
 from .test_corpus_operators import brute_hits, brute_near
@@ -51,3 +51,20 @@ def test_clean_documents_stay(spark):
     for _, fn in corpus_pipeline.STAGES[1:4]:
         docs = fn(spark, docs, DATA)
     assert docs.count() == len(rows)
+
+
+def test_near_copies_from_80_percent_go(spark):
+    """Copies with a similarity of 0.80 to 0.85 go in the stage, not in op6; below 0.80 they stay."""
+    ship_package(spark)
+    rows = []
+    for i in range(40):
+        base = [f"b{i}w{k}" for k in range(204)]
+        for j, cuts in enumerate((0, 4, 5)):  # 200 shingles, 5 of them lost per changed word: 180/220 and 175/225
+            copy = list(base)
+            for k in range(cuts):
+                copy[20 + 30 * k] = f"c{i}j{j}k{k}"
+            rows.append((10 * i + j, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, DATA).collect()}
+    assert kept == {i for i, (_, c) in brute_near(rows, 80).items() if c == i} == {10 * i + j for i in range(40) for j in (0, 2)}
+    assert all(r["kept"] for r in minhash.near_duplicates(docs).collect())
