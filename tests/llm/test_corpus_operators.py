@@ -420,6 +420,31 @@ def test_main_text(spark):
     assert main_text.main_texts(pages.limit(0)).count() == 0
 
 
+def leaves(page):
+    return [v.text for v in main_text.parse(page) if v.tag == "#text" and v.text]
+
+
+def test_only_the_hidden_attribute_hides():
+    for tag in ('p title="the hidden cost"', 'a href="/guides/hidden/"', 'div data-hidden="false"', "p title='a hidden' class=x", "p data-style='display:none'",
+                'p data-aria-hidden="true"', "a href=/hidden"):
+        assert leaves(f"<body><{tag}>kept</{tag.split()[0]}>") == ["kept"], tag
+    for tag in ("p hidden", 'p HIDDEN=""', "p class=x hidden", 'p title="a > b"hidden', "p style='color:red; display: none'", "span aria-hidden=true", "b/hidden"):
+        name = re.split("[ /]", tag)[0]
+        assert leaves(f"<body><{tag}>gone</{name}><div>kept</div>") == ["kept"], tag
+    assert main_text._attributes(' data-class="comments" id=story class="x ads"')[0] == 1 << main_text.GROUP_OF["story"] | 1 << main_text.GROUP_OF["ads"]
+
+
+def test_hidden_elements_end_where_the_tree_closes_them():
+    assert leaves("<body><p hidden>gone<p>one<p>two</p>") == ["one", "two"]
+    assert leaves("<ul><li>one<li hidden>gone <b>too<li>two</ul>three") == ["one", "two", "three"]
+    assert leaves("<article><div hidden>gone<p>gone</article><p>kept</p>") == ["kept"]
+    assert leaves("<div><p><span hidden>gone</div>kept") == ["kept"]
+    assert leaves("<table><tr><td hidden>gone<td>one<tr hidden><td>gone<td>gone<tr><td>two</table>") == ["one", "two"]
+    assert leaves("<div hidden>gone<div>gone</div><script>'</div>'</script>gone</div>kept") == ["kept"]
+    assert leaves("<p>one <span hidden>gone<br>gone</span>two</p>") == ["one two"]
+    assert leaves("<a hidden href=x>gone</a><p>kept</p>") == ["kept"] and leaves("<body hidden><p>gone</p></body>") == []
+
+
 def test_labels_never_contradict():
     model = main_text.trained_model()
     for page in main_text.training_pages(30, seed=8):

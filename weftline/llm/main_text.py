@@ -55,7 +55,8 @@ TOKENS = {
 GROUPS = list(TOKENS)
 GROUP_OF = {w: i for i, g in enumerate(GROUPS) for w in TOKENS[g].split()}
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|$)|<(?=/?[a-zA-Z])[^>]*(?:>|$)", re.DOTALL)
-_ATTR = re.compile(r"(class|id|role|itemprop|aria-label|data-y|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>]|$)", re.IGNORECASE)
+_ATTR = re.compile(r"(=?[^\s/>=]+|=)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")  # one attribute; only white space and / lie between two
+READ = frozenset("class id role itemprop aria-label data-y style hidden aria-hidden".split())
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -72,7 +73,10 @@ def _attributes(raw: str) -> tuple[int, bool, str | None]:
     groups, gone, truth = 0, False, None
     if raw:
         for m in _ATTR.finditer(raw):
-            name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            name = m[1].lower()
+            if name not in READ:
+                continue
+            value = m[2] or m[3] or m[4] or ""
             if name == "data-y":
                 truth = value
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -88,16 +92,23 @@ def _attributes(raw: str) -> tuple[int, bool, str | None]:
 
 
 def parse(page: str) -> list[Node]:
-    """Block tree of a page in page order; node 0 is the root.  Text stands in ``#text`` leaves."""
+    """Block tree of a page in page order; node 0 is the root.  Text stands in ``#text`` leaves.
+
+    A hidden element stands on the stack like any other, so it ends where the tree closes it, but it and
+    what it holds make no nodes.
+    """
     nodes = [Node("html", -1)]
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements and the block they belong to
     leaf: Node | None = None
     skipping: str | None = None
     skip_depth, link_depth = 0, 0
+    hidden: int | None = None  # place in the stack of the outermost hidden element
     at = 0
 
     def put(text: str) -> None:
         nonlocal leaf
+        if hidden is not None:
+            return
         if leaf is None:
             if not text or text.isspace():
                 return
@@ -108,13 +119,15 @@ def parse(page: str) -> list[Node]:
             leaf.links += len(text)
 
     def close(depth: int) -> None:
-        nonlocal leaf, link_depth
+        nonlocal leaf, link_depth, hidden
         while len(stack) > depth:
             tag, _ = stack.pop()
             if tag == "a":
                 link_depth -= 1
-            elif tag in BLOCKS:
+            elif tag in BLOCKS and hidden is None:
                 leaf = None
+            if len(stack) == hidden:
+                hidden = None
 
     end = len(page)
     while at < end:
@@ -140,7 +153,8 @@ def parse(page: str) -> list[Node]:
             break
         if closing:
             if tag == "p" and not any(t == "p" for t, _ in stack):
-                leaf = None
+                if hidden is None:
+                    leaf = None
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
@@ -153,11 +167,11 @@ def parse(page: str) -> list[Node]:
             put(" ")
             continue
         if tag in VOID:
-            if tag == "hr":
+            if tag == "hr" and hidden is None:
                 leaf = None
             continue
         groups, gone, truth = _attributes(m[3])
-        if tag in SKIPPED or gone:
+        if tag in SKIPPED or gone and m[3].endswith("/"):
             if m[3].endswith("/") and tag not in RAW:
                 continue
             if tag in RAW:
@@ -166,6 +180,10 @@ def parse(page: str) -> list[Node]:
             else:
                 skipping, skip_depth = tag, 1
             continue
+        if gone and hidden is None and tag in ("html", "body"):
+            hidden = len(stack)
+            stack.append((tag, stack[-1][1]))
+            continue
         if tag in ("html", "body"):
             if tag == "html" or any(n.tag == "body" for n in nodes[:4]):
                 nodes[0].groups |= groups
@@ -187,6 +205,9 @@ def parse(page: str) -> list[Node]:
                         close(i)
                         if tag != "tr":
                             break
+        if gone and hidden is None:
+            hidden = len(stack)
+        if tag in BLOCKS and hidden is None:
             leaf = None
             nodes.append(Node(tag, stack[-1][1], groups, False, truth))
             stack.append((tag, len(nodes) - 1))
