@@ -445,6 +445,16 @@ def test_hidden_elements_end_where_the_tree_closes_them():
     assert leaves("<a hidden href=x>gone</a><p>kept</p>") == ["kept"] and leaves("<body hidden><p>gone</p></body>") == []
 
 
+def test_head_ends_without_its_end_tag():
+    head = "<!DOCTYPE html><html><head> <title>no</title><meta charset=x><style>no</style><noscript><img></noscript>\n"
+    for rest in ("<body><p>one</p></body></html>", "<p>one", "<div hidden>no</div>one", "</head>one", "one", "</head><body>one", "</x><body>one<head>"):
+        assert leaves(head + rest) == ["one"], rest
+    model = main_text.trained_model()
+    for page in main_text.training_pages(20, seed=3):
+        assert main_text.extract(page.replace("</head>", ""), model) == main_text.extract(page, model)
+    assert leaves("<body><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p>") == ["Let x=2 hold."]
+
+
 def test_labels_never_contradict():
     model = main_text.trained_model()
     for page in main_text.training_pages(30, seed=8):

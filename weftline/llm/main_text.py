@@ -26,8 +26,9 @@ from weftline.llm import words as W
 from weftline.llm.boosting import BoostedTrees, fit
 
 #: fixed values: element kinds of HTML
-SKIPPED = frozenset("script style noscript template svg iframe object canvas math audio video head title textarea select option datalist".split())
+SKIPPED = frozenset("script style noscript template svg iframe object canvas audio video title textarea select option datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style textarea title".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
@@ -102,13 +103,15 @@ def parse(page: str) -> list[Node]:
     leaf: Node | None = None
     skipping: str | None = None
     skip_depth, link_depth = 0, 0
+    in_head = False  # until </head> or the first thing that cannot stand in it
     hidden: int | None = None  # place in the stack of the outermost hidden element
     at = 0
 
     def put(text: str) -> None:
-        nonlocal leaf
-        if hidden is not None:
+        nonlocal leaf, in_head
+        if hidden is not None or in_head and (not text or text.isspace()):
             return
+        in_head = False
         if leaf is None:
             if not text or text.isspace():
                 return
@@ -143,6 +146,10 @@ def parse(page: str) -> list[Node]:
         if tag is None:
             continue
         tag, closing = tag.lower(), bool(m[1])
+        if in_head and skipping is None:
+            if closing and tag not in ("head", "body", "html", "br"):
+                continue
+            in_head = not closing and (tag in IN_HEAD or tag == "head")
         if skipping is not None:
             if tag == skipping:
                 skip_depth += -1 if closing else (0 if m[3].endswith("/") else 1)
@@ -170,6 +177,9 @@ def parse(page: str) -> list[Node]:
             if tag == "hr" and hidden is None:
                 leaf = None
             continue
+        if tag == "head":  # a second one means nothing
+            in_head = len(nodes) == len(stack) == 1
+            continue
         groups, gone, truth = _attributes(m[3])
         if tag in SKIPPED or gone and m[3].endswith("/"):
             if m[3].endswith("/") and tag not in RAW:
