@@ -104,6 +104,44 @@ def test_vector_near_duplicates(spark, cap):
     assert neighbour_graph.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_linked_vectors_meet_between_many_centres(spark):
+    """Two tight groups joined by single links, between more centres than any fixed number of nearest ones covers."""
+    rng = np.random.default_rng(4)
+    rows, i = [], 0
+    for _ in range(60):
+        a = rng.normal(size=6)
+        step = rng.normal(size=6)
+        for turn in (0.0, 0.33):  # cosine about 0.946 between the groups
+            a, step = a / np.linalg.norm(a), step - (step @ a) / (a @ a) * a
+            base = np.cos(turn) * a + np.sin(turn) * step / np.linalg.norm(step)
+            for _ in range(8):
+                rows.append((i, (base + rng.normal(size=6) * 0.01).tolist(), 1))
+                i += 1
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r["id"]: (r["n_links"], r["component_id"]) for r in neighbour_graph.near_duplicates(df, per_shard=8, cap=100).collect()}
+    assert got == brute_links(rows)
+    usable = neighbour_graph.usable(df)
+    found = df.sparkSession.createDataFrame([(k, n) for k, (n, _) in got.items()], "id bigint, n_links bigint")
+    recall, seen = neighbour_graph.audit_recall(usable, found, 0.93, 50)
+    assert recall == 1.0 and seen > 100
+
+
+def test_visits_cover_every_neighbour():
+    rng = np.random.default_rng(5)
+    for size in (3, 8, 32):
+        x = rng.normal(size=(400, size))
+        y = x + rng.normal(size=x.shape) * rng.choice([0.05, 0.2, 0.4], (400, 1)) / np.sqrt(size) * np.linalg.norm(x, axis=1)[:, None]
+        x, y = (v / np.linalg.norm(v, axis=1)[:, None] for v in (x, y))
+        centres = rng.normal(size=(40, size))
+        centres /= np.linalg.norm(centres, axis=1)[:, None]
+        sims = np.concatenate([x, y]) @ centres.T
+        home, near = sims.argmax(1), sims.max(1)
+        radii = np.array([np.arccos(np.clip(near[home == c].min(), -1, 1)) if (home == c).any() else -1.0 for c in range(40)])
+        linked = np.einsum("ij,ij->i", x, y) >= 0.93
+        goes = neighbour_graph.visits(x, centres, radii, 0.93)
+        assert linked.sum() > 50 and goes[np.flatnonzero(linked), home[400:][linked]].all()
+
+
 # ------------------------------------------------------------------ 2 WARC
 
 def test_warc_captures(spark):

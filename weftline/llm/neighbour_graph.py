@@ -1,18 +1,16 @@
-"""Near-duplicate vectors by a robust-pruned flat graph.
-
-1. A bounded sample of vectors gives cluster centres per label, none of them close to another.  Every vector joins its
-   ``overlap`` nearest clusters, so clusters (shards) overlap.  A shard beyond ``cap`` rows is
-   dealt into blocks, and every two blocks meet in one cell, so a hot cluster is many tasks.
-2. Each cell builds a flat graph: the nearest candidates of a vector are pruned robustly (a
-   candidate goes when a kept neighbour is ``alpha`` times nearer to it), and edges hold both ways.
-3. The adjacency lists of all cells are united per vector.
-4. Each cell searches for every member: a greedy walk from the medoid finds its surroundings, then
-   the range expands over all nodes within ``(1 + 1 / alpha)`` times the link distance.  What lies
-   within the link distance is verified in double precision and counted.  A pair that meets
-   in several cells counts in the first one only, so no pair is ever written out.
-5. The recall is audited by brute force for a bounded sample of queries against all rows.
-   If it is below ``min_recall`` the graph is built again with twice the overlap, until
-   every shard holds its whole label.
+"""Near-duplicate vectors by cells with a proven cover and an exact check of every cell.
+
+1. A bounded sample of vectors gives cluster centres per label, none of them close to another.
+   Every vector has one home, the cluster of its nearest centre.
+2. A vector also visits every cluster that could be the home of a neighbour within the link angle
+   (:func:`visits`), so any two linked vectors meet in the home of either.
+3. In each cluster all members are compared with those at home in it, in double precision.
+   A vector's links are counted at the homes of its neighbours, each of which has only one, so no
+   pair is counted twice or written out.  A cluster beyond ``cap`` rows is dealt into blocks, and every
+   two blocks meet in one cell, so a hot cluster is many tasks.
+
+Vectors far from all centres visit many clusters: without clusters in the data the work grows with
+the square of a label's size, spread over cells.
 """
 
 from __future__ import annotations
@@ -26,6 +24,8 @@ from weftline.llm.groups import Forest, components, stage, with_cells
 from weftline.llm.words import column, small_batches
 
 MAX_CENTRES = 20_000
+PRODUCT = 1 << 20  # cosines to centres at a time
+SLACK = 1e-6  # for rounding, in favour of a visit
 
 
 def unit_rows(vectors: pd.Series) -> np.ndarray:
@@ -47,76 +47,6 @@ def spread_out(x: np.ndarray, nearest: float) -> np.ndarray:
     return kept[:n]
 
 
-def robust_prune(x: np.ndarray, p: int, candidates: np.ndarray, alpha: float, degree: int) -> list[int]:
-    """At most ``degree`` neighbours of ``p`` among ``candidates`` (nearest first)."""
-    kept: list[int] = []
-    d = np.sqrt(np.maximum(0, 2 - 2 * (x[candidates] @ x[p])))
-    alive = np.ones(len(candidates), bool)
-    for i in range(len(candidates)):
-        if not alive[i]:
-            continue
-        kept.append(int(candidates[i]))
-        if len(kept) == degree:
-            break
-        between = np.sqrt(np.maximum(0, 2 - 2 * (x[candidates] @ x[candidates[i]])))
-        alive &= alpha * between > d
-    return kept
-
-
-def build_graph(x: np.ndarray, alpha: float, degree: int, pool: int) -> list[np.ndarray]:
-    """Adjacency lists of one cell: pruned nearest candidates, edges in both directions."""
-    n = len(x)
-    out: list[set[int]] = [set() for _ in range(n)]
-    take = min(pool, n - 1)
-    if take < 1:
-        return [np.zeros(0, np.int64) for _ in range(n)]
-    for begin in range(0, n, 256):
-        sims = x[begin:begin + 256] @ x.T
-        sims[np.arange(len(sims)), np.arange(begin, begin + len(sims))] = -2
-        near = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-        order = np.take_along_axis(-sims, near, 1).argsort(1, kind="stable")
-        near = np.take_along_axis(near, order, 1)
-        for i, row in enumerate(near):
-            kept = robust_prune(x, begin + i, row, alpha, degree)
-            out[begin + i].update(kept)
-            for j in kept:
-                out[j].add(begin + i)
-    # a chain over a fixed order keeps separated groups reachable from the medoid
-    for a, b in zip(range(n - 1), range(1, n)):
-        out[a].add(b)
-    return [np.fromiter(sorted(s), np.int64, len(s)) for s in out]
-
-
-def range_search(x: np.ndarray, graph: list[np.ndarray], q: int, start: int, link: float, alpha: float, steps: int = 8) -> np.ndarray:
-    """Nodes with cosine to ``q`` of at least ``link``, found from ``start`` by walking and expanding."""
-    at, best = start, float(x[start] @ x[q])
-    for _ in range(steps):  # the walk; the query is a node itself, so its place is known in the end
-        nbrs = graph[at]
-        if at == q or not len(nbrs):
-            break
-        s = x[nbrs] @ x[q]
-        k = int(s.argmax())
-        if s[k] <= best:
-            break
-        at, best = int(nbrs[k]), float(s[k])
-    reach = np.sqrt(max(0.0, 2 - 2 * link)) * (1 + 1 / alpha)
-    wide = 1 - reach * reach / 2
-    seen = np.zeros(len(x), bool)
-    seen[q] = True
-    frontier = np.array(sorted({q, at} if best >= wide else {q}), np.int64)
-    seen[frontier] = True
-    found = [frontier]
-    while len(frontier):
-        nxt = np.unique(np.concatenate([graph[i] for i in frontier]))
-        nxt = nxt[~seen[nxt]]
-        seen[nxt] = True
-        frontier = nxt[x[nxt] @ x[q] >= wide]
-        found.append(frontier)
-    nodes = np.concatenate(found)
-    nodes = nodes[nodes != q]
-    return nodes[np.einsum("ij,j->i", x[nodes], x[q]) >= link]
-
-
 def _usable(embeddings: DataFrame, id_col: str, vector: str, label: str) -> DataFrame:
     """One row per id that can be linked: vectors, labels and ids present, finite, not zero."""
     v = column(vector).cast("array<double>")
@@ -127,9 +57,24 @@ def _usable(embeddings: DataFrame, id_col: str, vector: str, label: str) -> Data
     return rows.groupBy("id").agg(F.min(F.struct("label", "v")).alias("one")).select("id", "one.label", "one.v")
 
 
+def visits(x: np.ndarray, centres: np.ndarray, radii: np.ndarray, link: float) -> np.ndarray:
+    """Which clusters (columns) could be the home of a vector with a cosine of at least ``link`` to a unit row of ``x``.
+
+    Let ``d`` be the link angle, ``a`` the nearest centre of ``x`` and ``y`` a neighbour at home with ``c``.  Then
+    ``y`` is at least as near to ``c`` as to ``a``; within ``d`` of ``x`` that needs ``x.(c - a) >= -|c - a| sin d``.
+    And no member of ``c`` is farther from it than its radius, so the angle of ``x`` and ``c`` is at most that plus ``d``.
+    ``radii`` holds angles, negative for clusters without members.
+    """
+    sims = x @ centres.T
+    nearest = sims.argmax(1)
+    apart = np.sqrt(np.maximum(0, 2 - 2 * (centres[nearest] @ centres.T)))
+    d = np.arccos(np.clip(link, -1, 1))
+    side = sims >= sims.max(1)[:, None] - apart * (np.sin(d) if d < np.pi / 2 else 1) - SLACK
+    return side & (sims >= np.cos(np.minimum(np.pi, radii + d)) - SLACK) & (radii >= 0)
+
+
 def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label",
-                    link: float = 0.93, overlap: int = 2, per_shard: int = 500, cap: int = 2000, alpha: float = 1.2,
-                    degree: int = 24, pool: int = 64, audit: int = 500, min_recall: float = 1.0) -> DataFrame:
+                    link: float = 0.93, per_shard: int = 500, cap: int = 2000) -> DataFrame:
     """Links and components of vectors with equal labels and a cosine of at least ``link``.
 
     Rows ``(id, n_links, component_id, kept)``, one per distinct non-null id.  Vectors that are
@@ -137,22 +82,8 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector: str =
     with nothing.  Vectors of different lengths never link.  A repeated row counts once; of
     several vectors with one id the smallest (label, vector) is used.  Empty in, empty out.
     """
-    spark = embeddings.sparkSession
-    rows = stage(_usable(embeddings, id_col, vector, label).withColumn(
-        "label", F.concat_ws(":", F.col("label").cast("string"), F.size("v").cast("string"))), "vectors")
-    n = rows.count()
-    share = min(1.0 / per_shard, MAX_CENTRES / max(1, n))
-    hashed = F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 30)) / float(1 << 30)
-    centres: dict[str, np.ndarray] = {}
-    picked = rows.filter(hashed < share).select("label", "id", "v").toPandas() if n else pd.DataFrame()
-    for name, part in picked.groupby("label") if len(picked) else ():
-        centres[name] = spread_out(unit_rows(part.sort_values("id")["v"]), link - 0.1)
-    most = max([1, *[len(c) for c in centres.values()]])
-    while True:
-        result = stage(_links(rows, spark.sparkContext.broadcast(centres), link, overlap, cap, alpha, degree, pool), "links")
-        if overlap >= most or not n or audit_recall(rows, result, link, audit) >= min_recall:
-            break
-        overlap = min(most, 2 * overlap)
+    rows = usable(embeddings, id_col, vector, label)
+    result = stage(_links(rows, _centres(rows, link, per_shard), link, cap), "links")
     linked = components(result.select(F.col("id").alias("src"), F.explode("roots").alias("dst")))
     everyone = embeddings.select(column(id_col).alias("id")).filter("id is not null").distinct()
     out = everyone.join(result.select("id", "n_links"), "id", "left").join(linked.withColumnRenamed("node", "id"), "id", "left")
@@ -161,79 +92,94 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector: str =
                       component.alias("component_id"), (component == F.col("id")).alias("kept"))
 
 
-def _links(rows: DataFrame, centres, link: float, overlap: int, cap: int, alpha: float, degree: int, pool: int) -> DataFrame:
+def usable(embeddings: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
+    """Staged rows (id, label, v) that can be linked; the label carries the length of the vector."""
+    return stage(_usable(embeddings, id_col, vector, label).withColumn(
+        "label", F.concat_ws(":", F.col("label").cast("string"), F.size("v").cast("string"))), "vectors")
+
+
+def _centres(rows: DataFrame, link: float, per_shard: int) -> dict[str, np.ndarray]:
+    n = rows.count()
+    share = min(1.0 / per_shard, MAX_CENTRES / max(1, n))
+    hashed = F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 30)) / float(1 << 30)
+    picked = rows.filter(hashed < share).select("label", "id", "v").toPandas() if n else pd.DataFrame()
+    return {name: spread_out(unit_rows(part.sort_values("id")["v"]), link - 0.1)
+            for name, part in (picked.groupby("label") if len(picked) else ())}
+
+
+def _slices(pdf: pd.DataFrame, centres: dict[str, np.ndarray]):
+    """(label, rows, unit vectors, centres or none) in slices whose products with the centres stay small."""
+    for name, part in pdf.groupby("label"):
+        c = centres.get(name)
+        step = len(part) if c is None else max(1, PRODUCT // len(c))
+        for begin in range(0, len(part), step):
+            some = part.iloc[begin:begin + step]
+            yield name, some, unit_rows(some["v"]), c
+
+
+def _links(rows: DataFrame, centres: dict[str, np.ndarray], link: float, cap: int) -> DataFrame:
     """(id, n_links, roots): links of each vector and the smallest ids of its local components."""
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(centres)
+    id_type = dict(rows.dtypes)["id"]
 
-    def assign(batches):
+    def settle(batches):
         for pdf in batches:
-            shards = []
-            for name, v in zip(pdf["label"], pdf["v"]):
-                c = centres.value.get(name)
-                v = np.asarray(v, np.float64)
-                order = [0] if c is None else np.argsort(-(c @ (v / np.linalg.norm(v))), kind="stable")[:overlap]
-                shards.append(sorted(int(k) for k in order))
-            yield pdf.assign(shards=shards)
+            for _, some, x, c in _slices(pdf, shared.value):
+                sims = x @ c.T if c is not None else np.ones((len(x), 1))
+                home = sims.argmax(1)
+                yield some.assign(home=home.astype(np.int32), near=sims[np.arange(len(x)), home])
 
     small_batches(rows, 2000)
-    id_type = dict(rows.dtypes)["id"]
-    homes = rows.mapInPandas(assign, f"id {id_type}, label string, v array<double>, shards array<int>")
-    members = stage(homes.withColumn("shard", F.explode("shards")), "members")
-    sizes = members.groupBy("label", "shard").agg(F.count(F.lit(1)).alias("size"))
+    homes = stage(rows.mapInPandas(settle, f"id {id_type}, label string, v array<double>, home int, near double"), "homes")
     # one row per cluster centre (or label without one): at most MAX_CENTRES plus the labels
-    cells = members.join(sizes, ["label", "shard"])
-    cells = with_cells(cells, F.col("size"), F.col("id"), cap).select("id", "label", "shard", "shards", "block", "cell_a", "cell_b", "v")
-    keys = ["label", "shard", "cell_a", "cell_b"]
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", ignore_index=True)
-        ids = pdf["id"].to_numpy()
-        graph = build_graph(unit_rows(pdf["v"]), alpha, degree, pool)
-        return pd.DataFrame({"id": ids, "nbrs": [ids[g] for g in graph]})
+    widest: dict[str, np.ndarray] = {name: np.full(len(c), -1.0) for name, c in centres.items()}
+    for r in homes.groupBy("label", "home").agg(F.min("near").alias("near")).collect():
+        if r["label"] in widest:
+            widest[r["label"]][r["home"]] = np.arccos(np.clip(r["near"], -1, 1))
+    radii = context.broadcast(widest)
 
-    lists = cells.groupBy(*keys).applyInPandas(build, f"id {id_type}, nbrs array<{id_type}>")
-    united = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"))
+    def visit(batches):
+        for pdf in batches:
+            for name, some, x, c in _slices(pdf, shared.value):
+                goes = visits(x, c, radii.value[name], link) if c is not None else np.ones((len(x), 1), bool)
+                home = some["home"].to_numpy()
+                goes[np.arange(len(x)), home] = True
+                row, shard = np.nonzero(goes)
+                for begin in range(0, len(row), 2000):
+                    r, k = row[begin:begin + 2000], shard[begin:begin + 2000]
+                    part = some[["id", "label", "v"]].iloc[r]
+                    yield part.assign(shard=k.astype(np.int32), at_home=k == home[r])
+
+    members = stage(homes.mapInPandas(visit, f"id {id_type}, label string, v array<double>, shard int, at_home boolean"), "members")
+    sizes = members.groupBy("label", "shard").agg(F.count(F.lit(1)).alias("size"))
+    cells = with_cells(members.join(sizes, ["label", "shard"]), F.col("size"), F.col("id"), cap)
+    keys = ["label", "shard", "cell_a", "cell_b"]
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
-        ids, block, shard = pdf["id"].to_numpy(), pdf["block"].to_numpy(), int(pdf["shard"].iloc[0])
-        x = unit_rows(pdf["v"])
-        place = pd.Index(ids)
-        graph = []
-        for i, nbrs in enumerate(pdf["nbrs"]):
-            g = place.get_indexer(np.asarray(nbrs, ids.dtype))  # edges into other cells are walked there
-            graph.append(g[g >= 0])
-        width = max(len(s) for s in pdf["shards"])
-        homes = np.full((len(ids), width), -1)
-        for i, s in enumerate(pdf["shards"]):
-            homes[i, :len(s)] = s
-        a, b = pdf["cell_a"].iloc[0], pdf["cell_b"].iloc[0]
-        medoid = int((x @ x.mean(0)).argmax())
+        ids, block, x = pdf["id"].to_numpy(), pdf["block"].to_numpy(), unit_rows(pdf["v"])
+        spans = pdf["cell_a"].iloc[0] != pdf["cell_b"].iloc[0]  # pairs inside a block belong to its own cell
+        base = np.flatnonzero(pdf["at_home"].to_numpy())
         forest = Forest(len(ids))
         counts = np.zeros(len(ids), np.int64)
-        for q in range(len(ids)):
-            hits = range_search(x, graph, q, medoid, link, alpha)
-            if not len(hits):
-                continue
-            if a != b:
-                hits = hits[block[hits] != block[q]]  # pairs inside a block belong to its own cell
-            common = (homes[hits][:, :, None] == np.where(homes[q] < 0, -2, homes[q])[None, None, :])
-            first = np.where(common.any(2), homes[hits], np.iinfo(np.int64).max).min(1)
-            hits = hits[first == shard]
-            counts[q] = len(hits)
-            root = forest.root(q)
-            for j in hits[forest.up[hits] != root]:
-                forest.union(q, int(j))
+        for begin in range(0, len(ids), 256):
+            some = np.arange(begin, min(begin + 256, len(ids)))
+            hit = x[some] @ x[base].T >= link
+            hit &= block[some][:, None] != block[base][None, :] if spans else some[:, None] != base[None, :]
+            counts[some] = hit.sum(1)
+            forest.add_matrix(hit, some, base)
         return pd.DataFrame({"id": ids, "n": counts, "root": ids[forest.roots()]})
 
-    found = cells.join(united, "id").groupBy(*keys).applyInPandas(search, f"id {id_type}, n bigint, root {id_type}")
+    found = cells.select("id", *keys, "block", "at_home", "v").groupBy(*keys).applyInPandas(compare, f"id {id_type}, n bigint, root {id_type}")
     return found.groupBy("id").agg(F.sum("n").alias("n_links"), F.collect_set("root").alias("roots"))
 
 
-def audit_recall(rows: DataFrame, result: DataFrame, link: float, queries: int) -> float:
-    """Share of the links of a bounded sample of vectors that the search found; brute force against all rows."""
+def audit_recall(rows: DataFrame, result: DataFrame, link: float, queries: int) -> tuple[float, int]:
+    """Share of the links of a bounded sample of vectors that ``result`` has, by brute force against all rows, and their number."""
     sample = rows.orderBy(F.xxhash64(F.lit(23), "id"), "id").limit(queries).toPandas()
     if not len(sample):
-        return 1.0
+        return 1.0, 0
     groups = {name: (part["id"].to_numpy(), unit_rows(part["v"])) for name, part in sample.groupby("label")}
     shared = rows.sparkSession.sparkContext.broadcast(groups)
 
@@ -247,4 +193,4 @@ def audit_recall(rows: DataFrame, result: DataFrame, link: float, queries: int)
 
     true = rows.mapInPandas(count, f"id {dict(rows.dtypes)['id']}, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     pair = true.join(result, "id").agg(F.sum("n").alias("t"), F.sum(F.least("n", "n_links")).alias("f")).first()
-    return 1.0 if not pair["t"] else pair["f"] / pair["t"]
+    return (pair["f"] / pair["t"], pair["t"]) if pair["t"] else (1.0, 0)
