@@ -261,6 +261,22 @@ def test_repeated_passages(spark, monkeypatch, shard):
     assert substrings.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_a_passage_in_many_documents_is_in_no_one_task(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "SHARD_WORDS", 3000)
+    real = substrings.search_shard
+
+    def watched(texts, weights, width):
+        assert sum(len(t.split()) for t in texts) <= 2 * 3000, "too many words in one task"
+        return real(texts, weights, width)
+
+    monkeypatch.setattr(substrings, "search_shard", watched)
+    r = random.Random(16)
+    passage = sentence(r, 36)
+    texts = [f"{sentence(r, 40)} {passage} {sentence(r, 40)}" for _ in range(300)] + [sentence(r, 90) for _ in range(20)]
+    got = substrings.without_repeats(table(spark, list(enumerate(texts)))).select("row.doc_id", "n_words", "n_removed", "kept").collect()
+    assert sorted(tuple(g) for g in got) == [(i, *w) for i, w in enumerate(brute_removed(texts, 35))]
+
+
 # ------------------------------------------------------------------ 5 decontamination
 
 def brute_hits(text, items, width=13):

@@ -9,8 +9,9 @@ Each shard indexes its stretches and streams them through the index (:mod:`fm_in
 search over a wavelet matrix gives how far back each sequence repeats, and the intervals of at least
 ``width`` words are reported.  They return to their documents, whose words they cover are removed.
 
-A hash with too many words for one shard (a passage in a large share of all documents) is dealt
-out by single windows and their own hash, which keeps equal windows together.
+A hash with too many words for one shard (a passage in a large share of all documents) is not indexed.
+Its stretches are taken apart into single windows, and the weights of equal ones are summed by their
+128-bit names in an aggregate that combines before it moves, so no task holds them together.
 """
 
 from __future__ import annotations
@@ -123,7 +124,7 @@ def _pieces(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _single_windows(stretch: DataFrame, width: int) -> DataFrame:
-    """Each window of the given stretches as a row, named by its own words."""
+    """Each window (w1, w2) of the given stretches as a row, named by its own words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,15 +133,20 @@ def _single_windows(stretch: DataFrame, width: int) -> DataFrame:
                 counts = w.counts - width + 1
                 row, shift = np.repeat(np.arange(part.num_rows), counts), W.ranges(counts)
                 first = w.first[row] + shift
-                own, _ = _signature(w, first, np.full(len(first), width))
+                w1, w2 = _signature(w, first, np.full(len(first), width))
                 take = lambda c: part.column(c).to_numpy(zero_copy_only=False)[row]
-                texts = [w.data[w.start[f]:w.end[f + width - 1]].tobytes() for f in first]
-                yield pa.RecordBatch.from_pydict({
-                    "s1": take("s1"), "s2": take("s2"), "shift": shift.astype(np.int32), "weight": take("weight"),
-                    "part": own, "parts": take("parts"), "anchor": take("anchor"), "text": pa.array(texts, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"s1": take("s1"), "s2": take("s2"), "shift": shift.astype(np.int32),
+                                                  "weight": take("weight"), "w1": w1, "w2": w2})
+
+    return stretch.select("s1", "s2", "weight", "text").mapInArrow(
+        run, "s1 bigint, s2 bigint, shift int, weight int, w1 bigint, w2 bigint")
+
 
-    return stretch.select("s1", "s2", "weight", "parts", "anchor", "text").mapInArrow(
-        run, "s1 bigint, s2 bigint, shift int, weight int, part bigint, parts int, anchor bigint, text binary")
+def repeated_singles(single: DataFrame) -> DataFrame:
+    """(s1, s2, first, last): the windows of ``single`` that occur at least twice."""
+    # stored apart from the join, so that adaptive execution can split a window of very many stretches
+    often = stage(single.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).filter("n > 1").select("w1", "w2"), "often-windows")
+    return single.join(often, ["w1", "w2"], "left_semi").select("s1", "s2", F.col("shift").alias("first"), F.col("shift").alias("last"))
 
 
 def search_shard(texts: list[bytes], weights: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,26 +178,22 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
         F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("weight"), F.max("text").alias("text"),
         F.first("anchor").alias("anchor"), F.first("windows").alias("windows"))
     stretch = stage(stretch, "stretches")
-    load = stretch.groupBy("anchor").agg(F.sum(F.col("windows") + width).alias("words"), F.sum("windows").alias("n"))
+    load = stretch.groupBy("anchor").agg(F.sum(F.col("windows") + width).alias("words"))
     total = load.agg(F.sum("words").alias("w")).first()["w"] or 0
     shards = max(1, -(-total // SHARD_WORDS))
-    hot = load.filter(F.col("words") > SHARD_WORDS).select(
-        "anchor", F.ceil(F.col("n") * width / SHARD_WORDS).cast("int").alias("parts"))
-    hot = stage(hot, "hot-anchors")  # fewer than total / SHARD_WORDS rows
+    hot = stage(load.filter(F.col("words") > SHARD_WORDS).select("anchor"), "hot-anchors")  # fewer than total / SHARD_WORDS rows
     plain = stretch.join(F.broadcast(hot), "anchor", "left_anti").select(
-        "s1", "s2", F.lit(0).alias("shift"), "weight", "text", F.lit(0).cast("bigint").alias("anchor"),
-        F.pmod("anchor", F.lit(shards)).cast("int").alias("shard"))
-    single = _single_windows(stretch.join(F.broadcast(hot), "anchor"), width)
-    single = single.select("s1", "s2", "shift", "weight", "text", "anchor", F.pmod("part", F.col("parts")).cast("int").alias("shard"))
-    rows = plain.unionByName(single)
+        "s1", "s2", "weight", "text", F.pmod("anchor", F.lit(shards)).cast("int").alias("shard"))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["s1", "s2", "shift"], ignore_index=True)
+        pdf = pdf.sort_values(["s1", "s2"], ignore_index=True)
         text, first, last = search_shard(list(pdf["text"]), pdf["weight"].to_numpy(), width)
-        shift = pdf["shift"].to_numpy()[text]
-        return pd.DataFrame({"s1": pdf["s1"].to_numpy()[text], "s2": pdf["s2"].to_numpy()[text], "first": shift + first, "last": shift + last})
+        return pd.DataFrame({"s1": pdf["s1"].to_numpy()[text], "s2": pdf["s2"].to_numpy()[text], "first": first, "last": last})
 
-    found = rows.groupBy("anchor", "shard").applyInPandas(search, "s1 bigint, s2 bigint, first int, last int")
+    found = plain.groupBy("shard").applyInPandas(search, "s1 bigint, s2 bigint, first int, last int")
+    if not hot.isEmpty():
+        single = stage(_single_windows(stretch.join(F.broadcast(hot), "anchor"), width), "single-windows")
+        found = found.unionByName(repeated_singles(single))
     # stored apart from the join for the same reason as the counts: one stretch may lie in very many documents
     spans = stage(found.groupBy("s1", "s2").agg(F.collect_list(F.struct("first", "last")).alias("found")), "found")
     home = pieces.select("key", "at", "s1", "s2").join(spans, ["s1", "s2"])
