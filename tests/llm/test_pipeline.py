@@ -26,7 +26,7 @@ def test_stages_and_run(spark):
         if name != "tokens":
             assert out.columns == columns
         if name == "near_duplicates":
-            near = brute_near([(i, r["text"]) for i, r in before.items()])
+            near = brute_near([(i, r["text"]) for i, r in before.items()], corpus_pipeline.NEAR_PERCENT)
             assert set(after) == {i for i, (_, c) in near.items() if c == i}
         if name == "decontamination":
             counts = {i: brute_hits(r["text"], items) for i, r in before.items()}
