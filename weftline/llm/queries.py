@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import (
-    contamination, cotraining, main_text, minhash, neighbour_graph, pii, substrings, toxicity, unigram, warc_index,
+    contamination, cotraining, main_text, merkle, minhash, neighbour_graph, pii, substrings, toxicity, unigram, warc_index,
 )
 from weftline.llm import sql as S
 from weftline.session import ship_package
@@ -83,7 +83,23 @@ def op10_quality(spark: SparkSession, path: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents; a third of the texts is tampered with and folded again."""
+    docs = _table(spark, path, "documents")
+    upper = "".join(map(chr, range(65, 91)))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    other = merkle.digest([tampered if f == "text" else F.col(f) for f in MANIFEST_FIELDS])
+    made = merkle.manifest(docs, MANIFEST_FIELDS, by="lang", key="doc_id", extra={"now": other})
+    folded = made.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                         merkle.fold(F.col("now"), F.col("path")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_vector_near_duplicates, op2_warc_captures, op3_toxicity, op4_repeated_passages, op5_decontamination,
-    op6_minhash_near_duplicates, op7_sentencepiece, op8_personal_data, op9_main_text, op10_quality)}
+    op6_minhash_near_duplicates, op7_sentencepiece, op8_personal_data, op9_main_text, op10_quality,
+    op11_merkle_manifest)}
 SQL = dict(S.SQL)

@@ -92,3 +92,51 @@ walk as (
 select d.doc_id, coalesce(n.c, 0)::bigint as n_shingles, m.component_id, m.component_id = d.doc_id as kept
 from documents d left join n using (doc_id) join (select node, min(seen) as component_id from walk group by node) m on m.node = d.doc_id
 """
+
+_CRC_TABLE = """
+crc as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end, i)) as t
+)"""
+_CRC = ("xor(4294967295, list_reduce(list_transform(string_split({0}::varchar, ''), lambda ch: ascii(ch)::bigint), "
+        "lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295))")
+
+_FIELD = "coalesce(octet_length(encode({0}::varchar))::varchar || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {0})"
+
+SQL["op11_merkle_manifest"] = rf"""
+with recursive {_CRC_TABLE},
+d as (
+  select doc_id, coalesce('=' || lang, '-') as tree, {_LEAF.format(_FIELD.format('text'))} as leaf,
+         case when {_CRC.format('doc_id')} % 3 = 0
+              then {_LEAF.format(_FIELD.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))}
+              else {_LEAF.format(_FIELD.format('text'))} end as now
+  from documents, crc),
+n as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos from d),
+up as (
+  select tree, 0 as level, list(leaf order by pos) as nodes from n group by tree
+  union all
+  select tree, level + 1, list_transform(range(ceil(len(nodes) / 8)::bigint), lambda r: sha256(array_to_string(nodes[r * 8 + 1:r * 8 + 8], '')))
+  from up where len(nodes) > 1),
+sub as (select tree, nodes[1] as subroot, row_number() over (order by tree) - 1 as pos from up where len(nodes) = 1),
+top as (
+  select 0 as level, list(subroot order by pos) as nodes from sub
+  union all
+  select level + 1, list_transform(range(ceil(len(nodes) / 8)::bigint), lambda r: sha256(array_to_string(nodes[r * 8 + 1:r * 8 + 8], '')))
+  from top where len(nodes) > 1),
+sides as (
+  select n.tree, n.doc_id, n.pos as id, level, nodes, (n.pos // pow(8, level)::bigint) as spot from n join up using (tree) where len(nodes) > 1
+  union all
+  select n.tree, n.doc_id, n.pos as id, 1000 + level, nodes, (sub.pos // pow(8, level)::bigint) as spot
+  from n join sub using (tree), top where len(nodes) > 1),
+path as (
+  select tree, id, list(struct_pack(l := array_to_string(nodes[spot - spot % 8 + 1:spot], ''), r := array_to_string(nodes[spot + 2:spot - spot % 8 + 8], '')) order by level) as p
+  from sides group by tree, id),
+walk as (
+  select n.tree, n.pos as id, 0 as k, now as node, coalesce(p, []) as p from n left join path on path.tree = n.tree and path.id = n.pos
+  union all
+  select tree, id, k + 1, sha256(p[k + 1].l || node || p[k + 1].r), p from walk where k < len(p))
+select n.doc_id, n.leaf, sub.subroot, (select nodes[1] from top where len(nodes) = 1) as root,
+       sha256(array_to_string(list_transform(w.p, lambda s: s.l || s.r), '')) as proof_sha256, w.node as folded_root,
+       w.node = (select nodes[1] from top where len(nodes) = 1) as verified
+from n join sub using (tree) join walk w on w.tree = n.tree and w.id = n.pos and w.k = len(w.p)
+"""
