@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import (
-    contamination, cotraining, main_text, merkle, minhash, neighbour_graph, pii, substrings, toxicity, unigram, warc_index,
+    contamination, cotraining, main_text, merkle, minhash, neighbour_graph, pii, prefix_counts, substrings, toxicity, unigram, warc_index,
 )
 from weftline.llm import sql as S
+from weftline.llm.groups import stage
 from weftline.session import ship_package
 
 
@@ -98,8 +99,13 @@ def op11_merkle_manifest(spark: SparkSession, path: str) -> DataFrame:
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_prefix_trie(spark: SparkSession, path: str) -> DataFrame:
+    turns = stage(prefix_counts.numbered_turns(_table(spark, path, "conversations")), "numbered")
+    return prefix_counts.prefix_trie(prefix_counts.rebuilt_turns(turns))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_vector_near_duplicates, op2_warc_captures, op3_toxicity, op4_repeated_passages, op5_decontamination,
     op6_minhash_near_duplicates, op7_sentencepiece, op8_personal_data, op9_main_text, op10_quality,
-    op11_merkle_manifest)}
+    op11_merkle_manifest, op13_prefix_trie)}
 SQL = dict(S.SQL)

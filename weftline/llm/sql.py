@@ -140,3 +140,29 @@ select n.doc_id, n.leaf, sub.subroot, (select nodes[1] from top where len(nodes)
        w.node = (select nodes[1] from top where len(nodes) = 1) as verified
 from n join sub using (tree) join walk w on w.tree = n.tree and w.id = n.pos and w.k = len(w.p)
 """
+
+SQL["op13_prefix_trie"] = rf"""
+with {_CRC_TABLE},
+own as (
+  select conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) order by turn nulls first) as l
+  from conversations group by conv_id),
+h as (select conv_id, l, {_CRC.format('conv_id')} % 6 as h from own, crc),
+built as (
+  select h.conv_id, list_concat(coalesce(b.l[1:h.h], []), h.l[h.h + 1:]) as l
+  from h left join own b on b.conv_id = h.conv_id - h.conv_id % 100),
+walk as (select conv_id, l, d, l[1:d] as p, d = len(l) as ends from (select conv_id, l, unnest(range(len(l) + 1)) as d from built)),
+nodes as (
+  select p, d, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+  from walk group by p, d),
+children as (select p[1:d - 1] as p, d - 1 as d, count(*) as n_children from nodes where d > 0 group by all),
+val as (
+  select n.*, coalesce(n_children, 0) as n_children, (n_children is null)::bigint as leaf,
+         case when n.d > 0 then (n_convs - 1) * len(n.p[n.d].x) else 0 end as saved
+  from nodes n left join children c on c.d = n.d and c.p = n.p),
+sums as (
+  select p[1:e] as p, e as d, sum(leaf)::bigint as n_leaves, sum(saved)::bigint as saved_tokens
+  from (select p, leaf, saved, unnest(range(d + 1)) as e from val) group by all)
+select v.conv_id, v.d::bigint as depth, up.conv_id as parent_conv_id, v.n_convs, v.n_children::bigint as n_children, n_leaves, saved_tokens, v.ends_sha256
+from val v join sums s on s.d = v.d and s.p = v.p left join nodes up on up.d = v.d - 1 and up.p = v.p[1:v.d - 1]
+"""
