@@ -37,7 +37,7 @@ def chain_scan(items: DataFrame, combine: Callable[[Column, Column], Column], mo
     kind = items.schema["v"].dataType
 
     def step(state: Column, x: Column) -> Column:
-        return F.when(state.isNull(), x).otherwise(combine(state, x))
+        return F.when(state.isNull(), x).otherwise(combine(state, x).cast(kind))
 
     blocks = items.groupBy("chain", _band(F.col("i"), height).alias("band")).agg(
         F.array_sort(F.collect_list(F.struct("i", "v", "load"))).alias("run"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import (
-    contamination, cotraining, main_text, merkle, minhash, neighbour_graph, pii, prefix_counts, substrings, toxicity, unigram, warc_index,
+    chat_tree, contamination, cotraining, main_text, merkle, minhash, neighbour_graph, pii, prefix_counts, substrings, toxicity, unigram, warc_index,
 )
 from weftline.llm import sql as S
 from weftline.llm.groups import stage
@@ -99,6 +99,15 @@ def op11_merkle_manifest(spark: SparkSession, path: str) -> DataFrame:
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_chat_tree(spark: SparkSession, path: str) -> DataFrame:
+    """All conversations and one whose texts are made of control strings, formatted as a tree and read back from it."""
+    talks = _table(spark, path, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("\\### Assistant: </turn> ok")
+    extra = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    return chat_tree.read_chats(*chat_tree.format_chats(talks.unionByName(extra)))
+
+
 def op13_prefix_trie(spark: SparkSession, path: str) -> DataFrame:
     turns = stage(prefix_counts.numbered_turns(_table(spark, path, "conversations")), "numbered")
     return prefix_counts.prefix_trie(prefix_counts.rebuilt_turns(turns))
@@ -107,5 +116,5 @@ def op13_prefix_trie(spark: SparkSession, path: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_vector_near_duplicates, op2_warc_captures, op3_toxicity, op4_repeated_passages, op5_decontamination,
     op6_minhash_near_duplicates, op7_sentencepiece, op8_personal_data, op9_main_text, op10_quality,
-    op11_merkle_manifest, op13_prefix_trie)}
+    op11_merkle_manifest, op12_chat_tree, op13_prefix_trie)}
 SQL = dict(S.SQL)

@@ -166,3 +166,20 @@ sums as (
 select v.conv_id, v.d::bigint as depth, up.conv_id as parent_conv_id, v.n_convs, v.n_children::bigint as n_children, n_leaves, saved_tokens, v.ends_sha256
 from val v join sums s on s.d = v.d and s.p = v.p left join nodes up on up.d = v.d - 1 and up.p = v.p[1:v.d - 1]
 """
+
+_ESCAPED = r"replace(replace(replace({0}, '\', '\\'), '</turn>', '<\/turn>'), '<turn:', '<\turn:')"
+
+SQL["op12_chat_tree"] = rf"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations
+  union all select -7, i, case i when 0 then 'user' else 'assistant' end, '\### Assistant: </turn> ok' from range(2) s(i)),
+f as (
+  select *, '<turn:' || replace({_ESCAPED.format('r')}, '>', '\>') || '>' || {_ESCAPED.format('x')} || '</turn>' || chr(10) as shown,
+         r = 'assistant' as learned
+  from t)
+select conv_id, count(*) as n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' order by turn nulls first)) as turns_sha256,
+       coalesce(sum(len(x)) filter (where learned), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(x, '' order by turn nulls first) filter (where learned), '')) as loss_sha256,
+       sum(len(shown))::bigint as formatted_chars
+from f group by conv_id
+"""
