@@ -126,6 +126,40 @@ def test_linked_vectors_meet_between_many_centres(spark):
     assert recall == 1.0 and seen > 100
 
 
+def test_graph_search_finds_links_without_the_completion(spark):
+    """The graph alone: recall over true links, weights of equal vectors, and the audit stored with the result."""
+    rng = np.random.default_rng(8)
+    rows, i = [], 0
+    for _ in range(120):
+        base = rng.normal(size=24)
+        for _ in range(int(rng.integers(1, 14))):
+            rows.append((i, (base + rng.normal(size=24) * 0.12).tolist(), 1))
+            i += 1
+    copy = rng.normal(size=24).tolist()
+    rows += [(5000 + k, copy, 1) for k in range(300)] + [(6000, [c * 1e-200 for c in copy], 1), (6001, [c * 1e200 for c in copy], 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = neighbour_graph.near_duplicates(df, per_shard=60, cap=150, min_recall=0.0).collect()
+    small = [r for r in rows if r[0] < 6000]
+    want = brute_links(small + [(6000, copy, 1), (6001, copy, 1)])
+    found, true = sum(r["n_links"] for r in got), sum(n for n, _ in want.values())
+    assert all(r["n_links"] <= want[r["id"]][0] for r in got) and found >= 0.99 * true
+    assert all(r["n_links"] == 301 and r["component_id"] == 5000 for r in got if r["id"] >= 5000)
+    assert 0.9 <= got[0]["audit_recall"] <= 1 and got[0]["audit_links"] > 1000
+
+
+def test_missing_links_are_completed(spark):
+    """With one shard per vector and thin graphs the audit finds links missing, and the comparison adds them."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=3).tolist(), 1) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    thin = dict(per_shard=20, overlap=1, degree=2, pool=3)
+    alone = neighbour_graph.near_duplicates(df, min_recall=0.0, **thin).collect()
+    whole = neighbour_graph.near_duplicates(df, **thin).collect()
+    want = brute_links(rows)
+    assert alone[0]["audit_recall"] < 1 and sum(r["n_links"] for r in alone) < sum(n for n, _ in want.values())
+    assert {r["id"]: (r["n_links"], r["component_id"]) for r in whole} == want
+
+
 def test_visits_cover_every_neighbour():
     rng = np.random.default_rng(5)
     for size in (3, 8, 32):

@@ -19,7 +19,8 @@ def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def op1_vector_near_duplicates(spark: SparkSession, path: str) -> DataFrame:
-    return neighbour_graph.near_duplicates(_table(spark, path, "embeddings")).withColumnRenamed("id", "vec_id")
+    found = neighbour_graph.near_duplicates(_table(spark, path, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
 def op2_warc_captures(spark: SparkSession, path: str) -> DataFrame:
