@@ -81,44 +81,43 @@ def visits(x: np.ndarray, centres: np.ndarray, radii: np.ndarray, link: float) -
     return side & (sims >= np.cos(np.minimum(np.pi, radii + d)) - SLACK) & (radii >= 0)
 
 
-def robust_prune(x: np.ndarray, p: int, candidates: np.ndarray, alpha: float, degree: int) -> list[int]:
-    """At most ``degree`` neighbours of ``p`` among ``candidates`` (nearest first)."""
-    kept: list[int] = []
-    d = np.sqrt(np.maximum(0, 2 - 2 * (x[candidates] @ x[p])))
-    alive = np.ones(len(candidates), bool)
-    for i in range(len(candidates)):
-        if not alive[i]:
-            continue
-        kept.append(int(candidates[i]))
-        if len(kept) == degree:
-            break
-        between = np.sqrt(np.maximum(0, 2 - 2 * (x[candidates] @ x[candidates[i]])))
-        alive &= alpha * between > d
+def robust_prune(x: np.ndarray, near: np.ndarray, sims: np.ndarray, alpha: float, degree: int) -> np.ndarray:
+    """Which candidates each node keeps: ``near`` holds rows of ``x`` per node, nearest first, ``sims`` their cosines to it.
+
+    The nearest candidate left is kept, and those go to which it is ``alpha`` times nearer than the node is, until
+    ``degree`` are kept.  Many nodes are pruned in step.
+    """
+    own = np.sqrt(np.maximum(0, 2 - 2 * sims))
+    c = x[near]
+    between = alpha * np.sqrt(np.maximum(0, 2 - 2 * (c @ c.transpose(0, 2, 1))))
+    alive = np.ones(near.shape, bool)
+    kept = np.zeros(near.shape, bool)
+    for k in range(near.shape[1]):
+        kept[:, k] = alive[:, k] & (kept.sum(1) < degree)
+        alive &= ~kept[:, k, None] | (between[:, k] > own)
     return kept
 
 
 def build_graph(x: np.ndarray, alpha: float, degree: int, pool: int) -> list[np.ndarray]:
     """Adjacency lists of one cell: pruned nearest candidates, edges in both directions."""
     n = len(x)
-    out: list[set[int]] = [set() for _ in range(n)]
     take = min(pool, n - 1)
     if take < 1:
         return [np.zeros(0, np.int64) for _ in range(n)]
+    small = x.astype(np.float32)  # only chooses edges; links are verified in double precision
+    ends = []
     for begin in range(0, n, 256):
-        sims = x[begin:begin + 256] @ x.T
-        sims[np.arange(len(sims)), np.arange(begin, begin + len(sims))] = -2
+        sims = small[begin:begin + 256] @ small.T
+        rows = np.arange(len(sims))
+        sims[rows, begin + rows] = -2
         near = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-        order = np.take_along_axis(-sims, near, 1).argsort(1, kind="stable")
-        near = np.take_along_axis(near, order, 1)
-        for i, row in enumerate(near):
-            kept = robust_prune(x, begin + i, row, alpha, degree)
-            out[begin + i].update(kept)
-            for j in kept:
-                out[j].add(begin + i)
+        near = np.take_along_axis(near, np.take_along_axis(-sims, near, 1).argsort(1, kind="stable"), 1)
+        row, place = np.nonzero(robust_prune(small, near, np.take_along_axis(sims, near, 1), alpha, degree))
+        ends.append(np.stack([begin + row, near[row, place]]))
     # a chain over a fixed order keeps separated groups reachable from the medoid
-    for a, b in zip(range(n - 1), range(1, n)):
-        out[a].add(b)
-    return [np.fromiter(sorted(s), np.int64, len(s)) for s in out]
+    a, b = np.concatenate([*ends, np.stack([np.arange(n - 1), np.arange(1, n)])], axis=1)
+    pairs = np.unique(np.concatenate([a * n + b, b * n + a]))
+    return np.split(pairs % n, np.searchsorted(pairs // n, np.arange(1, n)))
 
 
 def range_search(x: np.ndarray, graph: list[np.ndarray], q: int, start: int, link: float, alpha: float, steps: int = 8) -> np.ndarray:
@@ -152,7 +151,7 @@ def range_search(x: np.ndarray, graph: list[np.ndarray], q: int, start: int, lin
 
 
 def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label",
-                    link: float = 0.93, overlap: int = 3, per_shard: int = 500, cap: int = 2000, alpha: float = 1.2,
+                    link: float = 0.93, overlap: int = 2, per_shard: int = 500, cap: int = 2000, alpha: float = 1.2,
                     degree: int = 24, pool: int = 64, audit: int = 500, min_recall: float = 1.0) -> DataFrame:
     """Links and components of vectors with equal labels and a cosine of at least ``link``.
 
