@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +37,28 @@ def test_upsert_keeps_columns_and_tenants(spark, tmp_path):
     assert got == {("a", 1): (2, None), ("a", 2): (1, "y"), ("b", 1): (1, "z")}
 
 
+def test_failed_swap_loses_nothing(spark, tmp_path, monkeypatch):
+    """The swap fails after it has dropped a stored tenant: the merged rows stay, and the swap can be finished."""
+    path = str(tmp_path / "t")
+    schema = "user_id string, k int, v int"
+    upsert.upsert(spark, path, spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("b", 1, 1)], schema), ["user_id", "k"], "v")
+
+    def half_way(staged, where, partition):
+        shutil.rmtree(f"{where}/user_id=a")
+        raise OSError("no space left")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(upsert, "_replace", half_way)
+        with pytest.raises(upsert.SwapFailed) as failed:
+            upsert.upsert(spark, path, spark.createDataFrame([("a", 1, 2)], schema), ["user_id", "k"], "v")
+    assert failed.value.staged_at in str(failed.value) and "no space left" in str(failed.value.__cause__)
+    upsert.finish_swap(spark, failed.value.staged_at, path)
+    got = {(r["user_id"], r["k"]): r["v"] for r in spark.read.parquet(path).collect()}
+    assert got == {("a", 1): 2, ("a", 2): 1, ("b", 1): 1}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(failed.value.staged_at)
+
+
 def test_all_jobs_are_written(spark, tmp_path):
     rows = spark.range(950).select(F.format_string("%05d", "id").alias("id"), F.lit("some text").alias("text"))
     plan = writers.write_request_shards(rows, "Task", ["id"], str(tmp_path / "out"), "base", stamp=1, job_bytes=80_000)

@@ -24,7 +24,8 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
 
     Columns that only the stored table or only the batch has are kept and null elsewhere.  The
     merged rows are staged in the shared folder first, because a job must not overwrite
-    what it is still reading; the swap then replaces whole partitions and the staged copy goes.
+    what it is still reading; the swap then replaces whole partitions, and only after that the staged copy goes.
+    If the swap fails the merged rows stay where the error says, and :func:`finish_swap` replaces the partitions again.
     """
     try:
         existing = spark.read.option("mergeSchema", True).parquet(path)
@@ -40,15 +41,31 @@ def upsert(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
         merged = merge_latest(_of_tenants(existing, incoming, partition), incoming, keys, version)
     staged_at = f"{shared_dir(spark)}/weftline-staged/{uuid.uuid4().hex}"
     merged.write.parquet(staged_at)
+    finish_swap(spark, staged_at, path, partition)
+
+
+class SwapFailed(RuntimeError):
+    """The swap ended half way; ``staged_at`` holds all merged rows of the tenants it was to replace."""
+
+    def __init__(self, staged_at: str, path: str):
+        super().__init__(f"partitions of {path} were not all replaced; the merged rows are kept in {staged_at}")
+        self.staged_at, self.path = staged_at, path
+
+
+def finish_swap(spark: SparkSession, staged_at: str, path: str, partition: str = "user_id") -> None:
+    """Replace the partitions of the staged rows, then drop the staged copy; may be repeated after a failure."""
+    staged = spark.read.parquet(staged_at)
     try:
-        (
-            # partitions of a tenant are cut by size, so a big tenant becomes several files
-            spark.read.parquet(staged_at).hint("rebalance", partition)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-        )
-    finally:
-        where = spark._jvm.org.apache.hadoop.fs.Path(staged_at)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _replace(staged, path, partition)
+    except Exception as e:
+        raise SwapFailed(staged_at, path) from e
+    where = spark._jvm.org.apache.hadoop.fs.Path(staged_at)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _replace(staged: DataFrame, path: str, partition: str) -> None:
+    # partitions of a tenant are cut by size, so a big tenant becomes several files
+    staged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def _of_tenants(stored: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:

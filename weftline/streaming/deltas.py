@@ -7,12 +7,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from weftline.functions import text as X
 from weftline.functions.vectors import let
 from weftline.operators import model_outputs as M
 from weftline.operators.lookup import lookup_join
+from weftline.session import ship_package
 
 PREFIX = "data: "
 DONE = "[DONE]"
@@ -65,30 +66,78 @@ def reassemble(lines: DataFrame) -> DataFrame:
     return whole.select("msg_id", shape_message(F.col("raw")).alias("m")).select("msg_id", "m.*")
 
 
-def reassemble_stream(lines: DataFrame, timeout_ms: int = 60_000) -> DataFrame:
-    """Streaming form: one row per answer when ``[DONE]`` arrives, or after a silent timeout."""
-    cleaned = lines.select("msg_id", "seq", delta_text(F.rtrim("line")).alias("text"),
-                           (F.rtrim("line") == PREFIX + DONE).alias("done")).filter("text IS NOT NULL OR done")
-
-    def collect(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seqs, texts, end = state.get if state.exists else ([], [], -1)
-        seqs, texts = list(seqs), list(texts)
-        for pdf in batches:
+class AnswerProcessor(StatefulProcessor):
+    """Lines of one answer until it is whole.
+
+    Lines are appended to a list state, which is never read or written again before the answer ends, so a batch
+    writes its own lines however long the answer is.  ``[DONE]`` may come early: the answer goes out when every
+    number below its own has come, or at the timer.  A timer of ``timeout_ms`` starts anew with each batch of lines; when it
+    rings, an open answer goes out as far as it came, and an answer that went out is forgotten.  Until then late
+    lines of an answer that went out are dropped.
+    """
+
+    def __init__(self, timeout_ms: int):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.lines = handle.getListState("lines", "seq bigint, text string")
+        # end: number of [DONE] (-1: not seen); missing: numbers below it that have not come; closed: went out; timer: set for then
+        self.mark = handle.getValueState("mark", "end bigint, missing bigint, closed boolean, timer bigint")
+
+    def _answer(self, key: tuple, end: int) -> pd.DataFrame:
+        # a number that comes twice counts once
+        kept = {seq: text for seq, text in self.lines.get() if end < 0 or seq < end}
+        self.lines.clear()
+        return pd.DataFrame({"msg_id": [key[0]], "raw": ["".join(kept[s] for s in sorted(kept))]})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        end, missing, closed, timer = self.mark.get() if self.mark.exists() else (-1, 0, False, 0)
+        come = []
+        for pdf in rows:
+            if closed:
+                continue
             for seq, text, done in zip(pdf["seq"], pdf["text"], pdf["done"]):
                 if done:
                     end = int(seq) if end < 0 else min(end, int(seq))
-                elif text is not None:
-                    seqs.append(int(seq))
-                    texts.append(text)
-        if end >= 0 or state.hasTimedOut:
-            kept = sorted((s, t) for s, t in zip(seqs, texts) if end < 0 or s < end)
-            state.remove()
-            yield pd.DataFrame({"msg_id": [key[0]], "raw": ["".join(t for _, t in kept)]})
-        else:
-            state.update((seqs, texts, end))
-            state.setTimeoutDuration(timeout_ms)
-
-    whole = cleaned.groupBy("msg_id").applyInPandasWithState(
-        collect, "msg_id string, raw string", "seqs array<bigint>, texts array<string>, end bigint", "append",
-        GroupStateTimeout.ProcessingTimeTimeout)
+                    missing = -1  # counted anew below
+                else:
+                    come.append((int(seq), text if isinstance(text, str) else ""))
+        if come:
+            self.lines.appendList(come)
+        if not closed and end >= 0:
+            if missing > len(come):
+                missing -= sum(s < end for s, _ in come)
+            else:
+                missing = end - len({s for s, _ in self.lines.get() if s < end})
+            if missing <= 0:
+                yield self._answer(key, end)
+                closed = True
+        if timer:
+            self.handle.deleteTimer(timer)
+        timer = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
+        self.handle.registerTimer(timer)
+        self.mark.update((end, missing, closed, timer))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end, _, closed, _ = self.mark.get()
+        if not closed:
+            yield self._answer(key, end)
+        self.mark.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def reassemble_stream(lines: DataFrame, timeout_ms: int = 60_000) -> DataFrame:
+    """Streaming form: one row per answer when it is whole, or after a silent timeout (see :class:`AnswerProcessor`).
+
+    ``seq`` counts the lines of an answer from 0, comments and broken lines included.  The query needs the RocksDB state
+    store; a session of :func:`weftline.session.build_session` has it.  Timers run by the clock, so the query wants a
+    trigger by time; with ``availableNow`` it would wait for timers without end.
+    """
+    ship_package(lines.sparkSession)
+    cleaned = lines.select("msg_id", "seq", delta_text(F.rtrim("line")).alias("text"), (F.rtrim("line") == PREFIX + DONE).alias("done"))
+    whole = cleaned.groupBy("msg_id").transformWithStateInPandas(
+        AnswerProcessor(timeout_ms), "msg_id string, raw string", "append", "processingTime")
     return whole.select("msg_id", shape_message(F.col("raw")).alias("m")).select("msg_id", "m.*")
