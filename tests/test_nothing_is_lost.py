@@ -19,7 +19,7 @@ def test_every_call_is_answered(spark):
     nulls = [(None, "glob", '{"pat": "*.txt"}')] * 500 + [(1, "glob", '{"pat": "a*"}')]
     odd = [(2, None, "{}"), (3, "grep", "{}"), (4, "grep", '{"pat": "("}'), (5, "read", "{}"), (6, "glob", None)]
     calls = spark.createDataFrame(same + nulls + odd, "call_id int, name string, args string")
-    got = [tuple(r) for r in corpus_search.run_calls(calls, corpus, pattern_block=2).select("call_id", "name", "output").collect()]
+    got = [tuple(r) for r in corpus_search.run_calls(calls, corpus).select("call_id", "name", "output").collect()]
     assert sum(g[0] == 7 for g in got) == 600 * 3
     assert sum(g[0] is None and g[1] == "glob" for g in got) == 500 * 3
     assert (1, "glob", "a.txt") in got and (2, None, "error: unknown tool 'null'") in got

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
-from itertools import islice
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import text as X
 from weftline.functions.vectors import let
+from weftline.operators import trigrams
 from weftline.operators.chunking import lines
 from weftline.session import cut_lineage
 
@@ -21,7 +21,6 @@ MAX_HITS = 80
 MAX_OUTPUT = 48_000
 SKIPPED_FOLDERS = (".git", "node_modules", "__pycache__", ".venv", "venv", "dist", "build", ".mypy_cache",
                    ".pytest_cache", "target")
-PATTERN_BLOCK = 5_000  # distinct patterns searched in one pass over the corpus
 
 
 def line_array(text: Column) -> Column:
@@ -103,35 +102,10 @@ def capped(output: Column, limit: int = MAX_OUTPUT) -> Column:
                  F.lit(" chars]"))).otherwise(output)
 
 
-def _pattern_blocks(patterns: DataFrame, size: int) -> Iterator[list[tuple[str, str]]]:
-    """Distinct (name, pattern) pairs in blocks of at most ``size``."""
-    rows = patterns.toLocalIterator()
-    while block := [(r["name"], r["_pat"]) for r in islice(rows, size)]:
-        yield block
-
-
 def _compile(name: str, pattern: str) -> re.Pattern:
     return re.compile(glob_pattern(pattern) if name == "glob" else pattern)
 
 
-def _searcher(block: list[tuple[str, str]]):
-    """Hits of every pattern of a block in one pass over (path, text)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        greps = [(p, _compile(n, p)) for n, p in block if n == "grep"]
-        globs = [(p, _compile(n, p)) for n, p in block if n == "glob"]
-        for batch in batches:
-            out = []
-            for path, text in zip(batch["path"], batch["text"]):
-                out += [("glob", p, 0, path) for p, rx in globs if path is not None and rx.search(path)]
-                if text and greps:
-                    for n, line in enumerate(text.removesuffix("\n").split("\n"), 1):
-                        shown = f"{n}:{line}" if path is None else f"{path}:{n}:{line}"
-                        out += [("grep", p, n, shown) for p, rx in greps if rx.search(line)]
-            yield pd.DataFrame(out, columns=["name", "_pat", "seq", "output"])
-
-    return run
-
-
 def _pattern_errors(names: pd.Series, patterns: pd.Series) -> pd.Series:
     """The message for each pattern that does not compile, else null."""
     def one(name, pattern):
@@ -144,8 +118,17 @@ def _pattern_errors(names: pd.Series, patterns: pd.Series) -> pd.Series:
     return pd.Series([one(n, p) for n, p in zip(names, patterns)], dtype=object)
 
 
+def grep_index(index: trigrams.TrigramIndex, pattern: str, limit: int = MAX_HITS) -> DataFrame:
+    """:func:`grep` over a stored trigram index; the pattern follows Python's rules."""
+    asked = index.blocks.sparkSession.createDataFrame([(pattern, pattern)], "pattern string, regex string")
+    hits = cut_lineage(trigrams.search(index, asked).select("path", "line_no", F.rtrim("line").alias("line")))
+    more = hits.agg(F.greatest(F.count(F.lit(1)) - limit, F.lit(0)).cast("bigint").alias("more"))  # one row
+    return hits.orderBy("path", "line_no").limit(limit).crossJoin(F.broadcast(more)).select(
+        "path", "line_no", F.concat_ws(":", "path", F.col("line_no").cast("string"), "line").alias("hit"), "more")
+
+
 def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] | None = None,
-              pattern_block: int = PATTERN_BLOCK) -> DataFrame:
+              index: trigrams.TrigramIndex | None = None) -> DataFrame:
     """Answer a table of tool calls (call_id, name, args JSON) over a corpus (path, text).
 
     ``read`` gives one row per call, ``grep`` and ``glob`` one row per hit.  An unknown or missing name, a
@@ -153,8 +136,8 @@ def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] |
     repeat or be null: every call is answered for itself.  ``extra`` adds tools: name ->
     function(calls, corpus) -> rows.
 
-    Equal patterns are searched once.  Each pass over the corpus takes ``pattern_block`` distinct patterns, and
-    the hits meet their calls in a join, so the number of calls does not matter to the driver.
+    Equal patterns are searched once, over a trigram index of the texts (``index``, else one is built for this run) and one
+    of the paths; the hits meet their calls in a join, so the number of calls or patterns does not matter to the driver.
     """
     arg = F.try_parse_json("args")
     calls = calls.withColumns({
@@ -181,9 +164,18 @@ def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] |
         "_error", F.pandas_udf(_pattern_errors, "string")("name", "_pat")))
     bad = patterns.filter(F.col("_error").isNotNull())
     outputs.append(failed(searches.join(bad, ["name", "_pat"]), F.col("_error")))
-    for block in _pattern_blocks(patterns.filter(F.col("_error").isNull()).select("name", "_pat"), pattern_block):
-        hits = corpus.select("path", "text").mapInPandas(_searcher(block), "name string, _pat string, seq bigint, output string")
-        outputs.append(searches.join(hits, ["name", "_pat"]).select("call_id", "name", "seq", "output"))
+    good = cut_lineage(patterns.filter(F.col("_error").isNull()).select("name", F.col("_pat").alias("pattern")))
+    for name, made, shown in (
+            ("grep", lambda: index or trigrams.build_index(corpus),
+             F.concat(F.coalesce(F.concat("path", F.lit(":")), F.lit("")), F.col("line_no").cast("string"), F.lit(":"), F.col("line"))),
+            ("glob", lambda: trigrams.path_index(corpus), F.col("path"))):
+        asked = good.filter(F.col("name") == name)
+        if asked.isEmpty():
+            continue
+        regex = F.udf(glob_pattern, "string", useArrow=True)("pattern") if name == "glob" else F.col("pattern")
+        hits = trigrams.search(made(), asked.select("pattern", regex.alias("regex")))
+        found = hits.select(F.col("pattern").alias("_pat"), F.col("line_no").alias("seq"), shown.alias("output"))
+        outputs.append(searches.filter(F.col("name") == name).join(found, "_pat").select("call_id", "name", "seq", "output"))
     known = ["read", "grep", "glob", *(extra or {})]
     unknown = calls.filter(F.col("name").isNull() | ~F.col("name").isin(*known))
     outputs.append(failed(unknown, F.concat(F.lit("error: unknown tool '"), F.coalesce("name", F.lit("null")), F.lit("'"))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -56,6 +57,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_table(df: DataFrame, name: str, where: str | None = None) -> DataFrame:
+    """Store a table as Parquet and read it back: as ``where/name``, or in the shared folder until the driver's JVM ends."""
+    spark = df.sparkSession
+    path = f"{where}/{name}" if where else f"{shared_dir(spark)}/table-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    if not where:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per context, so that they need no installation of it."""
     sc = spark.sparkContext
