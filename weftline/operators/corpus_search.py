@@ -127,6 +127,21 @@ def grep_index(index: trigrams.TrigramIndex, pattern: str, limit: int = MAX_HITS
         "path", "line_no", F.concat_ws(":", "path", F.col("line_no").cast("string"), "line").alias("hit"), "more")
 
 
+def _answered(searches: DataFrame, name: str, hits: DataFrame, shown: Column) -> DataFrame:
+    found = hits.select(F.col("pattern").alias("_pat"), F.col("line_no").alias("seq"), shown.alias("output"))
+    return searches.filter(F.col("name") == name).join(found, "_pat").select("call_id", "name", "seq", "output")
+
+
+def _glob_hits(globs: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Paths of every path pattern: by file name where the last part has no wildcard, by the index of paths otherwise."""
+    index = trigrams.path_index(corpus)
+    last = F.substring_index("pattern", "/", -1)
+    asked = globs.select("pattern", F.udf(glob_pattern, "string", useArrow=True)("pattern").alias("regex"), last.alias("last"))
+    named, wild = asked.filter(~F.col("last").rlike("[*?]")), asked.filter(F.col("last").rlike("[*?]")).drop("last")
+    paths = index.blocks.select("block", F.substring_index("path", "/", -1).alias("last"))
+    return trigrams.verify(index, named.join(paths, "last").drop("last")).unionByName(trigrams.search(index, wild))
+
+
 def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] | None = None,
               index: trigrams.TrigramIndex | None = None) -> DataFrame:
     """Answer a table of tool calls (call_id, name, args JSON) over a corpus (path, text).
@@ -165,17 +180,13 @@ def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] |
     bad = patterns.filter(F.col("_error").isNotNull())
     outputs.append(failed(searches.join(bad, ["name", "_pat"]), F.col("_error")))
     good = cut_lineage(patterns.filter(F.col("_error").isNull()).select("name", F.col("_pat").alias("pattern")))
-    for name, made, shown in (
-            ("grep", lambda: index or trigrams.build_index(corpus),
-             F.concat(F.coalesce(F.concat("path", F.lit(":")), F.lit("")), F.col("line_no").cast("string"), F.lit(":"), F.col("line"))),
-            ("glob", lambda: trigrams.path_index(corpus), F.col("path"))):
-        asked = good.filter(F.col("name") == name)
-        if asked.isEmpty():
-            continue
-        regex = F.udf(glob_pattern, "string", useArrow=True)("pattern") if name == "glob" else F.col("pattern")
-        hits = trigrams.search(made(), asked.select("pattern", regex.alias("regex")))
-        found = hits.select(F.col("pattern").alias("_pat"), F.col("line_no").alias("seq"), shown.alias("output"))
-        outputs.append(searches.filter(F.col("name") == name).join(found, "_pat").select("call_id", "name", "seq", "output"))
+    greps, globs = good.filter("name = 'grep'"), good.filter("name = 'glob'")
+    if not greps.isEmpty():
+        hits = trigrams.search(index or trigrams.build_index(corpus), greps.select("pattern", F.col("pattern").alias("regex")))
+        outputs.append(_answered(searches, "grep", hits, F.concat(
+            F.coalesce(F.concat("path", F.lit(":")), F.lit("")), F.col("line_no").cast("string"), F.lit(":"), F.col("line"))))
+    if not globs.isEmpty():
+        outputs.append(_answered(searches, "glob", _glob_hits(globs, corpus), F.col("path")))
     known = ["read", "grep", "glob", *(extra or {})]
     unknown = calls.filter(F.col("name").isNull() | ~F.col("name").isin(*known))
     outputs.append(failed(unknown, F.concat(F.lit("error: unknown tool '"), F.coalesce("name", F.lit("null")), F.lit("'"))))
