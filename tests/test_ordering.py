@@ -67,3 +67,13 @@ def test_positional_join_pads_the_shorter_side(spark):
     b = spark.createDataFrame([("x",), ("y",)], "b string")
     rows = sorted(ordering.positional_join(a, "a", b, "b").collect(), key=lambda r: r["idx"])
     assert [(r["a"], r["b"]) for r in rows] == [(1, "x"), (2, "y"), (3, None)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 25, 33, 99, 100, 120])
+def test_repeated_and_null_keys_are_split_exactly(spark, n):
+    rows = [(None if k % 10 == 9 else k % 10, "same" if k % 2 else f"row {k}") for k in range(100)]
+    df = spark.createDataFrame(rows, "k int, v string").repartition(5)
+    got = ordering.flag_first_by_hash(df, 7, ["k"], n).collect()
+    assert sum(r["taken"] for r in got) == min(n, 100)
+    assert sorted((str(r["k"]), r["v"]) for r in got) == sorted((str(k), v) for k, v in rows)
+    assert len({r["k"] for r in got if r["taken"]} & {r["k"] for r in got if not r["taken"]}) <= 1  # only the key at the cut is divided

@@ -108,7 +108,8 @@ def flag_first_by_hash(df: DataFrame, seed, keys, n: int | Callable[[int], int],
 
     Only keys and hashes are stored and looked at: the leading hash digits form a histogram, whole bars
     below the cut are in, and only the bar holding the cut is ranked.  The bar count follows the row
-    count, so that bar stays small.  The result is a comparison with the cut, so ``df`` itself
+    count, so that bar stays small.  Keys may repeat or be null: of the rows that share the key at the cut some are in, so that
+    the number is met.  The result is a comparison with the cut, so ``df`` itself
     runs once for the keys and once for the rows.
     """
     keys = _cols(keys)
@@ -130,7 +131,17 @@ def flag_first_by_hash(df: DataFrame, seed, keys, n: int | Callable[[int], int],
     last = marked.filter(F.col("_bar") == cut["_cut"]).select("_s").orderBy("_s").limit(cut["_room"])
     bound = last.agg(F.max("_s").alias("_s")).first()["_s"]
     kind = narrow.schema["_s"].dataType
-    return df.withColumn(name, F.struct(h, *keys).cast(kind) <= F.struct(*[F.lit(v) for v in bound]).cast(kind))
+    own, edge = F.struct(h, *keys).cast(kind), F.struct(*[F.lit(v) for v in bound]).cast(kind)
+    room, tied = last.filter(F.col("_s") == edge).count(), narrow.filter(F.col("_s") == edge).count()
+    if room == tied:
+        return df.withColumn(name, own <= edge)
+    # rows that share the key at the cut: any of them will do, but exactly as many as there is room for
+    ties = cut_lineage(df.filter(own == edge).withColumns({
+        "_tie_part": F.spark_partition_id(), "_tie_slot": F.monotonically_increasing_id().bitwiseAND(F.lit(_SLOT_MASK))}))
+    sizes = running_total(ties.groupBy("_tie_part").agg(F.count(F.lit(1)).alias("_n")), "_tie_part", "_n", "_upto")  # one row per partition
+    at = sizes.filter(F.col("_upto") >= room).orderBy("_tie_part").select("_tie_part", (F.lit(room) - F.col("_upto") + F.col("_n")).alias("_left")).first()
+    among = (F.col("_tie_part") < at["_tie_part"]) | ((F.col("_tie_part") == at["_tie_part"]) & (F.col("_tie_slot") < at["_left"]))
+    return df.filter(own != edge).withColumn(name, own < edge).unionByName(ties.withColumn(name, among).drop("_tie_part", "_tie_slot"))
 
 
 def order_statistics(df: DataFrame, column: str, ranks: dict[str, int]) -> dict[str, object]:
