@@ -68,11 +68,10 @@ def test_every_word_of_a_corpus(spark):
     assert {(r["pattern"], r["path"], r["line_no"]) for r in got.collect()} == want
 
 
-def test_packs_of_many_loose_patterns(spark, monkeypatch):
-    monkeypatch.setattr(trigrams, "PACK", 3)
+def test_packs_of_many_loose_patterns(spark):
     rows = [("a", "1 2 3\n4 5 6"), ("b", "7 8 9")]
     asked = spark.createDataFrame([(str(k), str(k)) for k in range(10)], "pattern string, regex string")
-    got = trigrams.search(trigrams.build_index(spark.createDataFrame(rows, "path string, text string")), asked)
+    got = trigrams.search(trigrams.build_index(spark.createDataFrame(rows, "path string, text string")), asked, pack=3)
     assert sorted(r["pattern"] for r in got.collect()) == [str(k) for k in range(1, 10)]
 
 

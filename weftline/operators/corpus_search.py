@@ -132,18 +132,18 @@ def _answered(searches: DataFrame, name: str, hits: DataFrame, shown: Column) ->
     return searches.filter(F.col("name") == name).join(found, "_pat").select("call_id", "name", "seq", "output")
 
 
-def _glob_hits(globs: DataFrame, corpus: DataFrame) -> DataFrame:
+def _glob_hits(globs: DataFrame, corpus: DataFrame, pack: int) -> DataFrame:
     """Paths of every path pattern: by file name where the last part has no wildcard, by the index of paths otherwise."""
     index = trigrams.path_index(corpus)
     last = F.substring_index("pattern", "/", -1)
     asked = globs.select("pattern", F.udf(glob_pattern, "string", useArrow=True)("pattern").alias("regex"), last.alias("last"))
     named, wild = asked.filter(~F.col("last").rlike("[*?]")), asked.filter(F.col("last").rlike("[*?]")).drop("last")
     paths = index.blocks.select("block", F.substring_index("path", "/", -1).alias("last"))
-    return trigrams.verify(index, named.join(paths, "last").drop("last")).unionByName(trigrams.search(index, wild))
+    return trigrams.verify(index, named.join(paths, "last").drop("last"), pack).unionByName(trigrams.search(index, wild, pack))
 
 
 def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] | None = None,
-              index: trigrams.TrigramIndex | None = None) -> DataFrame:
+              pattern_block: int = trigrams.PACK, index: trigrams.TrigramIndex | None = None) -> DataFrame:
     """Answer a table of tool calls (call_id, name, args JSON) over a corpus (path, text).
 
     ``read`` gives one row per call, ``grep`` and ``glob`` one row per hit.  An unknown or missing name, a
@@ -152,7 +152,8 @@ def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] |
     function(calls, corpus) -> rows.
 
     Equal patterns are searched once, over a trigram index of the texts (``index``, else one is built for this run) and one
-    of the paths; the hits meet their calls in a join, so the number of calls or patterns does not matter to the driver.
+    of the paths; at most ``pattern_block`` patterns meet a block of text at once.  Hits meet their calls in a join, so the number of
+    calls or patterns does not matter to the driver.
     """
     arg = F.try_parse_json("args")
     calls = calls.withColumns({
@@ -182,11 +183,11 @@ def run_calls(calls: DataFrame, corpus: DataFrame, extra: dict[str, Callable] |
     good = cut_lineage(patterns.filter(F.col("_error").isNull()).select("name", F.col("_pat").alias("pattern")))
     greps, globs = good.filter("name = 'grep'"), good.filter("name = 'glob'")
     if not greps.isEmpty():
-        hits = trigrams.search(index or trigrams.build_index(corpus), greps.select("pattern", F.col("pattern").alias("regex")))
+        hits = trigrams.search(index or trigrams.build_index(corpus), greps.select("pattern", F.col("pattern").alias("regex")), pattern_block)
         outputs.append(_answered(searches, "grep", hits, F.concat(
             F.coalesce(F.concat("path", F.lit(":")), F.lit("")), F.col("line_no").cast("string"), F.lit(":"), F.col("line"))))
     if not globs.isEmpty():
-        outputs.append(_answered(searches, "glob", _glob_hits(globs, corpus), F.col("path")))
+        outputs.append(_answered(searches, "glob", _glob_hits(globs, corpus, pattern_block), F.col("path")))
     known = ["read", "grep", "glob", *(extra or {})]
     unknown = calls.filter(F.col("name").isNull() | ~F.col("name").isin(*known))
     outputs.append(failed(unknown, F.concat(F.lit("error: unknown tool '"), F.coalesce("name", F.lit("null")), F.lit("'"))))

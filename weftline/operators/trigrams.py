@@ -162,31 +162,31 @@ def _hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(out, columns=["pattern", "path", "line_no", "line"])
 
 
-def _packed(index: TrigramIndex, found: DataFrame) -> DataFrame:
-    """Texts of the blocks in ``found(pattern, regex, block)``, each with at most ``PACK`` of its patterns."""
+def _packed(index: TrigramIndex, found: DataFrame, pack: int) -> DataFrame:
+    """Texts of the blocks in ``found(pattern, regex, block)``, each with at most ``pack`` of its patterns."""
     found = shared_table(found, "candidates")
     place = F.row_number().over(Window.partitionBy("block").orderBy("pattern")) - 1
-    packed = found.withColumn("pack", F.floor(place / PACK)).groupBy("block", "pack").agg(F.collect_list(F.struct("pattern", "regex")).alias("patterns")).drop("pack")
+    packed = found.withColumn("pack", F.floor(place / pack)).groupBy("block", "pack").agg(F.collect_list(F.struct("pattern", "regex")).alias("patterns")).drop("pack")
     some = [r["block"] for r in found.select("block").distinct().limit(LISTED_BLOCKS + 1).collect()]
     blocks = index.blocks.filter(F.col("block").isin(some)) if len(some) <= LISTED_BLOCKS else index.blocks
     return packed.join(blocks, "block").select("patterns", "path", "first_line", "text")
 
 
-def verify(index: TrigramIndex, found: DataFrame) -> DataFrame:
+def verify(index: TrigramIndex, found: DataFrame, pack: int = PACK) -> DataFrame:
     """Hits of given candidates ``(pattern, regex, block)``, in the form of :func:`search`."""
-    return _packed(index, found).mapInPandas(_hits, _HITS)
+    return _packed(index, found, pack).mapInPandas(_hits, _HITS)
 
 
-def search(index: TrigramIndex, patterns: DataFrame) -> DataFrame:
+def search(index: TrigramIndex, patterns: DataFrame, pack: int = PACK) -> DataFrame:
     """Hits ``(pattern, path, line_no, line)`` of every expression in ``patterns(pattern, regex)``.
 
-    Patterns are distinct.  Expressions without a required trigram are searched in every block, in packs, by one join.
+    Patterns are distinct.  Expressions without a required trigram are searched in every block, in packs of ``pack``, by one join.
     """
     patterns = shared_table(patterns.select("pattern", "regex"), "patterns")
-    met = _packed(index, candidates(index, patterns))
+    met = _packed(index, candidates(index, patterns), pack)
     one = F.struct("pattern", "regex")
     loose = patterns.filter(F.size(F.udf(required_grams, "array<string>", useArrow=True)("regex")) == 0)
-    n_packs = -(-loose.count() // PACK)
+    n_packs = -(-loose.count() // pack)
     if n_packs:
         packs = loose.groupBy(F.pmod(F.xxhash64("regex", "pattern"), F.lit(n_packs)).alias("pack")).agg(F.collect_list(one).alias("patterns"))
         everywhere = index.blocks.withColumn("pack", F.explode(F.expr(f"sequence(0L, {n_packs - 1}L)")))
