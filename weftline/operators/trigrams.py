@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -72,8 +73,18 @@ def path_index(corpus: DataFrame, where: str | None = None) -> TrigramIndex:
 
 
 def _with_postings(blocks: DataFrame, where: str | None) -> TrigramIndex:
-    rows = blocks.select("block", F.explode(F.udf(block_grams, "array<string>", useArrow=True)("text")).alias("gram"))
-    postings = shared_table(rows.select("gram", "block").repartitionByRange("gram", "block").sortWithinPartitions("gram", "block"), "postings", where)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):  # a block has up to one trigram per character
+                part = batch.slice(at, 64)
+                found = [(block, block_grams(text)) for block, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([g for _, gs in found for g in gs], pa.string()),
+                    pa.array([b for b, gs in found for _ in gs], pa.int64())], ["gram", "block"])
+
+    # stored before it is sorted, because sampling the ranges would make all trigrams twice
+    raw = shared_table(blocks.select("block", "text").mapInArrow(rows, "gram string, block bigint"), "trigrams")
+    postings = shared_table(raw.repartitionByRange("gram", "block").sortWithinPartitions("gram", "block"), "postings", where)
     return TrigramIndex(blocks, postings, shared_table(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "grams", where))
 
 
