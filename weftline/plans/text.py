@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from weftline.functions import plugs
 from weftline.functions import text as X
 from weftline.operators import brands as B
+from weftline.operators import dictionary
 from weftline.operators import summaries as S
 from weftline.operators import tokens as K
 from weftline.plans import Catalog, Tables
@@ -244,6 +245,36 @@ def _(t):
     return titles(t).select("p_partkey", B.known_brand(F.col("title"), KNOWN).alias("brand"))
 
 
+@catalog.add("bx_01_dictionary_brands", f"""
+with {SQL_TITLES}, d as (select distinct unnest([lower(p_name), lower(p_brand), lower(p_type), concat(lower(p_name), ' ', lower(p_brand))]) as name from part),
+k as (select p_partkey, title, name as k from t join d on name <> '' and contains(lower(title), name)
+      qualify row_number() over (partition by p_partkey order by length(name) desc, name) = 1)
+select p_partkey, title[instr(lower(title), k)::BIGINT:(instr(lower(title), k) + length(k) - 1)::BIGINT] as brand
+from t left join k using (p_partkey, title)""")
+def _(t):
+    name, brand = F.lower("p_name"), F.lower("p_brand")
+    names = t.part.select(F.explode(F.array(name, brand, F.lower("p_type"), F.concat(name, F.lit(" "), brand))).alias("name"))
+    asked = titles(t).select("p_partkey", "title")
+    found = dictionary.longest_names(asked.withColumn("low", F.lower("title")), "low", ["p_partkey", "title"], dictionary.build(names))
+    cut = F.substr("title", (F.col("begin") + 1).cast("int"), F.length("name"))
+    return asked.select("p_partkey").join(found.select("p_partkey", cut.alias("brand")), "p_partkey", "left")
+
+
+@catalog.add("ud_04_dictionary_hits", """
+with d as (select distinct unnest(string_split_regex(lower(text), '\\s+')) as name from benchmark),
+l as (select distinct length(name) as n from d where name <> ''),
+p as (select doc_id, lower(text) as low, unnest(range(1, length(text) + 1)) as pos from documents),
+h as (select doc_id, name, count(*) as n from (select doc_id, substr(low, pos, l.n) as name from p, l) join d using (name)
+      where name <> '' group by doc_id, name),
+s as (select doc_id, sum(n)::BIGINT as n_hits, count(*) as n_names, arg_max(name, (n, name)) as top_name from h group by doc_id)
+select doc_id, coalesce(n_hits, 0) as n_hits, coalesce(n_names, 0) as n_names, top_name from documents left join s using (doc_id)""")
+def _(t):
+    names = t.benchmark.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("name"))
+    counts = dictionary.name_counts(t.documents.select("doc_id", F.lower("text").alias("low")), "low", ["doc_id"], dictionary.build(names))
+    totals = counts.groupBy("doc_id").agg(F.sum("n").alias("n_hits"), F.count(F.lit(1)).alias("n_names"), F.max_by("name", F.struct("n", "name")).alias("top_name"))
+    return t.documents.select("doc_id").join(totals, "doc_id", "left").fillna(0, ["n_hits", "n_names"])
+
+
 CANDIDATES = ("p_brand", "concat(p_name, ' Inc')", "p_name", "concat('Sony ', p_type)", "concat(p_type, ' of old')",
               "concat(p_name, ' ', p_name, ' x')", "'q'")
 _SKIPS = " or ".join(f"regexp_matches(c, '{p}')" for p in B.SKIP_PATTERNS)
