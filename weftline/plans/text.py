@@ -261,18 +261,16 @@ def _(t):
 
 
 @catalog.add("ud_04_dictionary_hits", """
-with d as (select distinct unnest(string_split_regex(lower(text), '\\s+')) as name from benchmark),
-l as (select distinct length(name) as n from d where name <> ''),
-p as (select doc_id, lower(text) as low, unnest(range(1, length(text) + 1)) as pos from documents),
-h as (select doc_id, name, count(*) as n from (select doc_id, substr(low, pos, l.n) as name from p, l) join d using (name)
-      where name <> '' group by doc_id, name),
-s as (select doc_id, sum(n)::BIGINT as n_hits, count(*) as n_names, arg_max(name, (n, name)) as top_name from h group by doc_id)
-select doc_id, coalesce(n_hits, 0) as n_hits, coalesce(n_names, 0) as n_names, top_name from documents left join s using (doc_id)""")
+with d as materialized (select distinct unnest(string_split_regex(lower(text), '\\s+')) as name from benchmark),
+l as materialized (select doc_id, lower(text) as low from documents),
+s as (select doc_id, count(*) as n_names, arg_max(name, (length(name), name)) as longest_name
+      from l join d on name <> '' and contains(low, name) group by doc_id)
+select doc_id, coalesce(n_names, 0) as n_names, longest_name from documents left join s using (doc_id)""")
 def _(t):
     names = t.benchmark.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("name"))
     counts = dictionary.name_counts(t.documents.select("doc_id", F.lower("text").alias("low")), "low", ["doc_id"], dictionary.build(names))
-    totals = counts.groupBy("doc_id").agg(F.sum("n").alias("n_hits"), F.count(F.lit(1)).alias("n_names"), F.max_by("name", F.struct("n", "name")).alias("top_name"))
-    return t.documents.select("doc_id").join(totals, "doc_id", "left").fillna(0, ["n_hits", "n_names"])
+    totals = counts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_names"), F.max_by("name", F.struct(F.length("name"), "name")).alias("longest_name"))
+    return t.documents.select("doc_id").join(totals, "doc_id", "left").fillna(0, ["n_names"])
 
 
 CANDIDATES = ("p_brand", "concat(p_name, ' Inc')", "p_name", "concat('Sony ', p_type)", "concat(p_type, ' of old')",
