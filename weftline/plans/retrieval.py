@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weftline.functions import plugs
 from weftline.functions import text as X
 from weftline.functions import vectors as V
-from weftline.operators import answers, chunking, neighbours
+from weftline.operators import answers, chunking, neighbours, pruned_search
 from weftline.operators.lookup import lookup_join
 from weftline.operators.ordering import first_per_key
 from weftline.plans import Catalog, Tables
@@ -290,16 +290,26 @@ def keyed(t: Tables) -> tuple[DataFrame, DataFrame]:
             e.select(F.col("vec_id").alias("question"), "embedding"))
 
 
-@catalog.add("vr_15_batch_knn", f"""
+SQL_BATCH_KNN = f"""
 with s as (select a.vec_id as question, b.vec_id as key,
     list_cosine_similarity(a.{EMB}, b.{EMB}) as score from embeddings a, embeddings b),
 n as (select *, row_number() over (partition by question order by score desc, key) as rank from s)
-select question, rank::BIGINT as rank, key, round(score, 6) as score from n where rank <= 5""")
+select question, rank::BIGINT as rank, key, round(score, 6) as score from n where rank <= 5"""
+
+
+@catalog.add("vr_15_batch_knn", SQL_BATCH_KNN)
 def _(t):
     corpus, questions = keyed(t)
     return neighbours.knn_join(corpus, questions, 5).withColumn("score", F.round("score", 6))
 
 
+@catalog.add("vr_15_pruned_knn", SQL_BATCH_KNN)
+def _(t):
+    corpus, questions = keyed(t)
+    answer = pruned_search.pruned_knn(pruned_search.store_lists(corpus), questions, 5)
+    return answer.result.withColumn("score", F.round("score", 6))
+
+
 SQL_LISTS = f"""
  m as (select label, dim, avg(x) as x from ({SQL_PLACES}) group by label, dim),
  c as (select label as list_id, list(x order by dim) as cv from m group by label),
