@@ -583,3 +583,20 @@ def test_quality_on_held_out_rows(spark):
     assert len(got) == len(rows) and all(0 <= g["score"] <= 1 for g in got)
     assert cotraining.score(docs.limit(0), model).count() == 0
     assert cotraining.score(docs.select("doc_id", "text"), model).count() == len(rows)
+
+
+def test_quality_without_labels_and_with_repeated_rows(spark):
+    schema, marks = "doc_id bigint, text string, lang string, source string, n_chars bigint, y string", "doc_id bigint, quality int"
+    rows = [(i, f"some words of text {i} " * (1 + i % 7), "en", f"s{i % 3}", 5 * i, "y") for i in range(60)]
+    docs, none = spark.createDataFrame(rows, schema), spark.createDataFrame([], marks)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], marks)
+    for d, m in ((docs, none), (docs.limit(0), labels), (docs.limit(0), none), (docs, spark.createDataFrame([(None, 1), (7, None)], marks))):
+        model = cotraining.train(d, m)
+        assert [r["score"] for r in cotraining.score(docs, model).collect()] == [0.5] * 60
+        assert cotraining.score(docs.limit(0), model).count() == 0
+    once = cotraining.train(docs, labels)
+    many = cotraining.train(docs.union(docs).union(docs), labels)
+    score = lambda m: sorted((r["doc_id"], r["score"]) for r in cotraining.score(docs, m).select("row.doc_id", "score").collect())
+    assert score(once) == score(many)
+    two = docs.union(spark.createDataFrame([(i, f"another text {i}", None, None, None, "z") for i in range(60)], schema))
+    assert score(cotraining.train(two, labels)) == score(cotraining.train(two.repartition(7), labels))

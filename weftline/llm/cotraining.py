@@ -126,12 +126,19 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def constant_model() -> QualityModel:
+    """What is known without labels: every score is one half."""
+    flat = [View(BoostedTrees([np.zeros(0)] * n, np.zeros((0, 1), np.int64), np.zeros((0, 1), np.int64), np.zeros((0, 2)), 0.0))
+            for n in (N_CONTENT, N_METADATA)]
+    return QualityModel(*flat, 0.5)
+
+
 def co_train(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, more_content: np.ndarray, more_metadata: np.ndarray,
              rounds: int = 4, step: float = 0.05, sure: float = 0.9, trees: int = 25) -> QualityModel:
     """Fit both views on labels ``y`` and exchange pseudo-labels for the further rows.
 
     Each round a view hands over at most ``step`` of the further rows, in the classes' proportion,
-    and only rows whose class it gives at least ``sure``.
+    and only rows whose class it gives at least ``sure``.  Without labels the model is :func:`constant_model`.
     """
     prior = float(np.clip(y.mean() if len(y) else 0.5, 0.02, 0.98))
     aside = np.arange(len(y)) % 4 == 3
@@ -139,9 +146,9 @@ def co_train(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, more_cont
     train = [(x[~aside], y[~aside].astype(float)) for x in views]
     pool = [more_content, more_metadata]
     free = [np.ones(len(more_content), bool) for _ in views]
-    models = [fit(x, t, trees, 3) if len(t) else None for x, t in train]
-    if models[0] is None:
-        raise ValueError("no labelled rows to learn from")
+    if not len(y):
+        return constant_model()
+    models = [fit(x, t, trees, 3) for x, t in train]
     for _ in range(rounds if len(more_content) else 0):
         handed = []
         for k, model in enumerate(models):
@@ -186,10 +193,12 @@ def _views(df: DataFrame, carry: list[str], finish, fields: str) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled: int = 6000, max_unlabelled: int = 12000) -> QualityModel:
     """Fit on a bounded sample of labelled documents (none of the held-out third) and of unlabelled ones.
 
-    Of contradictory or repeated labels of one id the smallest counts; null ids and labels take no part.
+    Of contradictory or repeated labels of one id the smallest counts; null ids and labels take no part.  Of rows that
+    repeat an id one is taken, the same in every run.  Without labelled documents every score will be one half.
     """
     marks = labels.select("doc_id", W.column(label).alias("y")).dropna().groupBy("doc_id").agg(F.min("y").alias("y"))
-    docs = docs.filter(F.col("doc_id").isNotNull())
+    used = [W.column(c) for c in ("text", "lang", "source", "n_chars") if c in docs.columns]
+    docs = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", *used)
     order = F.xxhash64(F.lit(3), "doc_id"), F.col("doc_id")
     known = marks.filter(~is_held_out(F.col("doc_id"))).orderBy(*order).limit(max_labelled)
     ids = docs.select("doc_id").join(marks.select("doc_id"), "doc_id", "left_anti")
@@ -200,10 +209,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labell
         return [W.list_array(x.ravel(), np.full(len(x), N_CONTENT), pa.float64()), W.list_array(m.ravel(), np.full(len(m), N_METADATA), pa.float64())]
 
     picked = docs.join(F.broadcast(chosen), "doc_id")  # at most max_labelled + max_unlabelled ids
+    picked = picked.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64(*used).alias("h"), "y", *used)).alias("r")).select("doc_id", "r.*")
     rows = _views(picked, ["doc_id", "y"], flat, "x array<double>, m array<double>").select("row.*", "x", "m").toPandas()
     rows = rows.sort_values("doc_id", ignore_index=True)
     if not (rows["y"] >= 0).any():
-        raise ValueError("no labelled documents outside the held-out third")
+        return constant_model()
     x, m, y = np.stack(rows["x"]), np.stack(rows["m"]), rows["y"].to_numpy()
     k = y >= 0
     return co_train(x[k], m[k], y[k], x[~k], m[~k])
