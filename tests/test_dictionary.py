@@ -88,3 +88,15 @@ def test_work_follows_the_text(monkeypatch):
         automaton.search(data, dictionary.np.array([0, len(data)]))
         looked.append(count[0] / len(text))
     assert max(looked) < 2.1
+
+
+def test_written_out_states_are_the_same(case):
+    """A small automaton's whole table gives what its edges and failure links give."""
+    names, texts, _ = case
+    automaton = Automaton.build(sorted(n.encode() for n in names))
+    coded = [(x or "").encode() for _, x in texts]
+    data = dictionary.np.frombuffer(b"".join(coded), dictionary.np.uint8)
+    offsets = dictionary.np.cumsum([0, *map(len, coded)])
+    linked = automaton.search(data, offsets)
+    automaton.densify()
+    assert len(linked[0]) and all((a == b).all() for a, b in zip(linked, automaton.search(data, offsets)))

@@ -28,6 +28,7 @@ SHARD_BYTES = 4 << 20  # name bytes of one automaton, and so its largest number
 SHARDS_PER_PASS = 4  # automata that travel together: at most about 20 bytes per node
 SLICE_BYTES = 1 << 20  # text bytes read in step; a longer text is a slice of its own
 LANE_BYTES = 512
+DENSE_NODES = 1 << 15  # automata up to this size get a whole table of next states (32 MiB), the same states by one look
 _SCRAMBLE = np.uint64(0x9E3779B97F4A7C15)
 _STORED = "shard int, data binary, offsets binary, edges binary, fail binary, first_out binary, name_of binary"
 
@@ -55,6 +56,7 @@ class Automaton:
             rest, slot = rest[lost], (slot[lost] + 1) & self._mask
         self.root = self._child(np.zeros(256, np.int64), np.arange(256))
         self.fail = self.first_out = self.name_of = np.zeros(1, np.int32)
+        self.table: np.ndarray | None = None
 
     @classmethod
     def build(cls, names: list[bytes]) -> Automaton:
@@ -99,6 +101,8 @@ class Automaton:
 
     def step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """Next states: the child, else the child of the nearest failure state that has one, else the root."""
+        if self.table is not None:
+            return self.table[state, byte]
         out, state = self.root[byte], state.copy()
         todo = np.flatnonzero(state)
         while len(todo):
@@ -110,6 +114,18 @@ class Automaton:
             todo = todo[state[todo] > 0]
         return out
 
+    def densify(self) -> None:
+        """Write all next states out, level by level: those of the failure state, with the node's own children over them."""
+        edges = self.edge_of[1:]
+        table = np.zeros((len(self.edge_of), 256), np.int32)
+        low, high = 0, 1
+        while low < high:
+            table[low:high] = table[self.fail[low:high]]
+            first, last = np.searchsorted(edges, [low * 256, high * 256])
+            table[edges[first:last] >> 8, edges[first:last] & 255] = np.arange(first + 1, last + 1)
+            low, high = first + 1, last + 1
+        self.table = table
+
     def name(self, k: int) -> str:
         return self.data[self.offsets[k]:self.offsets[k + 1]].tobytes().decode()
 
@@ -195,6 +211,8 @@ def _load(token: str, stored: list[dict]) -> list[Automaton]:
         for row in stored:
             a = Automaton(np.frombuffer(row["data"], np.uint8), np.frombuffer(row["offsets"], np.int64), np.frombuffer(row["edges"], np.int64))
             a.fail, a.first_out, a.name_of = (np.frombuffer(row[k], np.int32) for k in ("fail", "first_out", "name_of"))
+            if len(a.edge_of) <= DENSE_NODES:
+                a.densify()
             done.append(a)
         _loaded[token] = done
     return _loaded[token]
