@@ -21,10 +21,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from weftline.functions import vectors as V
-from weftline.operators.neighbours import METRICS, QUESTION_BYTES, knn_join
+from weftline.operators.lookup import lookup_join
+from weftline.operators.neighbours import METRICS, _Best, _no_rows, _offer_rows, _sortable
 from weftline.session import shared_table
 
 SAMPLE_ROWS = 10_000  # rows the centres are fitted on; every row is stored and may be found
+BLOCK_BYTES = 2 << 20  # vectors of one side that are scored together in a task
 APART = -1  # list of the vectors without a direction
 _FINITE = "embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
 _SLACK = 1e-6  # covers the rounding of the bounds, relative to the distances
@@ -121,8 +123,66 @@ def store_lists(corpus: DataFrame, lists: int = 64, *, metric: str = "cosine", k
     return StoredLists(stored.drop("far"), metric, ids, middle, stats["r"].to_numpy(float), stats["n"].to_numpy(int))
 
 
+def _blocks(n: np.ndarray, per: int) -> tuple[list[int], list[int]]:
+    """First block and number of blocks of each list: lists up to ``per`` rows are packed together, larger ones are cut."""
+    first, count = [], []
+    block, used = 0, 0
+    for size in n.tolist():
+        if used and used + size > per:
+            block, used = block + 1, 0
+        first.append(block)
+        count.append(max(1, -(-size // per)))
+        if size > per:
+            block += count[-1]
+        else:
+            used += size
+    return first, count
+
+
+def _score_cells(lists: StoredLists, probes: DataFrame, k: int, round_first: int | None, block_bytes: int) -> DataFrame:
+    """The k best rows of each cell for ``probes(question, embedding, lists)``, of the named lists only: (question, key, score)."""
+    metric = lists.metric
+    per = max(1, block_bytes // (8 * max(1, lists.centres.shape[1]) + 64))
+    first, count = (dict(zip(lists.ids.tolist(), x)) for x in _blocks(lists.n, per))
+
+    def of(table: dict, list_id):  # at most as many entries as there are lists
+        return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), list_id)
+
+    span = F.transform("lists", lambda i: F.sequence(of(first, i), of(first, i) + of(count, i) - 1))
+    met = probes.withColumn("block", F.explode(F.array_distinct(F.flatten(span))))
+    parts = probes.select(F.explode(F.array_distinct(F.flatten(span))).alias("block")).groupBy("block").agg(
+        F.ceil(F.count(F.lit(1)) / per).cast("int").alias("parts"))
+    home = of(first, F.col("list_id")) + F.pmod(F.xxhash64("key"), of(count, F.col("list_id"))).cast("int")
+    rows = lookup_join(lists.rows.withColumn("block", home), parts, ["block"])  # blocks that nobody asks for stay behind
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    asks = lookup_join(met, parts, ["block"]).withColumn("part", F.pmod(F.xxhash64("question", F.lit(7)), F.col("parts")).cast("int")).drop("parts")
+    schema = T.StructType([T.StructField("question", probes.schema["question"].dataType),
+                           T.StructField("key", lists.rows.schema["key"].dataType), T.StructField("score", T.DoubleType())])
+
+    def score(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(stored):
+            return _no_rows()
+        best = _Best(len(asked), k, metric == "cosine")
+        q, x = np.vstack(asked["embedding"].to_numpy()), np.vstack(stored["embedding"].to_numpy())
+        keys, home = _sortable(stored["key"]), stored["list_id"].to_numpy()
+        wanted = [set(w) for w in asked["lists"]]
+        for i in np.unique(home).tolist():
+            own, slots = np.flatnonzero(home == i), np.flatnonzero([i in w for w in wanted])
+            if len(slots):
+                _offer_rows(best, keys[own], None, x[own], q[slots], None, slots, metric, round_first)
+        return best.frame(asked["question"].to_numpy())
+
+    return asks.groupBy("block", "part").cogroup(rows.groupBy("block", "part")).applyInPandas(score, schema)
+
+
+def _best_of(hits: DataFrame, k: int, metric: str) -> DataFrame:
+    best = F.desc("score") if metric == "cosine" else F.asc("score")
+    ranked = Window.partitionBy("question").orderBy(best, F.asc("key"))
+    return hits.withColumn("rank", F.row_number().over(ranked).cast("bigint")).filter(F.col("rank") <= k)
+
+
 def pruned_knn(lists: StoredLists, questions: DataFrame, k: int, *, question_col: str = "question", vector_col: str = "embedding",
-               round_first: int | None = None, block_bytes: int = QUESTION_BYTES) -> Answer:
+               round_first: int | None = None, block_bytes: int = BLOCK_BYTES) -> Answer:
     """The rows :func:`weftline.operators.neighbours.knn_join` gives, from the lists that may hold them."""
     spark, metric = lists.rows.sparkSession, lists.metric
     shipped = spark.sparkContext.broadcast((lists.ids, lists.centres, lists.radius, lists.n))
@@ -161,14 +221,16 @@ def pruned_knn(lists: StoredLists, questions: DataFrame, k: int, *, question_col
             yield pd.Series(out, dtype=object)
 
     if not len(lists.ids):
-        nothing = knn_join(lists.rows, asks, k, metric=metric)
-        return Answer(nothing, nothing.select("question", F.lit(0).alias("list_id"), F.lit(0).cast("bigint").alias("n")), 0)
+        key = lists.rows.schema["key"].dataType
+        nothing = asks.limit(0).select("question", F.lit(0).cast("bigint").alias("rank"), F.lit(None).cast(key).alias("key"),
+                                       F.lit(0.0).alias("score"))
+        return Answer(nothing, nothing.select("question", F.lit(0).alias("list_id"), F.col("rank").alias("n")), 0)
 
-    def score(probes: DataFrame) -> DataFrame:
-        return knn_join(lists.rows, probes, k, metric=metric, scope="list_id", round_first=round_first, block_bytes=block_bytes)
+    def score(probes: DataFrame, names: str) -> DataFrame:
+        return _score_cells(lists, probes.select("question", "embedding", F.col(names).alias("lists")), k, round_first, block_bytes)
 
     begun = shared_table(asks.withColumn("had", first_lists("embedding")), "questions")
-    seen = shared_table(score(begun.select("question", "embedding", F.explode("had").alias("list_id"))), "first-hits")
+    seen = shared_table(_best_of(score(begun, "had"), k, metric).drop("rank"), "first-hits")
     worst = F.min("score") if metric == "cosine" else F.max("score")
     edge = F.col("edge")
     lenient = 0.0 if round_first is None else 10.0 ** -round_first  # rows that round to the same score count as ties
@@ -182,10 +244,7 @@ def pruned_knn(lists: StoredLists, questions: DataFrame, k: int, *, question_col
         "question", F.when(F.col("n") >= k, distance).alias("bound"))
     more = begun.join(bounds, "question", "left").withColumn("more", further_lists("embedding", "bound", "had"))
     more = shared_table(more.select("question", "embedding", "had", "more"), "visits")
-    hits = seen.unionByName(score(more.select("question", "embedding", F.explode("more").alias("list_id"))))
-    best = F.desc("score") if metric == "cosine" else F.asc("score")
-    ranked = Window.partitionBy("question").orderBy(best, F.asc("key"))
-    result = hits.withColumn("rank", F.row_number().over(ranked).cast("bigint")).filter(F.col("rank") <= k).select("question", "rank", "key", "score")
+    result = _best_of(seen.unionByName(score(more, "more")), k, metric).select("question", "rank", "key", "score")
     sizes = spark.createDataFrame(list(zip(lists.ids.tolist(), lists.n.tolist())), "list_id int, n bigint")
     visits = more.select("question", F.explode(F.concat("had", "more")).alias("list_id")).join(F.broadcast(sizes), "list_id")
     return Answer(result, visits.select("question", "list_id", "n"), int(lists.n.sum()))
