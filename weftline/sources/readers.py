@@ -13,6 +13,7 @@ from weftline.operators.export import EXPORT_SCHEMA
 from weftline.operators.lookup import lookup_join
 from weftline.operators.requests import RESPONSE_SCHEMA
 from weftline.session import cut_lineage
+from weftline.sources import json_array
 
 # File types of a document tree.
 DOCUMENT_TYPES = ("md", "py", "js", "ts", "java", "c", "cpp", "h", "html", "css", "txt")
@@ -35,15 +36,15 @@ def exports(spark: SparkSession, path) -> DataFrame:
     """Conversations of export files (one JSON array each) with file and place ``ord``.
 
     The map of messages is declared, never inferred: inference would turn keys into columns.
-    A file that is no JSON array is an error.
+    A large file is read by many tasks.  A file that is no JSON array is an error, and so is a damaged element, named by its first byte.
     """
-    files = _whole_files(spark, path)
-    parsed = F.from_json("text", f"array<struct<{EXPORT_SCHEMA}>>")
-    whole = F.when(parsed.isNotNull(), parsed).otherwise(_damaged("export", F.col("file")))
-    rows = files.select("file", F.posexplode(whole).alias("ord", "c"))
+    found = json_array.elements(spark, path, what="export")
+    parsed = F.from_json(F.concat(F.lit("["), "text", F.lit("]")), f"array<struct<{EXPORT_SCHEMA}>>")
+    one = F.when(F.size(parsed) == 1, parsed[0]).otherwise(_damaged("export", F.col("file"), F.lit("at byte"), F.col("offset")))
+    rows = found.select("file", "ord", one.alias("c"))
     # times go through a variant: it keeps the digits of a number as they were written
     return rows.select(
-        "file", F.col("ord").cast("bigint").alias("ord"), "c.title", "c.id",
+        "file", "ord", "c.title", "c.id",
         F.try_variant_get("c.create_time", "$", "string").alias("create_time"),
         F.try_variant_get("c.update_time", "$", "string").alias("update_time"), "c.mapping")
 
