@@ -249,3 +249,23 @@ def test_registered_function_types(spark):
     got = spark.sql("SELECT * FROM weft_chunks(repeat('x', 300))").collect()
     assert [(r["chunk_index"], len(r["chunk_text"])) for r in got] == [(0, 256), (1, 76)]
     assert isinstance(spark.sql("SELECT chunk_text FROM weft_chunks('')").schema[0].dataType, StringType)
+
+
+def test_numbers_of_repeated_and_null_keys(spark):
+    text = "ab " * 200
+    rows = [(1, text), (1, text), (1, "one two"), (None, "x y z"), (None, "x y z"), (2, ""), (3, None), (2, "a b\n\n c \nd e\n")]
+    docs = spark.createDataFrame(rows, "k bigint, text string").repartition(4)
+    got = chunking.indexed_chunks(docs, "k").collect()
+    assert sorted(int(r["id"][4:]) for r in got) == list(range(10))
+    assert [(r["metadata"]["file_path"], r["document"]) for r in sorted(got, key=lambda r: int(r["id"][4:]))][:2] == [(None, "x y z")] * 2
+    per_row = {r["id"]: r["document"] for r in got}
+    long = sorted(int(i[4:]) for i, d in per_row.items() if d.startswith("ab ") or d.startswith("b "))
+    assert len([r for r in got if r["metadata"]["chunk"] == 2]) == 2 and long
+    lines = chunking.checked_lines(docs, ["k"]).collect()
+    assert sorted(r["line_id"] for r in lines if r["reason"] is None) == list(range(7))
+    assert sorted((r["line_no"], r["text"], r["reason"] is None) for r in lines if r["k"] == 2) == [
+        (0, "a b", True), (1, "", False), (2, "c", False), (3, "d e", True)]
+    unique = docs.filter("k = 2")
+    old = chunking.check_lines(chunking.lines(unique, ["k"]), ["k", "line_no"])
+    columns = ["k", "line_no", "text", "reason", "line_id"]
+    assert sorted(map(str, old.select(*columns).collect())) == sorted(map(str, chunking.checked_lines(unique, ["k"]).select(*columns).collect()))

@@ -32,13 +32,18 @@ def context_block(document_id: Column, chunk_index: Column, text: Column) -> Col
                     F.lit("]\n"), text)
 
 
-def assemble_context(hits: DataFrame, block: Column, by: str = "question", rank: str = "rank") -> DataFrame:
-    """Join the k blocks of a question in rank order; a group never exceeds k rows."""
-    ordered = F.sort_array(F.collect_list(F.struct(F.col(rank), block.alias("block"))))
-    return hits.groupBy(by).agg(
-        F.array_join(F.transform(ordered, lambda s: s["block"]), "\n\n").alias("context"),
-        F.count(F.lit(1)).alias("chunks_used"),
-    )
+def assemble_context(hits: DataFrame, block: Column, by: str = "question", rank: str = "rank",
+                     also: dict[str, Column] | None = None, top: dict[str, Column] | None = None) -> DataFrame:
+    """Join the k blocks of a question in rank order; a group never exceeds k rows.
+
+    ``also`` names further contexts of the same hits, ``top`` values of the best hit; all come from one grouping.
+    """
+    texts, best = {"context": block, **(also or {})}, top or {}
+    hit = F.struct(F.col(rank).alias("_rank"), *[c.alias(n) for n, c in {**texts, **best}.items()])
+    grouped = hits.groupBy(by).agg(F.sort_array(F.collect_list(hit)).alias("_hits"), F.count(F.lit(1)).alias("chunks_used"))
+    return grouped.select(
+        by, *[F.array_join(F.transform("_hits", lambda s, n=n: s[n]), "\n\n").alias(n) for n in texts], "chunks_used",
+        *[F.col("_hits")[0][n].alias(n) for n in best])
 
 
 def fill_prompt(template: str, context: Column, question: Column) -> Column:

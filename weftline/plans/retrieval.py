@@ -153,8 +153,7 @@ select doc_id, line_no::BIGINT as line_no, text, reason,
   case when reason is null then
     (row_number() over (partition by reason is null order by doc_id, line_no) - 1)::BIGINT end as line_id from r""")
 def _(t):
-    lines = chunking.lines(t.documents, ["doc_id"])
-    checked = chunking.check_lines(lines, ["doc_id", "line_no"])
+    checked = chunking.checked_lines(t.documents, ["doc_id"])
     return checked.withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
@@ -399,12 +398,10 @@ def question_contexts(t: Tables) -> DataFrame:
     hit_docs = hits.select(F.substring_index("key", "#", 1).cast("bigint").alias("doc_id")).distinct()
     found = chunking.chunk_table(lookup_join(t.documents.select("doc_id", "text"), hit_docs, ["doc_id"], "left_semi"))
     full = hits.join(found.withColumn("key", chunk_key()), "key")
+    text = F.col("chunk_text")
     contexts = answers.assemble_context(
-        full, answers.context_block(F.col("doc_id"), F.col("chunk_index"), F.col("chunk_text")))
-    plain = answers.assemble_context(full, F.col("chunk_text")).select(
-        "question", F.col("context").alias("plain_context"))
-    top = full.filter("rank = 1").select("question", F.col("chunk_text").alias("top_text"))
-    return contexts.join(plain, "question").join(top, "question").join(asked, "question")
+        full, answers.context_block(F.col("doc_id"), F.col("chunk_index"), text), also={"plain_context": text}, top={"top_text": text})
+    return lookup_join(contexts, asked, ["question"])
 
 
 @catalog.add("vr_18_context_assembly", f"""
