@@ -41,8 +41,9 @@ def assemble_context(hits: DataFrame, block: Column, by: str = "question", rank:
     texts, best = {"context": block, **(also or {})}, top or {}
     hit = F.struct(F.col(rank).alias("_rank"), *[c.alias(n) for n, c in {**texts, **best}.items()])
     grouped = hits.groupBy(by).agg(F.sort_array(F.collect_list(hit)).alias("_hits"), F.count(F.lit(1)).alias("chunks_used"))
+    # a field of an array of structs is the array of that field
     return grouped.select(
-        by, *[F.array_join(F.transform("_hits", lambda s, n=n: s[n]), "\n\n").alias(n) for n in texts], "chunks_used",
+        by, *[F.array_join(F.col("_hits").getField(n), "\n\n").alias(n) for n in texts], "chunks_used",
         *[F.col("_hits")[0][n].alias(n) for n in best])
 
 
