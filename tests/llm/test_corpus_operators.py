@@ -543,6 +543,32 @@ def test_head_ends_without_its_end_tag():
     assert leaves("<body><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p>") == ["Let x=2 hold."]
 
 
+def test_what_stands_in_an_article_belongs_to_it():
+    """Hand-written pages: names of paragraphs, fallback text and controls inside sentences lose nothing, and boxes still go."""
+    model = main_text.trained_model()
+    first = "The court heard the first witness on Monday, and the hearing went on for three days."
+    last = "Its ruling, which is expected in spring, may change how towns plan their streets."
+    own = "Few people expected the change, but it was carried by a large majority in the end."
+
+    def text(inside):
+        return main_text.extract(
+            '<!DOCTYPE html><html><head><title>x</title></head><body><nav><ul><li><a href="/">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
+            f"<article><h1>Streets</h1><p>{first}</p>{inside}<p>{last}</p></article><footer>&copy; Town Paper. All rights reserved.</footer></body></html>", model)
+
+    for inside in (f'<p class="alert">{own}</p>', f'<p class="share">{own}</p>', f'<section id="comments-on-law"><p>{own}</p></section>',
+                   f"<noscript>{own}</noscript>", f"<object>{own}</object>", f"<svg><title>no</title><text>{own}</text></svg>",
+                   f"<video src=x>{own}</video>", f'<p aria-hidden="true">{own}</p>',
+                   f"<p>{own.replace('people', '<label>people</label>').replace('carried', '<button>carried</button>')}</p>"):
+        assert text(inside) == "\n".join(["Streets", first, own, last]), inside
+    for box in (f'<div class="ad">{own}</div>', f'<p class="advert">{own}</p>', f'<div class="cookie-notice">{own}</div>',
+                f'<div class="comments"><p>{own}</p></div>', "<form><label>Mail</label><input><button>Go</button></form>", f"<aside>{own}</aside>",
+                "<button>Share</button>", '<div class="related"><h3>More</h3><ul><li><a href=x>One</a></li><li><a href=y>Two</a></li></ul></div>'):
+        assert text(box) == "\n".join(["Streets", first, last]), box
+    assert main_text.extract(f"<body><noscript>Please switch scripts on.</noscript><article><h1>Streets</h1><p>{first}</p><p>{last}</p></article>", model) == (
+        f"Streets\n{first}\n{last}")
+    assert leaves("<p>He <button>pressed</button> it.</p><div><label>Name</label><label>Mail</label></div>") == ["He pressed it.", "Name", "Mail"]
+
+
 def test_labels_never_contradict():
     model = main_text.trained_model()
     for page in main_text.training_pages(30, seed=8):

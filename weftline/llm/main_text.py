@@ -26,14 +26,15 @@ from weftline.llm import words as W
 from weftline.llm.boosting import BoostedTrees, fit
 
 #: fixed values: element kinds of HTML
-SKIPPED = frozenset("script style noscript template svg iframe object canvas audio video title textarea select option datalist".split())
+SKIPPED = frozenset("script style template iframe title textarea select option datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = frozenset("script style textarea title".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
-    "h5 h6 header hgroup li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul button label legend caption".split())
-CLOSES_P = BLOCKS - frozenset("button label td th tr tbody thead tfoot html body".split())
+    "h5 h6 header hgroup li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul button label legend caption noscript".split())
+IN_LINE = frozenset("button label".split())  # blocks of their own only where no sentence is open
+CLOSES_P = BLOCKS - frozenset("noscript button label td th tr tbody thead tfoot html body".split())
 #: a start tag closes an open element of these kinds, looking up to the nearest of those bounds
 CLOSES = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
           "td": ("td th", "tr table"), "th": ("td th", "tr table")}
@@ -57,6 +58,7 @@ GROUPS = list(TOKENS)
 GROUP_OF = {w: i for i, g in enumerate(GROUPS) for w in TOKENS[g].split()}
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|$)|<(?=/?[a-zA-Z])[^>]*(?:>|$)", re.DOTALL)
 _ATTR = re.compile(r"(=?[^\s/>=]+|=)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")  # one attribute; only white space and / lie between two
+ANCHORED = frozenset("section h1 h2 h3 h4 h5 h6".split())  # an id of three words or more there is an anchor made of a heading
 READ = frozenset("class id role itemprop aria-label data-y style hidden aria-hidden".split())
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -70,7 +72,8 @@ class Node:
         self.links, self.kids, self.text = 0, 0, ""
 
 
-def _attributes(raw: str) -> tuple[int, bool, str | None]:
+def _attributes(raw: str, tag: str = "") -> tuple[int, bool, str | None]:
+    """Token groups, whether the element is not shown, and the known answer.  ``aria-hidden`` hides no block: its text is on the page."""
     groups, gone, truth = 0, False, None
     if raw:
         for m in _ATTR.finditer(raw):
@@ -80,15 +83,20 @@ def _attributes(raw: str) -> tuple[int, bool, str | None]:
             value = m[2] or m[3] or m[4] or ""
             if name == "data-y":
                 truth = value
-            elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true" and tag not in BLOCKS):
                 gone = True
             elif name == "style":
                 gone |= "display:none" in value.replace(" ", "").lower()
             else:
-                for t in _TOKEN.findall(value):
+                tokens = _TOKEN.findall(value)
+                if name == "id" and tag in ANCHORED and len(tokens) > 2:
+                    continue
+                for t in tokens:
                     g = GROUP_OF.get(t.lower())
                     if g is not None:
                         groups |= 1 << g
+    if tag == "p":  # a paragraph belongs where it stands, whatever it is called, unless it is an advert
+        groups &= 1 << GROUPS.index("ads")
     return groups, gone, truth
 
 
@@ -124,10 +132,10 @@ def parse(page: str) -> list[Node]:
     def close(depth: int) -> None:
         nonlocal leaf, link_depth, hidden
         while len(stack) > depth:
-            tag, _ = stack.pop()
+            tag, own = stack.pop()
             if tag == "a":
                 link_depth -= 1
-            elif tag in BLOCKS and hidden is None:
+            elif tag in BLOCKS and hidden is None and own != stack[-1][1]:
                 leaf = None
             if len(stack) == hidden:
                 hidden = None
@@ -180,7 +188,7 @@ def parse(page: str) -> list[Node]:
         if tag == "head":  # a second one means nothing
             in_head = len(nodes) == len(stack) == 1
             continue
-        groups, gone, truth = _attributes(m[3])
+        groups, gone, truth = _attributes(m[3], tag)
         if tag in SKIPPED or gone and m[3].endswith("/"):
             if m[3].endswith("/") and tag not in RAW:
                 continue
@@ -217,8 +225,11 @@ def parse(page: str) -> list[Node]:
                             break
         if gone and hidden is None:
             hidden = len(stack)
-        if tag in BLOCKS and hidden is None:
+        in_line = tag in IN_LINE and (leaf is not None or nodes[stack[-1][1]].tag == "p")
+        if tag in BLOCKS and hidden is None and not in_line:
             leaf = None
+            if tag == "noscript" and not any(t in ("article", "main") for t, _ in stack):
+                groups |= 1 << GROUPS.index("notice")  # there it speaks to the reader's browser; inside an article it repeats what a script shows
             nodes.append(Node(tag, stack[-1][1], groups, False, truth))
             stack.append((tag, len(nodes) - 1))
         else:
