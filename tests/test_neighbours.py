@@ -92,3 +92,22 @@ def test_written_table_is_read_back(spark, data, tmp_path):
     _, corpus, _ = data
     writers.rebuild(corpus, str(tmp_path / "t"), "user_id")
     assert readers.vector_table(spark, str(tmp_path / "t"), 1).count() == 75
+
+
+def test_questions_are_merged_together(monkeypatch):
+    """The interpreter's work follows the slices, not questions times slices; equal vectors tie wherever they stand."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 64))
+    x[300:] = x[:300][rng.permutation(300)]
+    q, calls, offer = x[rng.permutation(600)].repeat(5, axis=0), [], N._Best.offer
+    monkeypatch.setattr(N._Best, "offer", lambda self, *a: (calls.append(1), offer(self, *a))[1])
+    best = N._Best(len(q), 4, True)
+    for lo in range(0, 600, 200):
+        N._offer_rows(best, np.arange(lo, lo + 200), None, x[lo:lo + 200], q, None, np.arange(len(q)), "cosine", None)
+    assert len(calls) < 100
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    score = np.round((q / np.linalg.norm(q, axis=1)[:, None]) @ unit.T, 12)
+    want = np.argsort(-score, axis=1, kind="stable")[:, :4]
+    got = best.frame(np.arange(len(q)))
+    assert got["question"].tolist() == np.repeat(np.arange(len(q)), 4).tolist()
+    assert np.array_equal(got["key"].to_numpy().reshape(-1, 4), want)

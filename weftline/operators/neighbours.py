@@ -21,6 +21,8 @@ from weftline.session import cut_lineage
 
 QUESTION_BYTES = 32 << 20  # largest question block copied to every task
 SCORE_CELLS = 2_000_000  # rows x questions scored at once inside a task
+ASKS_AT_ONCE = 2_000  # questions among them
+PAIRS_AT_ONCE = 10_000  # rows x questions near enough to be scored in double precision at once
 METRICS = ("cosine", "l2", "squared_l2")
 
 
@@ -76,32 +78,45 @@ def _no_rows() -> pd.DataFrame:
 
 
 class _Best:
-    """At most k (score, key) per question, merged batch by batch."""
+    """At most k (score, key) per question, merged batch by batch; one array holds all questions."""
 
     def __init__(self, n_questions: int, k: int, larger_first: bool):
         self.k, self.sign = k, -1.0 if larger_first else 1.0
-        self.kept: list[tuple[np.ndarray, np.ndarray] | None] = [None] * n_questions
-
-    def offer(self, j: int, scores: np.ndarray, keys: np.ndarray) -> None:
-        cost = self.sign * scores
-        if len(cost) > self.k:  # drop what cannot be among the k best; ties at the edge stay
-            edge = np.partition(cost, self.k - 1)[self.k - 1]
-            stay = cost <= edge
-            cost, keys = cost[stay], keys[stay]
-        old = self.kept[j]
-        if old is not None:
-            cost, keys = np.concatenate([old[0], cost]), np.concatenate([old[1], keys])
-        order = np.lexsort((keys, cost))[: self.k]
-        self.kept[j] = (cost[order], keys[order])
+        self.n = np.zeros(n_questions, dtype=np.int64)
+        self.cost = np.full((n_questions, k), np.inf)
+        self.keys: np.ndarray | None = None
+        #: the worst cost kept of each question, infinite until it has k rows
+        self.edge = np.full(n_questions, np.inf)
+
+    def offer(self, slots: np.ndarray, scores: np.ndarray, keys: np.ndarray) -> None:
+        """Pairs of a question's slot and a row; a slot may come any number of times."""
+        if not len(slots) or not self.k:
+            return
+        if self.keys is None:
+            self.keys = np.zeros(self.cost.shape, keys.dtype)
+        elif self.keys.dtype != keys.dtype:
+            self.keys = self.keys.astype(np.promote_types(self.keys.dtype, keys.dtype))
+        met = np.unique(slots)
+        had = np.arange(self.k) < self.n[met][:, None]
+        slots = np.concatenate([np.repeat(met, self.n[met]), slots])
+        cost = np.concatenate([self.cost[met][had], self.sign * scores])
+        keys = np.concatenate([self.keys[met][had], keys])
+        order = np.lexsort((keys, cost, slots))
+        slots, cost, keys = slots[order], cost[order], keys[order]
+        place = np.arange(len(slots)) - np.searchsorted(slots, slots)
+        stay = place < self.k
+        slots, place = slots[stay], place[stay]
+        self.cost[slots, place], self.keys[slots, place] = cost[stay], keys[stay]
+        self.n[met] = np.bincount(np.searchsorted(met, slots), minlength=len(met))
+        full = met[self.n[met] == self.k]
+        worst = self.cost[full, self.k - 1]
+        self.edge[full] = np.where(np.isnan(worst), np.inf, worst)
 
     def frame(self, question_keys: np.ndarray) -> pd.DataFrame:
-        parts = [
-            pd.DataFrame({"question": question_keys[j], "key": kept[1], "score": self.sign * kept[0]})
-            for j, kept in enumerate(self.kept) if kept is not None and len(kept[0])
-        ]
-        if not parts:
+        if self.keys is None:
             return _no_rows()
-        return pd.concat(parts, ignore_index=True)
+        had = np.arange(self.k) < self.n[:, None]
+        return pd.DataFrame({"question": np.repeat(question_keys, self.n), "key": self.keys[had], "score": self.sign * self.cost[had]})
 
 
 def _sortable(values) -> np.ndarray:
@@ -110,29 +125,58 @@ def _sortable(values) -> np.ndarray:
 
 
 def _offer_rows(best: _Best, keys, scopes, x: np.ndarray, q: np.ndarray, q_scope, q_slot,
-                metric: str, round_first: int | None) -> None:
+                metric: str, round_first: int | None, near_q: tuple[np.ndarray, np.ndarray] | None = None) -> None:
     groups = [(np.arange(len(x)), np.arange(len(q)))]
     if scopes is not None:
         groups = [
             (np.flatnonzero(scopes == s), np.flatnonzero(q_scope == s))
             for s in np.intersect1d(np.unique(scopes), np.unique(q_scope))
         ]
+    if metric == "cosine":
+        (scale_x, near_x), (scale_q, near_q) = _directions(x), near_q or _directions(q)
+        # single precision only leaves out what is farther from the edge than its error and the rounding of the score
+        slack = 1.2e-7 * (x.shape[1] + 16) + (0.0 if round_first is None else 10.0**-round_first)
     for rows, asks in groups:
-        step = max(1, SCORE_CELLS // max(1, len(asks)))
+        wide = max(1, min(len(asks), ASKS_AT_ONCE))
+        step = max(1, SCORE_CELLS // wide)
         for lo in range(0, len(rows), step):
             part = rows[lo:lo + step]
-            s = _score_block(x[part], q[asks], metric)
-            if round_first is not None:
-                s = _round_half_up(s, round_first)
-            if len(part) > best.k:  # of each question only what may be among its k best, for the whole slice at once
-                cost = best.sign * s
-                edge = np.partition(cost, best.k - 1, axis=0)[best.k - 1]
-                for col, j in enumerate(asks):
-                    stay = np.flatnonzero(cost[:, col] <= edge[col])
-                    best.offer(q_slot[j], s[stay, col], keys[part[stay]])
-            else:
-                for col, j in enumerate(asks):
-                    best.offer(q_slot[j], s[:, col], keys[part])
+            for at in range(0, len(asks), wide):
+                some = asks[at:at + wide]
+                slots = q_slot[some]
+                if metric == "cosine":
+                    cost = near_x[part] @ -near_q[some].T
+                else:
+                    s = _score_block(x[part], q[some], metric)
+                    s = s if round_first is None else _round_half_up(s, round_first)
+                    cost = best.sign * s
+                edge = best.edge[slots]
+                if len(part) <= best.k:
+                    r, c = np.divmod(np.arange(cost.size), len(some))
+                else:
+                    if np.isinf(edge).any():  # the k best of the slice are a bound as good
+                        edge = np.minimum(edge, np.partition(cost, best.k - 1, axis=0)[best.k - 1] + (slack if metric == "cosine" else 0.0))
+                    r, c = np.nonzero(cost <= (edge + slack if metric == "cosine" else edge).astype(cost.dtype))
+                if not len(r):
+                    continue
+                if metric != "cosine":
+                    best.offer(slots[c], s[r, c], keys[part[r]])
+                    continue
+                for i in range(0, len(r), PAIRS_AT_ONCE):  # exact scores, each from its own pair alone, so that equal vectors tie
+                    rows_i, asks_i = part[r[i:i + PAIRS_AT_ONCE]], some[c[i:i + PAIRS_AT_ONCE]]
+                    scale = scale_x[rows_i] * scale_q[asks_i]
+                    dots = np.einsum("ij,ij->i", x[rows_i], q[asks_i])
+                    exact = np.divide(dots, scale, out=np.zeros(len(dots)), where=scale > 0)
+                    exact = exact if round_first is None else _round_half_up(exact, round_first)
+                    good = ~(-exact > best.edge[q_slot[asks_i]])
+                    best.offer(q_slot[asks_i[good]], exact[good], keys[rows_i[good]])
+
+
+def _directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths, and unit vectors in single precision."""
+    length, near = np.linalg.norm(x, axis=1), np.empty(x.shape, np.float32)
+    np.divide(x, np.where(length > 0, length, 1.0)[:, None], out=near, casting="same_kind")
+    return length, near
 
 
 def knn_join(corpus: DataFrame, questions: DataFrame, k: int, *, metric: str = "cosine",
@@ -160,17 +204,20 @@ def knn_join(corpus: DataFrame, questions: DataFrame, k: int, *, metric: str = "
     size = asks.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     ask_bytes = size["n"] * ((size["d"] or 0) * 8 + 64)
 
-    def score_rows(q_pdf: pd.DataFrame, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q = np.vstack(q_pdf["v"].to_numpy()).astype(float)
-        names, slot = np.unique(_sortable(q_pdf["question"]), return_inverse=True)
-        original = q_pdf["question"].to_numpy()[np.unique(slot, return_index=True)[1]]
-        q_scope = _sortable(q_pdf[scope]) if scope else None
-        best = _Best(len(names), k, larger_first)
+    def packed(block: pd.DataFrame) -> tuple:
+        """A block as plain arrays, which a worker holds once: ids, their slot per row, scopes, vectors."""
+        names, first, slot = np.unique(_sortable(block["question"]), return_index=True, return_inverse=True)
+        return (block["question"].to_numpy()[first], slot, _sortable(block[scope]) if scope else None,
+                np.vstack(block["v"].to_numpy()).astype(float))
+
+    def score_rows(block: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        original, slot, q_scope, q = block
+        best, near_q = _Best(len(original), k, larger_first), _directions(q) if metric == "cosine" else None
         for pdf in batches:
             if len(pdf):
                 x = np.vstack(pdf["v"].to_numpy()).astype(float)
                 scopes = _sortable(pdf[scope]) if scope else None
-                _offer_rows(best, _sortable(pdf["key"]), scopes, x, q, q_scope, slot, metric, round_first)
+                _offer_rows(best, _sortable(pdf["key"]), scopes, x, q, q_scope, slot, metric, round_first, near_q)
         yield best.frame(original)
 
     n_blocks = max(1, int(-(-ask_bytes // block_bytes)))
@@ -182,7 +229,7 @@ def knn_join(corpus: DataFrame, questions: DataFrame, k: int, *, metric: str = "
         block = asks.filter(F.pmod(F.xxhash64("question", F.lit(7)), F.lit(n_blocks)) == b).toPandas()  # about block_bytes
         if block.empty:
             continue
-        shipped = spark.sparkContext.broadcast(block)
+        shipped = spark.sparkContext.broadcast(packed(block))
         # a block only meets rows of its own scopes
         near = rows.join(F.broadcast(spark.createDataFrame([(s,) for s in block[scope].unique().tolist()], T.StructType([asks.schema[scope]]))),
                          scope, "left_semi") if scope and n_blocks > 1 else rows

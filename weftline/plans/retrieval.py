@@ -13,6 +13,7 @@ from weftline.operators.lookup import lookup_join
 from weftline.operators.ordering import first_per_key
 from weftline.plans import Catalog, Tables
 from weftline.session import cut_lineage
+from weftline.sources.readers import spread
 
 catalog = Catalog()
 
@@ -299,7 +300,7 @@ select question, rank::BIGINT as rank, key, round(score, 6) as score from n wher
 @catalog.add("vr_15_batch_knn", SQL_BATCH_KNN)
 def _(t):
     corpus, questions = keyed(t)
-    return neighbours.knn_join(corpus, questions, 5).withColumn("score", F.round("score", 6))
+    return neighbours.knn_join(spread(corpus), questions, 5).withColumn("score", F.round("score", 6))
 
 
 @catalog.add("vr_15_pruned_knn", SQL_BATCH_KNN)
@@ -333,7 +334,7 @@ select question, rank::BIGINT as rank, key, round(score, 6) as score from n wher
 def _(t):
     corpus, questions = keyed(t)
     centroids = lists(t)
-    ivf = neighbours.build_inverted_file(corpus, centroids)
+    ivf = neighbours.build_inverted_file(spread(corpus), centroids)
     return neighbours.ivf_search(ivf, centroids, questions, 5, nprobe=2).withColumn("score", F.round("score", 6))
 
 
@@ -342,7 +343,7 @@ def _(t):
     """Lists learned by k-means; model-dependent, so rows only."""
     corpus, questions = keyed(t)
     centroids = neighbours.kmeans_centroids(corpus, 10)
-    ivf = neighbours.build_inverted_file(corpus, centroids)
+    ivf = neighbours.build_inverted_file(spread(corpus), centroids)
     return neighbours.ivf_search(ivf, centroids, questions, 5, nprobe=3)
 
 
@@ -362,8 +363,8 @@ from xr full outer join sr on xr.question = sr.question and xr.key = sr.key grou
 def _(t):
     corpus, questions = keyed(t)
     centroids = lists(t)
-    exact = neighbours.knn_join(corpus, questions, 5)
-    ivf = neighbours.build_inverted_file(corpus, centroids)
+    exact = neighbours.knn_join(spread(corpus), questions, 5)
+    ivf = neighbours.build_inverted_file(spread(corpus), centroids)
     approx = neighbours.ivf_search(ivf, centroids, questions, 5, nprobe=2)
     return neighbours.compare_results(exact, approx).withColumn("max_diff", F.round("max_diff", 6))
 
