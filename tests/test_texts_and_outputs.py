@@ -269,3 +269,19 @@ def test_numbers_of_repeated_and_null_keys(spark):
     old = chunking.check_lines(chunking.lines(unique, ["k"]), ["k", "line_no"])
     columns = ["k", "line_no", "text", "reason", "line_id"]
     assert sorted(map(str, old.select(*columns).collect())) == sorted(map(str, chunking.checked_lines(unique, ["k"]).select(*columns).collect()))
+
+
+def test_plugs_see_bounded_parts_of_a_batch(spark):
+    """One Arrow batch of many long texts becomes Python objects slice by slice, nulls and order kept."""
+    def sizes():
+        return lambda texts: [sum(len(t or "") for t in texts)] * len(texts)
+
+    df = spark.range(400, numPartitions=1).select("id", F.when(F.col("id") % 9 > 0, F.repeat(F.lit("ab 1 "), 4_000)).alias("t")).cache()
+    together = df.select("id", plugs.score("t", sizes).alias("s")).collect()
+    assert max(r["s"] for r in together) <= 1 << 20 and [r["id"] for r in together] == list(range(400))
+    spans = plugs.annotate(df, "t", lambda: lambda ts: [[(str(sum(map(len, ts))), "N")] for _ in ts]).collect()
+    assert max(int(r["entities"][0]["text"]) for r in spans) <= 1 << 20 and [r["id"] for r in spans] == list(range(400))
+    few = df.select("id", plugs.lexicon_score("t", {"ab": 2.0, "1": 4.0}).alias("s"), plugs.embed(F.substring("t", 1, 100)).alias("e"),
+                    chunking.separator_chunks("t", " ", 5).alias("c")).collect()
+    assert all((r["s"], r["e"] is None, r["c"] is None) == ((None, True, True) if r["id"] % 9 == 0 else (3.0, False, False)) for r in few)
+    assert few[1]["c"][:2] == ["ab 1", "ab 1"] and len(few[1]["c"]) == 4_000

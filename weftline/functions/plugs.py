@@ -8,19 +8,24 @@ that needs no model.
 from __future__ import annotations
 
 import hashlib
+import re
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from weftline.functions import text as X
 from weftline.functions import vectors as V
 
 HASH_DIMS = 16
 KEPT_TOKENS = 200_000  # distinct tokens whose bucket a worker remembers
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 2_000  # values that are Python objects at the same time
 
 
 def hash_embedding(text: Column | str, dims: int = HASH_DIMS) -> Column:
@@ -30,35 +35,65 @@ def hash_embedding(text: Column | str, dims: int = HASH_DIMS) -> Column:
     """
     words = X.word_tokens(F.lower(F.col(text) if isinstance(text, str) else text))
 
-    @F.pandas_udf("array<double>")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kept: dict[str, int] = {}
         for batch in batches:
-            out = []
-            for tokens in batch:
-                if tokens is None:
-                    out.append(None)
-                    continue
-                row = [0.0] * dims
-                for t in tokens:
+            for part in slices(batch):
+                n = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
+                slots = []
+                for t in _objects(part.flatten()):
                     slot = kept.get(t)
                     if slot is None:
                         slot = kept[t] = int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % dims
-                    row[slot] += 1.0
-                out.append(row)
-            if len(kept) > KEPT_TOKENS:
-                kept.clear()
-            yield pd.Series(out, index=batch.index, dtype=object)
+                    slots.append(slot)
+                place = np.repeat(np.arange(len(part)) * dims, n) + np.array(slots, dtype=np.int64)
+                counts = np.bincount(place, minlength=len(part) * dims).reshape(-1, dims).astype(float).tolist()
+                yield pa.array([c if ok else None for c, ok in zip(counts, part.is_valid().to_pylist())], pa.list_(pa.float64()))
+                if len(kept) > KEPT_TOKENS:
+                    kept.clear()
 
     return V.unit(count(words))
 
 
+def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Cut a column so that each part has at most ``limit`` bytes of values, or one row; only a part becomes Python objects.
+
+    Arrow's batches have as many rows as fit its own bounds, so their objects would follow the size of the splits.
+    """
+    if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+        width = pc.multiply(pc.list_value_length(column), 64 if pa.types.is_string(column.type.value_type) else 8)
+    else:
+        width = pc.binary_length(column)
+    total = np.cumsum(pc.fill_null(width, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(total):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + limit, "right")))
+        stop = min(stop, at + SLICE_ROWS)
+        yield column.slice(at, stop - at)
+        at = stop
+
+
+def _objects(part: pa.Array) -> list:
+    """Python values of a slice; numbers of lists leave Arrow together and not one by one."""
+    if not pa.types.is_list(part.type):
+        return part.to_numpy(zero_copy_only=False).tolist() if pa.types.is_string(part.type) else part.to_pylist()
+    flat = part.flatten()
+    values = flat.to_pylist() if flat.null_count else flat.to_numpy(zero_copy_only=False).tolist()
+    n = pc.list_value_length(part)
+    ends = np.cumsum(pc.fill_null(n, 0).to_numpy(zero_copy_only=False)).tolist()
+    return [values[a:b] if ok else None for a, b, ok in zip([0, *ends], ends, n.is_valid().to_pylist())]
+
+
 def _batched(factory: Callable[[], Callable], kind: T.DataType | str):
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    made = to_arrow_type(T._parse_datatype_string(kind) if isinstance(kind, str) else kind)
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fn = factory()
         for batch in batches:
-            yield pd.Series(list(fn(batch.tolist())), index=batch.index)
+            for part in slices(batch):
+                yield pa.array(list(fn(_objects(part))), made, from_pandas=True)
 
     return run
 
@@ -93,17 +128,18 @@ def score(text: Column | str, factory: Callable) -> Column:
 
 def lexicon_score(text: Column | str, lexicon: dict[str, float]) -> Column:
     """Default scorer: mean weight of the words found in a small lexicon, 0 when none is."""
-    words = X.split_words(F.lower(F.col(text) if isinstance(text, str) else text))
     shared = _shared(lexicon)
+    space = re.compile(r"[ \t\n\x0b\f\r]+")  # what X.split_words splits at
 
-    @F.pandas_udf("double")
-    def mean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def mean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = shared.value
         for batch in batches:
-            hits = [None if ws is None else [table[w] for w in ws if w in table] for ws in batch]
-            yield pd.Series([None if h is None else sum(h) / len(h) if h else 0.0 for h in hits], index=batch.index, dtype=float)
+            for part in slices(batch):
+                hits = [None if t is None else [table[w] for w in space.split(t) if w and w in table] for t in _objects(part)]
+                yield pa.array([None if h is None else sum(h) / len(h) if h else 0.0 for h in hits], pa.float64(), from_pandas=True)
 
-    return mean(words)
+    return mean(F.lower(F.col(text) if isinstance(text, str) else text))
 
 
 def _shared(table: dict):
@@ -152,11 +188,16 @@ def annotate(df: DataFrame, text_col: str, factory: Callable, out: str = "entiti
     """Entity spans from a caller's annotator: ``factory() -> (list[str] -> list[list[(text, label)]])``."""
     kind = T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.StringType())]))
 
-    def run(batches):
-        fn = factory()
-        for pdf in batches:
-            found = fn([v or "" for v in pdf[text_col]])
-            spans = [[{"text": t, "label": g} for t, g in row] for row in found]
-            yield pdf.assign(**{out: spans})
+    schema = T.StructType([*df.schema.fields, T.StructField(out, kind)])
 
-    return df.mapInPandas(run, T.StructType([*df.schema.fields, T.StructField(out, kind)]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = factory()
+        for batch in batches:
+            at = 0
+            for texts in slices(batch.column(text_col)):
+                found = fn([v or "" for v in _objects(texts)])
+                spans = pa.array([[{"text": t, "label": g} for t, g in row] for row in found], to_arrow_type(kind))
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, len(texts)).columns, spans], schema.names)
+                at += len(texts)
+
+    return df.mapInArrow(run, schema)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +31,12 @@ def chunk_table(docs: DataFrame, text_col: str = "text", size: int = 256, overla
 
 def separator_chunks(text: Column | str, separator: str = "\n\n", size: int = 1000) -> Column:
     """Pieces between (literal) separators packed up to ``size``; a longer piece stays whole."""
-    @F.pandas_udf("array<string>")
-    def pack(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         # a fold over array expressions would copy its result for every piece
-        return pd.Series([None if t is None else _packed(t, separator, size) for t in texts], dtype=object)
+        for batch in batches:
+            for part in plugs.slices(batch):
+                yield pa.array([None if t is None else _packed(t, separator, size) for t in part.to_pylist()], pa.list_(pa.string()))
 
     return F.filter(F.transform(pack(X.col(text)), X.strip), lambda c: c != "")
 
