@@ -18,6 +18,8 @@ from weftline.functions import vectors as V
 from weftline.operators import metrics, neighbours, tabular
 from weftline.session import cut_lineage
 
+TASK_WORDS = 500_000  # words that one task trains word vectors on
+
 
 def boosted_scores(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 100,
                    depth: int = 1, rate: float = 0.1, seed: int = 42) -> DataFrame:
@@ -55,10 +57,11 @@ def word_vectors(sentences: DataFrame, words_col: str, size: int = 16, window: i
     """Word vectors (skip-gram) as rows of word and embedding.
 
     The library holds the vocabulary on the driver; ``min_count`` keeps rare words out of it and
-    must grow with the corpus.
+    must grow with the corpus.  It trains in one task unless told otherwise, so a task gets about :data:`TASK_WORDS` words.
     """
+    n_words = sentences.agg(F.sum(F.size(words_col))).first()[0] or 0
     model = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, inputCol=words_col, outputCol="_v", seed=seed,
-                     maxIter=1).fit(sentences)
+                     maxIter=1, numPartitions=max(1, -(-n_words // TASK_WORDS))).fit(sentences)
     return model.getVectors().select("word", vector_to_array("vector").alias("embedding"))
 
 
