@@ -24,6 +24,8 @@ EMPTY_TEXT = "Enter some text to summarize."
 NO_SENTENCES = "Could not detect any sentences in the text."
 CONTENT_POS = ("PROPN", "ADJ", "NOUN", "VERB")
 
+TASK_BYTES = 4 << 20  # texts whose words one task counts
+
 # A short default; pass the list that fits the language of the corpus.
 STOP_WORDS = (
     "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "had", "has", "he", "her", "his", "in", "is",
@@ -58,7 +60,10 @@ def content_words(docs: DataFrame, key: str, text_col: str = "text",
 
     The place is one number, sentence before position, so that counting stays with plain longs.
     """
-    rows = sentence_rows(docs.select(key, text_col).repartition(key), key, text_col)
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    # a task's tables of words follow its texts, so their bytes give the number of tasks
+    n_tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    rows = sentence_rows(docs.select(key, text_col).repartition(n_tasks, key), key, text_col)
     tokens = rows.select(key, "sent", F.posexplode(X.word_tokens("sentence")).alias("pos", "word"))
     return tokens.filter(is_content_word(F.col("word"), stop_words)).select(
         key, "sent", "word", F.expr("cast(sent as bigint) * 4294967296 + pos").alias("place"))
