@@ -144,5 +144,6 @@ def extraction_stats(rows: DataFrame, brand: str = "brand") -> DataFrame:
 
 def top_values(rows: DataFrame, column: str = "brand", n: int = 10) -> DataFrame:
     """Most frequent values; ties in value order."""
-    filled = rows.filter(F.coalesce(F.col(column), F.lit("")) != "")
-    return filled.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column).limit(n)
+    # a filter on the rows would compute the value a second time; null and the empty text are two groups at most
+    best = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column).limit(n + 2)
+    return best.filter(F.coalesce(F.col(column), F.lit("")) != "").orderBy(F.desc("n"), column).limit(n)

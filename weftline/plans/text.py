@@ -12,6 +12,7 @@ from weftline.operators import summaries as S
 from weftline.operators import tokens as K
 from weftline.plans import Catalog, Tables
 from weftline.plans.retrieval import sql_tokens
+from weftline.sources.readers import spread
 
 catalog = Catalog()
 V1 = "[,.?_!\"()'']|--|\\s"
@@ -228,7 +229,8 @@ TITLE = """concat(upper(substr(p_name, 1, 1)), substr(p_name, 2), case p_partkey
 
 
 def titles(t: Tables):
-    return t.part.select("p_partkey", F.expr(TITLE).alias("title"), "p_name", "p_brand", "p_type")
+    # patterns cost far more than the rows weigh, so a table of few splits is spread before them
+    return spread(t.part).select("p_partkey", F.expr(TITLE).alias("title"), "p_name", "p_brand", "p_type")
 
 
 SQL_TITLES = "t as (select p_partkey, " + TITLE + " as title, p_name, p_brand, p_type from part)"
