@@ -533,12 +533,14 @@ def _(t):
         "conv_id", F.col("turn").cast("bigint").alias("turn"), F.col("pos").cast("bigint").alias("pos"),
         (F.conv(F.substring(F.md5("word"), 1, 4), 16, 10).cast("bigint") % n).alias("token_id"),
         (F.col("pos") % n).cast("bigint").alias("place"))
-    token_vectors = t.embeddings.select(F.col("vec_id").alias("token_id"), V.as_double("embedding").alias("tv"))
-    place_vectors = t.embeddings.select(F.col("vec_id").alias("place"), V.as_double("embedding").alias("pv"))
-    both = lookup_join(lookup_join(ids, token_vectors, ["token_id"]), place_vectors, ["place"])
-    summed = F.zip_with("tv", "pv", lambda a, b: a + b)
-    return both.withColumn("v", summed).select(
-        "conv_id", "turn", "pos", F.round(F.col("v")[0], 6).alias("first_dim"), F.round(V.total(F.col("v")), 6).alias("total"))
+    # of a vector only its length, first value and sum are wanted, so no vector moves with the words
+    v = V.as_double("embedding")
+    brief = t.embeddings.select("vec_id", F.size(v).alias("d"), F.get(v, F.lit(0)).alias("x"), V.total(v).alias("s"))
+    tokens, places = (brief.select(F.col("vec_id").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in ("d", "x", "s")]) for key in ("token_id", "place"))
+    both = lookup_join(lookup_join(ids, tokens, ["token_id"]), places, ["place"])
+    return both.select(
+        "conv_id", "turn", "pos", F.round(F.col("x_token_id") + F.col("x_place"), 6).alias("first_dim"),
+        F.when(F.col("d_token_id") == F.col("d_place"), F.round(F.col("s_token_id") + F.col("s_place"), 6)).alias("total"))
 
 
 @catalog.add("ud_09_vector_mean", f"""
