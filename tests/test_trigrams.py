@@ -80,3 +80,14 @@ def test_packs_of_many_loose_patterns(spark):
     ("(?i)naïve", []), ("naïve", ["aïv", "naï", "ïve"]), ("(?:abc)?def", ["def"]), ("(?i:ABC)DEF", ["abc", "bcd", "cde", "def"]), ("ab\ncd", [])])
 def test_required_trigrams(pattern, grams):
     assert trigrams.required_grams(pattern) == grams
+
+
+def test_postings_are_rows_of_runs(spark):
+    """A trigram takes a row per run of blocks, not per block, and the counts are those of blocks."""
+    lines = "\n".join(f"alpha beta {i}" for i in range(20_000))
+    index = trigrams.build_index(spark.createDataFrame([("p", lines)], "path string, text string"))
+    n_blocks = index.blocks.count()
+    row = index.postings.filter("gram = 'alp'")
+    assert row.count() < n_blocks / 50 and index.grams.filter("gram = 'alp'").first()["n"] == n_blocks > 300
+    hits = trigrams.search(index, spark.createDataFrame([("p1", "beta 1999[89]$"), ("p2", "beta 77$")], "pattern string, regex string"))
+    assert sorted((r["pattern"], r["line_no"]) for r in hits.collect()) == [("p1", 19_999), ("p1", 20_000), ("p2", 78)]
