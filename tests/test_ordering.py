@@ -77,3 +77,24 @@ def test_repeated_and_null_keys_are_split_exactly(spark, n):
     assert sum(r["taken"] for r in got) == min(n, 100)
     assert sorted((str(r["k"]), r["v"]) for r in got) == sorted((str(k), v) for k, v in rows)
     assert len({r["k"] for r in got if r["taken"]} & {r["k"] for r in got if not r["taken"]}) <= 1  # only the key at the cut is divided
+
+
+def test_steps_that_took_whole_values_or_one_task(spark):
+    """No join by whole texts, patterns once per title, words of a text in many tasks."""
+    from pyspark.sql import functions as F
+
+    from weftline.functions.registry import register
+    from weftline.operators import brands, summaries
+
+    register(spark)
+    spark.createDataFrame([(1, "x" * 300), (1, "x" * 300), (2, None)], "d int, text string").createOrReplaceTempView("weft_test_docs")
+    chunks = spark.sql("SELECT d, c.chunk_index AS i, length(c.chunk_text) AS n FROM weft_test_docs, LATERAL weft_chunks(text) AS c")
+    assert "Join" not in chunks._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, chunks.collect())) == [(1, 0, 256), (1, 0, 256), (1, 1, 76), (1, 1, 76)]
+    rows = spark.createDataFrame([("b",), ("b",), ("",), ("",), ("",), (None,), (None,), (None,), ("a",)], "t string")
+    top = brands.top_values(rows.select(F.regexp_replace("t", "z", "").alias("brand")), n=2)
+    plan = top._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "Filter" in line and "regexp_replace" in line]
+    assert [tuple(r) for r in top.collect()] == [("b", 2), ("a", 1)]
+    long = spark.range(3_000).select("id", F.repeat(F.lit("word other "), 2_000).alias("text"))
+    assert summaries.content_words(long, "id").rdd.getNumPartitions() >= 3_000 * 22_000 // summaries.TASK_BYTES
