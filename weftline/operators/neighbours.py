@@ -156,7 +156,8 @@ def _offer_rows(best: _Best, keys, scopes, x: np.ndarray, q: np.ndarray, q_scope
                 else:
                     if np.isinf(edge).any():  # the k best of the slice are a bound as good
                         edge = np.minimum(edge, np.partition(cost, best.k - 1, axis=0)[best.k - 1] + (slack if metric == "cosine" else 0.0))
-                    r, c = np.nonzero(cost <= (edge + slack if metric == "cosine" else edge).astype(cost.dtype))
+                    near = cost <= (edge + slack if metric == "cosine" else edge).astype(cost.dtype)
+                    r, c = np.divmod(np.flatnonzero(near.ravel()), len(some))  # flat: twice as fast as by rows and columns
                 if not len(r):
                     continue
                 if metric != "cosine":

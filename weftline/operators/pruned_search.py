@@ -10,23 +10,26 @@ of its own that every question meets.  Keys and question ids are unique and not
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from weftline.functions import vectors as V
-from weftline.operators.lookup import lookup_join
-from weftline.operators.neighbours import METRICS, _Best, _no_rows, _offer_rows, _sortable
+from weftline.operators.neighbours import METRICS, _Best, _directions, _offer_rows
 from weftline.session import shared_table
 
 SAMPLE_ROWS = 10_000  # rows the centres are fitted on; every row is stored and may be found
-BLOCK_BYTES = 2 << 20  # vectors of one side that are scored together in a task
+BLOCK_BYTES = 32 << 20  # vectors of one side that are scored together in a task; every vector moves once per block of the other side
+LEAST_BYTES = 2 << 20  # smaller blocks are not made for the sake of more tasks
 APART = -1  # list of the vectors without a direction
 _FINITE = "embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
 _SLACK = 1e-6  # covers the rounding of the bounds, relative to the distances
@@ -59,6 +62,12 @@ class Answer:
         return met.select("scored", every.alias("pairs"), F.try_divide("scored", every).alias("share"))
 
 
+def _as_kept(df: DataFrame, vector_col: str) -> Column:
+    """Vectors as they move: single precision stays single, anything else becomes double.  All arithmetic is in double precision."""
+    kind = df.select(vector_col).schema[0].dataType
+    return F.col(vector_col) if kind == T.ArrayType(T.FloatType(), kind.containsNull) else V.as_double(vector_col)
+
+
 def _placed(v: pd.Series, metric: str) -> tuple[np.ndarray, np.ndarray]:
     """Vectors in the space of the bounds (unit vectors for cosine), and which of them have no place there."""
     x = np.vstack(v.to_numpy()).astype(float)
@@ -98,7 +107,7 @@ def store_lists(corpus: DataFrame, lists: int = 64, *, metric: str = "cosine", k
     """Store the rows by list.  A large list becomes several files, because the table is cut by list and key."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    rows = corpus.select(F.col(key_col).alias("key"), V.as_double(vector_col).alias("embedding")).filter(_FINITE)
+    rows = corpus.select(F.col(key_col).alias("key"), _as_kept(corpus, vector_col).alias("embedding")).filter(_FINITE)
     drawn = rows.orderBy(F.xxhash64("key"), "key").limit(sample).select("embedding").toPandas()["embedding"]
     x, apart = _placed(drawn, metric) if len(drawn) else (np.zeros((0, 1)), np.zeros(0, bool))
     centres = _fit(x[~apart], lists) if (~apart).any() else np.zeros((1, x.shape[1]))
@@ -139,40 +148,81 @@ def _blocks(n: np.ndarray, per: int) -> tuple[list[int], list[int]]:
     return first, count
 
 
+def _block_rows(n: int, width: int, block_bytes: int, cores: int) -> int:
+    """Rows of a block: as many as a task may hold, fewer if that leaves less than four cells for each core."""
+    side = math.ceil(math.sqrt(4 * cores))
+    return max(1, min(block_bytes // width, max(LEAST_BYTES // width, -(-n // side))))
+
+
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Vectors in double precision, read from Arrow's buffer and not row by row."""
+    flat, n = pc.list_flatten(vectors).to_numpy(), len(vectors)
+    width = len(flat) // n
+    if pc.any(pc.not_equal(pc.list_value_length(vectors), width)).as_py():
+        raise ValueError("vectors of different lengths")
+    return flat.reshape(n, width).astype(float)
+
+
 def _score_cells(lists: StoredLists, probes: DataFrame, k: int, round_first: int | None, block_bytes: int) -> DataFrame:
-    """The k best rows of each cell for ``probes(question, embedding, lists)``, of the named lists only: (question, key, score)."""
-    metric = lists.metric
-    per = max(1, block_bytes // (8 * max(1, lists.centres.shape[1]) + 64))
-    first, count = (dict(zip(lists.ids.tolist(), x)) for x in _blocks(lists.n, per))
-
-    def of(table: dict, list_id):  # at most as many entries as there are lists
-        return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), list_id)
-
-    span = F.transform("lists", lambda i: F.sequence(of(first, i), of(first, i) + of(count, i) - 1))
-    met = probes.withColumn("block", F.explode(F.array_distinct(F.flatten(span))))
-    parts = probes.select(F.explode(F.array_distinct(F.flatten(span))).alias("block")).groupBy("block").agg(
-        F.ceil(F.count(F.lit(1)) / per).cast("int").alias("parts"))
-    home = of(first, F.col("list_id")) + F.pmod(F.xxhash64("key"), of(count, F.col("list_id"))).cast("int")
-    rows = lookup_join(lists.rows.withColumn("block", home), parts, ["block"])  # blocks that nobody asks for stay behind
-    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    asks = lookup_join(met, parts, ["block"]).withColumn("part", F.pmod(F.xxhash64("question", F.lit(7)), F.col("parts")).cast("int")).drop("parts")
+    """The k best rows of each cell for ``probes(question, embedding, lists, edge)``, of the named lists only: (question, key, score).
+
+    Rows worse than ``edge``, a score, are left out (null: none is).  A cell is one block of rows and one part of the
+    questions that ask for it.
+    """
+    metric, spark = lists.metric, lists.rows.sparkSession
+    width = 8 * max(1, lists.centres.shape[1]) + 64
+    per = _block_rows(int(lists.n.sum()), width, block_bytes, spark.sparkContext.defaultParallelism)
+    first, count = (np.zeros(int(lists.ids.max()) - APART + 1, int) for _ in range(2))  # by list, also those without rows
+    first[lists.ids - APART], count[lists.ids - APART] = _blocks(lists.n, per)
+
+    def of(table, place):
+        return F.get(F.array(*[F.lit(int(x)) for x in table]), place)
+
+    def begin(i):
+        return of(first, i - APART)
+
+    def end(i):
+        return of(first + count, i - APART)
+
+    span = F.array_distinct(F.flatten(F.transform("lists", lambda i: F.sequence(begin(i), end(i) - 1))))
+    parts = np.zeros(int((first + count).max()), int)
+    for block, n in probes.select(F.explode(span).alias("block")).groupBy("block").count().collect():  # a row per block
+        parts[block] = -(-n // per)
+    start, cells = np.cumsum(parts) - parts, max(1, int(parts.sum()))
+    part = F.pmod(F.xxhash64("question", F.lit(7)), of(parts, F.col("block"))).cast("int")
+    own = F.filter("lists", lambda i: (begin(i) <= F.col("block")) & (F.col("block") < end(i)))
+    asks = probes.withColumn("block", F.explode(span)).select(
+        "question", "embedding", "edge", own.alias("lists"), (of(start, F.col("block")) + part).alias("cell"))
+    home = begin(F.col("list_id")) + F.pmod(F.xxhash64("key"), end(F.col("list_id")) - begin(F.col("list_id"))).cast("int")
+    rows = lists.rows.withColumn("block", home).filter(of(parts, F.col("block")) > 0)  # blocks that nobody asks for stay behind
+    rows = rows.select("key", "embedding", "list_id", F.explode(F.sequence(
+        of(start, F.col("block")), of(start + parts, F.col("block")) - 1)).alias("cell"))
     schema = T.StructType([T.StructField("question", probes.schema["question"].dataType),
                            T.StructField("key", lists.rows.schema["key"].dataType), T.StructField("score", T.DoubleType())])
 
-    def score(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked) or not len(stored):
-            return _no_rows()
-        best = _Best(len(asked), k, metric == "cosine")
-        q, x = np.vstack(asked["embedding"].to_numpy()), np.vstack(stored["embedding"].to_numpy())
-        keys, home = _sortable(stored["key"]), stored["list_id"].to_numpy()
-        wanted = [set(w) for w in asked["lists"]]
-        for i in np.unique(home).tolist():
-            own, slots = np.flatnonzero(home == i), np.flatnonzero([i in w for w in wanted])
-            if len(slots):
-                _offer_rows(best, keys[own], None, x[own], q[slots], None, slots, metric, round_first)
-        return best.frame(asked["question"].to_numpy())
-
-    return asks.groupBy("block", "part").cogroup(rows.groupBy("block", "part")).applyInPandas(score, schema)
+    def score(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        best, order = _Best(asked.num_rows, k, metric == "cosine"), np.zeros(0, int)
+        if asked.num_rows and stored.num_rows:
+            order = pc.sort_indices(stored["key"], null_placement="at_start").to_numpy()
+            place = np.empty(len(order), int)  # stands for the key, whatever its type
+            place[order] = np.arange(len(order))
+            q, x, home = _matrix(asked["embedding"]), _matrix(stored["embedding"]), stored["list_id"].to_numpy()
+            near = _directions(q) if metric == "cosine" else None
+            edge = asked["edge"].to_pandas().to_numpy(float)
+            best.edge = np.where(np.isnan(edge), np.inf, best.sign * edge)
+            wanted, who = pc.list_flatten(asked["lists"]).to_numpy(), pc.list_parent_indices(asked["lists"]).to_numpy()
+            for i in np.unique(home).tolist():
+                rows_i, slots = np.flatnonzero(home == i), who[wanted == i]
+                if len(slots):
+                    _offer_rows(best, place[rows_i], None, x[rows_i], q[slots], None, slots, metric, round_first,
+                                near and (near[0][slots], near[1][slots]))
+        had = np.arange(k) < best.n[:, None]
+        keys = order[best.keys[had]] if best.keys is not None else order[:0]
+        return pa.table({"question": asked["question"].take(pa.array(np.repeat(np.arange(len(best.n)), best.n))),
+                         "key": stored["key"].take(pa.array(keys)), "score": best.sign * best.cost[had]})
+
+    tasks = 3 * cells  # so that few tasks get two cells
+    return asks.repartition(tasks, "cell").groupBy("cell").cogroup(rows.repartition(tasks, "cell").groupBy("cell")).applyInArrow(score, schema)
 
 
 def _best_of(hits: DataFrame, k: int, metric: str) -> DataFrame:
@@ -186,7 +236,7 @@ def pruned_knn(lists: StoredLists, questions: DataFrame, k: int, *, question_col
     """The rows :func:`weftline.operators.neighbours.knn_join` gives, from the lists that may hold them."""
     spark, metric = lists.rows.sparkSession, lists.metric
     shipped = spark.sparkContext.broadcast((lists.ids, lists.centres, lists.radius, lists.n))
-    asks = questions.select(F.col(question_col).alias("question"), V.as_double(vector_col).alias("embedding")).filter(_FINITE)
+    asks = questions.select(F.col(question_col).alias("question"), _as_kept(questions, vector_col).alias("embedding")).filter(_FINITE)
 
     def nearest_possible(v: pd.Series) -> tuple[np.ndarray, np.ndarray]:
         """Least distance a row of each list can have, and the distance by which lists are tried first."""
@@ -217,7 +267,9 @@ def pruned_knn(lists: StoredLists, questions: DataFrame, k: int, *, question_col
             if len(v):
                 least, _ = nearest_possible(v)
                 may = least <= bound.fillna(np.inf).to_numpy(float)[:, None]
-                out = [[i for i in ids[m].tolist() if i not in set(h)] for m, h in zip(may, had)]
+                for m, h in zip(may, had):
+                    m[np.searchsorted(ids, h)] = False
+                out = [ids[m] for m in may]
             yield pd.Series(out, dtype=object)
 
     if not len(lists.ids):
@@ -226,11 +278,11 @@ def pruned_knn(lists: StoredLists, questions: DataFrame, k: int, *, question_col
                                        F.lit(0.0).alias("score"))
         return Answer(nothing, nothing.select("question", F.lit(0).alias("list_id"), F.col("rank").alias("n")), 0)
 
-    def score(probes: DataFrame, names: str) -> DataFrame:
-        return _score_cells(lists, probes.select("question", "embedding", F.col(names).alias("lists")), k, round_first, block_bytes)
+    def score(probes: DataFrame, names: str, edge: Column) -> DataFrame:
+        return _score_cells(lists, probes.select("question", "embedding", F.col(names).alias("lists"), edge.alias("edge")), k, round_first, block_bytes)
 
     begun = shared_table(asks.withColumn("had", first_lists("embedding")), "questions")
-    seen = shared_table(_best_of(score(begun, "had"), k, metric).drop("rank"), "first-hits")
+    seen = shared_table(_best_of(score(begun, "had", F.lit(None).cast("double")), k, metric).drop("rank"), "first-hits")
     worst = F.min("score") if metric == "cosine" else F.max("score")
     edge = F.col("edge")
     lenient = 0.0 if round_first is None else 10.0 ** -round_first  # rows that round to the same score count as ties
@@ -240,11 +292,11 @@ def pruned_knn(lists: StoredLists, questions: DataFrame, k: int, *, question_col
         distance = edge + lenient
     else:
         distance = F.sqrt(edge + lenient)
-    bounds = seen.groupBy("question").agg(worst.alias("edge"), F.count(F.lit(1)).alias("n")).select(
-        "question", F.when(F.col("n") >= k, distance).alias("bound"))
+    bounds = seen.groupBy("question").agg(worst.alias("edge"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k).select(
+        "question", "edge", distance.alias("bound"))
     more = begun.join(bounds, "question", "left").withColumn("more", further_lists("embedding", "bound", "had"))
-    more = shared_table(more.select("question", "embedding", "had", "more"), "visits")
-    result = _best_of(seen.unionByName(score(more, "more")), k, metric).select("question", "rank", "key", "score")
+    more = shared_table(more.select("question", "embedding", "edge", "had", "more"), "visits")
+    result = _best_of(seen.unionByName(score(more, "more", edge)), k, metric).select("question", "rank", "key", "score")
     sizes = spark.createDataFrame(list(zip(lists.ids.tolist(), lists.n.tolist())), "list_id int, n bigint")
     visits = more.select("question", F.explode(F.concat("had", "more")).alias("list_id")).join(F.broadcast(sizes), "list_id")
     return Answer(result, visits.select("question", "list_id", "n"), int(lists.n.sum()))
