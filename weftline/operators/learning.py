@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml import Pipeline
@@ -9,34 +10,82 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BooleanType, NumericType, StringType
 from pyspark.sql.window import Window
 
 from weftline.functions import vectors as V
 from weftline.operators import metrics, neighbours, tabular
 from weftline.session import cut_lineage
 
+BINS = 32  # per column of numbers, as the library has by default
+GROUP_BEYOND = 100_000  # training rows; fewer go to the trees as they are
 TASK_WORDS = 500_000  # words that one task trains word vectors on
 
 
 def boosted_scores(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 100,
-                   depth: int = 1, rate: float = 0.1, seed: int = 42) -> DataFrame:
-    """Boosted trees on mixed columns; strings count as categories.  Adds probability and score."""
-    strings = [f.name for f in train.schema if f.name in features and isinstance(f.dataType, StringType)]
+                   depth: int = 1, rate: float = 0.1, seed: int = 42, group_beyond: int = GROUP_BEYOND) -> DataFrame:
+    """Boosted trees on mixed columns; strings count as categories.  Adds probability and score.
+
+    Trees see a number only by its bin, so beyond ``group_beyond`` training rows those that agree in all bins, categories and
+    label become one row with their number as weight: every row counts, and a pass over the trees reads the groups alone.
+    """
+    columns, kinds = test.columns, {f.name: f for f in train.schema if f.name in features}
+    strings = [c for c, f in kinds.items() if isinstance(f.dataType, StringType)]
+    numbers = [c for c in features if c not in strings]
     indexed = [f"_{c}" for c in strings]
-    stages = [StringIndexer(inputCols=strings, outputCols=indexed, handleInvalid="keep")] if strings else []
-    inputs = [f"_{c}" if c in strings else c for c in features]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"))
-    stages.append(GBTClassifier(featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate,
-                                seed=seed, checkpointInterval=10))
+    stages = [StringIndexer(inputCols=strings, outputCols=indexed, handleInvalid="keep").fit(train)] if strings else []
+    learner = GBTClassifier(featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate,
+                            seed=seed, checkpointInterval=10)
+    # columns of vectors, or with a meaning of their own to the library, stay as they are
+    plain = all(isinstance(kinds[c].dataType, (NumericType, BooleanType)) and not kinds[c].metadata for c in numbers)
+    counts = train.agg(F.count(F.lit(1)).alias("n"), *[
+        F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(numbers)]).first() if plain else None
+    if plain and counts["n"] > group_beyond:
+        borders = _bin_borders(train, {c: counts[f"d{i}"] for i, c in enumerate(numbers)})
+        bins = {f"_{c}": _in_bins(c, at) for c, at in borders.items()}
+        train, test = train.withColumns(bins), test.withColumns(bins)
+        train = cut_lineage(train.groupBy(*strings, *bins, label).agg(F.count(F.lit(1)).cast("double").alias("_weight")))
+        # so many bins allowed that the library looks for its borders in all groups, not in a sample, and takes each
+        learner = learner.setWeightCol("_weight").setMaxBins(max(2 * BINS, math.isqrt(train.count()) + 1))
+        inputs = [f"_{c}" for c in features]
+    else:
+        inputs = [f"_{c}" if c in strings else c for c in features]
+    stages += [VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"), learner]
     scored = Pipeline(stages=stages).fit(train).transform(test)
     p = vector_to_array("probability")[1]
-    return scored.select(*test.columns, p.alias("approval")).withColumn(
+    return scored.select(*columns, p.alias("approval")).withColumn(
         "credit_score", tabular.credit_score(F.col("approval")))
 
 
+def _bin_borders(rows: DataFrame, distinct: dict[str, int]) -> dict[str, list[float]]:
+    """Borders of at most :data:`BINS` bins per column: between all values if they are that few, else quantiles of all rows.
+
+    ``distinct`` has rough numbers of values.
+    """
+    few = {}
+    for c in (c for c, n in distinct.items() if n <= 2 * BINS):
+        x = F.col(c).cast("double")
+        met = sorted(r[0] for r in rows.select(x).filter(F.abs(x) < math.inf).distinct().limit(BINS + 1).collect())
+        if len(met) <= BINS:
+            few[c] = [low + (high - low) / 2 for low, high in zip(met, met[1:])]
+    many = [c for c in distinct if c not in few]
+    cuts = rows.select(*[F.col(c).cast("double").alias(c) for c in many]).approxQuantile(
+        many, [i / BINS for i in range(1, BINS)], 1e-3) if many else []
+    found = few | dict(zip(many, cuts))
+    return {c: sorted({x for x in at if math.isfinite(x)}) for c, at in found.items()}
+
+
+def _in_bins(column: str, borders: list[float]) -> Column:
+    """Number of the bin, from 0; a missing or infinite value stays itself, which training refuses as it does on rows."""
+    x = F.col(column).cast("double")
+    number = F.lit(0)
+    for i, at in enumerate(borders):
+        number = number + (x >= at).cast("int")
+    return F.when(F.abs(x) < math.inf, number.cast("double")).otherwise(x)
+
+
 def forest_scenarios(scenarios: dict[str, DataFrame], target: str, keys: list[str], trees: int = 100,
                      seed: int = 42) -> DataFrame:
     """Random forest per embedding scenario: RMSE and MAE on half of the rows."""
