@@ -16,12 +16,13 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 from pyspark.sql.window import Window
 
 from weftline.functions import vectors as V
-from weftline.operators import metrics, neighbours, tabular
+from weftline.operators import metrics, neighbours, skip_gram, tabular
 from weftline.session import cut_lineage
 
 BINS = 32  # per column of numbers, as the library has by default
 GROUP_BEYOND = 100_000  # training rows; fewer go to the trees as they are
 TASK_WORDS = 500_000  # words that one task trains word vectors on
+DRIVER_WORDS = 200_000  # different words that the library may hold on the driver
 
 
 def boosted_scores(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 100,
@@ -102,15 +103,20 @@ def forest_scenarios(scenarios: dict[str, DataFrame], target: str, keys: list[st
 
 
 def word_vectors(sentences: DataFrame, words_col: str, size: int = 16, window: int = 5, seed: int = 42,
-                 min_count: int = 1) -> DataFrame:
+                 min_count: int = 1, driver_words: int = DRIVER_WORDS) -> DataFrame:
     """Word vectors (skip-gram) as rows of word and embedding.
 
-    The library holds the vocabulary on the driver; ``min_count`` keeps rare words out of it and
-    must grow with the corpus.  It trains in one task unless told otherwise, so a task gets about :data:`TASK_WORDS` words.
+    The library holds the vocabulary on the driver, with two arrays of 40 numbers a word, so it gets up to about ``driver_words``
+    different words; beyond that :mod:`skip_gram` trains by the same method without it.  Either way a task gets about
+    :data:`TASK_WORDS` words.
     """
-    n_words = sentences.agg(F.sum(F.size(words_col))).first()[0] or 0
+    met = sentences.select(F.explode(words_col).alias("word")).agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("word").alias("distinct")).first()
+    n_tasks = max(1, -(-met["n"] // TASK_WORDS))
+    if met["distinct"] > driver_words:
+        return skip_gram.skip_gram_vectors(sentences, words_col, size, window, seed, min_count, n_tasks)
     model = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, inputCol=words_col, outputCol="_v", seed=seed,
-                     maxIter=1, numPartitions=max(1, -(-n_words // TASK_WORDS))).fit(sentences)
+                     maxIter=1, numPartitions=n_tasks).fit(sentences)
     return model.getVectors().select("word", vector_to_array("vector").alias("embedding"))
 
 
