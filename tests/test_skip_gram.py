@@ -91,5 +91,5 @@ def test_few_words_go_to_the_library(spark, monkeypatch):
         raise AssertionError("few words")
 
     monkeypatch.setattr(skip_gram, "skip_gram_vectors", refuse)
-    df = spark.createDataFrame([(["a", "b", "a"],), (["b", "c"],)], "words array<string>")
+    df = spark.createDataFrame([(["a", "b", "a"],), (["b", "c"],), (None,)], "words array<string>")
     assert sorted(r["word"] for r in learning.word_vectors(df, "words").collect()) == ["a", "b", "c"]

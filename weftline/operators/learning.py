@@ -110,6 +110,7 @@ def word_vectors(sentences: DataFrame, words_col: str, size: int = 16, window: i
     different words; beyond that :mod:`skip_gram` trains by the same method without it.  Either way a task gets about
     :data:`TASK_WORDS` words.
     """
+    sentences = sentences.filter(F.col(words_col).isNotNull())  # the library fails on them
     met = sentences.select(F.explode(words_col).alias("word")).agg(
         F.count(F.lit(1)).alias("n"), F.approx_count_distinct("word").alias("distinct")).first()
     n_tasks = max(1, -(-met["n"] // TASK_WORDS))
